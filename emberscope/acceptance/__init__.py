@@ -4,6 +4,8 @@ from emberscope.acceptance import (  # noqa: F401
     log_queries,
     metric_queries,
     sql_queries,
+    storage_queries,
+    stream_queries,
     trace_queries,
 )
 from emberscope.acceptance.registry import REGISTRY

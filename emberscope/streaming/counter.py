@@ -1,68 +1,84 @@
-"""Increase of cumulative counters on a stream, with the last sample per series as state."""
+"""Increase of cumulative counters on a stream, with the last sample per series as state.
 
-from __future__ import annotations
+Each micro-batch runs the batch operator over its samples plus the last sample
+every series had before. The last samples are kept as a table, one version per
+batch, so a batch repeated after a failure reads and writes the same paths and
+gives the same rows. As in batch, no task sees a whole series.
+"""
 
-from collections.abc import Iterator
+from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
-OUTPUT = "labels STRING, time_unix_nano BIGINT, increase DOUBLE"
+from emberscope.operators.metrics import increases
+from emberscope.sources.tables import exists
 
-# Custom state needs this state store; the default one does not support it.
-_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+SAMPLE = "labels STRING, time_unix_nano BIGINT, value DOUBLE"
+INCREASE = "labels STRING, time_unix_nano BIGINT, increase DOUBLE"
 
 
-class _Increase(StatefulProcessor):
-    """Reset-aware increase over the series' previous sample.
+def _version(path: str, batch_id: int) -> str:
+    return f"{path.rstrip('/')}/batch={batch_id}"
 
-    A micro-batch brings the rows of a series in any order, so they are sorted
-    per batch; samples not newer than the stored one are ignored. Memory is
-    bounded by the files a trigger admits.
-    """
 
-    def __init__(self, ttl_ms: int) -> None:
-        self._ttl_ms = ttl_ms
+def _last_samples(spark: SparkSession, state: str, batch_id: int) -> DataFrame:
+    path = _version(state, batch_id)
+    if batch_id < 0 or not exists(spark, path):
+        return spark.createDataFrame([], SAMPLE)
+    return spark.read.schema(SAMPLE).parquet(path)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState(
-            "last", "time_unix_nano BIGINT, value DOUBLE", ttlDurationMs=self._ttl_ms
-        )
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(["time_unix_nano", "value"])
-        stored = self._last.get() if self._last.exists() else None
-        if stored is not None:
-            batch = batch[batch["time_unix_nano"] > stored[0]]
-        if batch.empty:
-            return
-        previous = batch["value"].shift(1)
-        if stored is not None:
-            previous.iloc[0] = stored[1]
-        step = batch["value"] - previous
-        gained = step.where(step >= 0, batch["value"]).where(previous.notna(), 0.0)
-        self._last.update((int(batch["time_unix_nano"].iloc[-1]), float(batch["value"].iloc[-1])))
-        yield pd.DataFrame(
-            {"labels": key[0], "time_unix_nano": batch["time_unix_nano"], "increase": gained}
-        )
+def take(batch: DataFrame, batch_id: int, out: str, state: str, ttl_ns: int | None = None) -> None:
+    """Write the batch's increases and the next version of the last samples.
+
+    Samples not newer than the series' last one are ignored. With ``ttl_ns`` a
+    series whose last sample is that much older than the newest of all is
+    forgotten and starts anew.
+    """
+    spark = batch.sparkSession
+    known = _last_samples(spark, state, batch_id - 1)
+    samples = batch.select("labels", "time_unix_nano", "value")
+    fresh = samples.join(
+        known.select("labels", F.col("time_unix_nano").alias("_known")), "labels", "left"
+    ).where(F.col("_known").isNull() | (F.col("time_unix_nano") > F.col("_known")))
+    timeline = fresh.select(*samples.columns, F.lit(False).alias("_old")).unionByName(
+        known.withColumn("_old", F.lit(True))
+    )
+    (
+        increases(timeline)
+        .where(~F.col("_old"))
+        .select("labels", "time_unix_nano", "increase")
+        .write.mode("overwrite")
+        .parquet(_version(out, batch_id))
+    )
+    last = (
+        timeline.groupBy("labels")
+        .agg(F.max(F.struct("time_unix_nano", "value")).alias("_s"))
+        .select("labels", "_s.*")
+    )
+    if ttl_ns is not None:
+        newest = timeline.agg(F.max("time_unix_nano")).scalar()
+        last = last.where(F.col("time_unix_nano") >= newest - ttl_ns)
+    last.write.mode("overwrite").parquet(_version(state, batch_id))
 
-    def close(self) -> None:
-        pass
 
+def writer(
+    samples: DataFrame, out: str, state: str, checkpoint: str, ttl_ns: int | None = None
+) -> DataStreamWriter:
+    """Stream of ``labels, time_unix_nano, value`` to increases under ``out``."""
 
-def use_state_store(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", _PROVIDER)
+    def each(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()
+        try:
+            take(kept, batch_id, out, state, ttl_ns)
+        finally:
+            kept.unpersist()
 
+    return samples.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
 
-def increases(samples: DataFrame, ttl_ms: int = 3_600_000) -> DataFrame:
-    """``labels, time_unix_nano, increase`` for a stream of ``labels, time_unix_nano, value``.
 
-    A series unseen for ``ttl_ms`` of processing time starts anew.
-    """
-    return samples.groupBy("labels").transformWithStateInPandas(
-        statefulProcessor=_Increase(ttl_ms),
-        outputStructType=OUTPUT,
-        outputMode="Append",
-        timeMode="ProcessingTime",
-    )
+def read(spark: SparkSession, out: str) -> DataFrame:
+    """All increases written so far: ``labels, time_unix_nano, increase``."""
+    return spark.read.schema(f"{INCREASE}, batch BIGINT").parquet(out).drop("batch")
