@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +14,12 @@ from emberscope.session import configure
 Build = Callable[[Fixture], DataFrame]
 
 
+@lru_cache(maxsize=8)
+def _fixture(spark: SparkSession, sf_dir: str) -> Fixture:
+    """The lazy frames of a directory; only plans are kept, no data."""
+    return Fixture(spark, sf_dir)
+
+
 @dataclass(frozen=True)
 class Acceptance:
     name: str
@@ -20,7 +27,7 @@ class Acceptance:
     sql: str | None
 
     def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return self.build(Fixture(configure(spark), sf_dir))
+        return self.build(_fixture(configure(spark), sf_dir))
 
 
 REGISTRY: dict[str, Acceptance] = {}

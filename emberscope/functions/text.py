@@ -25,10 +25,13 @@ def matches(column: Column, text: str) -> Column:
     tokens = query_tokens(text)
     if not tokens:
         return F.lit(False)
-    lowered = F.lower(column)
 
-    def has(token: str) -> Column:
-        alone = rf"(?<![\p{{L}}\p{{N}}]){token}(?![\p{{L}}\p{{N}}])"
-        return F.contains(lowered, F.lit(token)) & lowered.rlike(alone)
+    def all_in(lowered: Column) -> Column:
+        tests = []
+        for token in tokens:
+            alone = rf"(?<![\p{{L}}\p{{N}}]){token}(?![\p{{L}}\p{{N}}])"
+            tests += [F.contains(lowered, F.lit(token)), lowered.rlike(alone)]
+        return reduce(lambda a, b: a & b, tests)
 
-    return reduce(lambda a, b: a & b, [has(t) for t in tokens])
+    # The lambda binds the lower-cased text, so that it is made once per row.
+    return F.exists(F.array(F.lower(column)), all_in)

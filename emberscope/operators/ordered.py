@@ -120,62 +120,70 @@ def grouped_percentiles(
     keys: Sequence[str],
     value: str,
     fractions: dict[str, float],
+    totals: dict[str, Column] | None = None,
     chunks: int | None = None,
 ) -> DataFrame:
-    """Exact, linearly interpolated percentiles per group.
+    """Exact, linearly interpolated percentiles per group, and further ``totals``.
 
     The ranks asked for are located in chunks of the *value* axis from chunk
     counts alone; then only the rows of those chunks are sorted, each
-    ``(group, chunk)`` by itself. No task sees a whole group. Null values are
-    ignored; the result has ``keys`` and one DOUBLE column per fraction name.
+    ``(group, chunk)`` by itself. No task sees a whole group. The result has
+    ``keys``, one column per total (an aggregate that adds up over parts of a
+    group) and one DOUBLE column per fraction name, for groups with a value.
     """
-    chunked = with_chunk(df.select(*keys, value).where(F.col(value).isNotNull()), value, chunks)
-    counts = chunked.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
-    by_group = Window.partitionBy(*keys)
-    running = by_group.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, 0)
+    totals = totals or {}
+    names = list(totals)
+    chunked = with_chunk(df, value, chunks)
+    counts = chunked.groupBy(*keys, CHUNK).agg(
+        F.count(value).alias("_n"), *[t.alias(name) for name, t in totals.items()]
+    )
+    by_group = Window.partitionBy(*keys).orderBy(CHUNK)
+    running = by_group.rowsBetween(Window.unboundedPreceding, 0)
+    whole = by_group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     placed = counts.select(
         *keys,
         CHUNK,
         (F.sum("_n").over(running) - F.col("_n")).alias("_before"),
         F.sum("_n").over(running).alias("_upto"),
-        F.sum("_n").over(by_group).alias("_total"),
-    )
-    wanted = F.array_distinct(
-        F.flatten(
-            F.array(*[F.array(_low(p, "_total"), _high(p, "_total")) for p in fractions.values()])
-        )
+        F.sum("_n").over(whole).alias("_total"),
+        *[F.sum(name).over(whole).alias(name) for name in names],
     )
+    ranks = [rank for p in fractions.values() for rank in (_low(p), _high(p))]
+    def here(r: Column) -> Column:
+        return (r >= F.col("_before")) & (r < F.col("_upto"))
+
     targets = placed.select(
         *keys,
         CHUNK,
         "_before",
         "_total",
-        F.filter(
-            wanted, lambda r: (r >= F.col("_before")) & (r < F.col("_upto"))
-        ).alias("_ranks"),
-    ).where(F.size("_ranks") > 0)
+        *names,
+        F.filter(F.array_distinct(F.array(*ranks)), here).alias("_ranks"),
+    ).where((F.col("_total") > 0) & (F.size("_ranks") > 0))
     in_chunk = Window.partitionBy(*keys, CHUNK).orderBy(value)
     same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in [*keys, CHUNK]]
     ranked = (
-        chunked.alias("l")
+        chunked.where(F.col(value).isNotNull())
+        .alias("l")
         .join(targets.alias("r"), same)
-        .select(*[F.col(f"l.{c}") for c in [*keys, CHUNK, value]], "_before", "_total", "_ranks")
+        .select(
+            *[F.col(f"l.{c}") for c in [*keys, CHUNK, value]], "_before", "_total", "_ranks", *names
+        )
         .withColumn("_rank", F.col("_before") + F.row_number().over(in_chunk) - 1)
         .where(F.array_contains("_ranks", F.col("_rank")))
     )
     out = []
     for name, p in fractions.items():
-        low, high = _low(p, "_total"), _high(p, "_total")
-        share = F.lit(p) * (F.col("_total") - 1) - low
-        at_low = F.max(F.when(F.col("_rank") == low, F.col(value).cast("double")))
-        at_high = F.max(F.when(F.col("_rank") == high, F.col(value).cast("double")))
-        out.append((at_low + (at_high - at_low) * F.max(share)).alias(name))
-    return ranked.groupBy(*keys).agg(*out)
+        at_low = F.max(F.when(F.col("_rank") == _low(p), F.col(value).cast("double")))
+        at_high = F.max(F.when(F.col("_rank") == _high(p), F.col(value).cast("double")))
+        share = F.max(F.lit(p) * (F.col("_total") - 1) - _low(p))
+        out.append((at_low + (at_high - at_low) * share).alias(name))
+    return ranked.groupBy(*keys).agg(*[F.max(name).alias(name) for name in names], *out)
 
 
-def _low(p: float, total: str) -> Column:
-    return F.floor(F.lit(p) * (F.col(total) - 1)).cast("bigint")
+def _low(p: float) -> Column:
+    return F.floor(F.lit(p) * (F.col("_total") - 1)).cast("bigint")
 
 
-def _high(p: float, total: str) -> Column:
-    return F.ceil(F.lit(p) * (F.col(total) - 1)).cast("bigint")
+def _high(p: float) -> Column:
+    return F.ceil(F.lit(p) * (F.col("_total") - 1)).cast("bigint")

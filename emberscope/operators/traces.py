@@ -81,22 +81,14 @@ def span_metrics(spans: DataFrame, q: SpanMetricsQuery, approximate: bool = Fals
         "duration_ns",
         (F.col("status") == "ERROR").alias("_error"),
     )
-    counts = [F.count(F.lit(1)).alias("calls"), F.count_if("_error").alias("errors")]
-    if approximate:
-        sketched = [
-            F.percentile_approx("duration_ns", p).cast("double").alias(name)
-            for name, p in PERCENTILES.items()
-        ]
-        return rows.groupBy(*keys).agg(*counts, *sketched)
-    totals = rows.groupBy(*keys).agg(*counts)
-    quantiles = grouped_percentiles(rows, keys, "duration_ns", PERCENTILES)
-    # Group values may be null, and null groups have to meet.
-    same = [F.col(f"t.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys]
-    return (
-        totals.alias("t")
-        .join(quantiles.alias("p"), same, "left")
-        .select(*[F.col(f"t.{k}") for k in keys], "calls", "errors", *PERCENTILES)
-    )
+    totals = {"calls": F.count(F.lit(1)), "errors": F.count_if("_error")}
+    if not approximate:
+        return grouped_percentiles(rows, keys, "duration_ns", PERCENTILES, totals)
+    sketched = [
+        F.percentile_approx("duration_ns", p).cast("double").alias(name)
+        for name, p in PERCENTILES.items()
+    ]
+    return rows.groupBy(*keys).agg(*[t.alias(name) for name, t in totals.items()], *sketched)
 
 
 def get_trace(spans: DataFrame, trace_id: str) -> DataFrame:
