@@ -1,57 +1,77 @@
-"""Order-dependent steps over keyed rows, without putting a whole key into one task.
-
-A window over ``partitionBy(key)`` sorts all rows of a key in one task, which a
-key holding a large share of the table does not survive. Here the ordering
-column is cut into equal-count chunks first, so a ``(key, chunk)`` group holds at
-most about ``rows / chunks`` rows however the keys and times are distributed.
-What a chunk needs from before its start (its *halo*) is computed from one
-summary row per ``(key, chunk)`` and added to the chunk as extra rows. The full
-data is shuffled once, by ``(key, chunk)``.
+"""Order-dependent steps over keyed rows, without putting a large key into one task.
+
+A window over ``partitionBy(key)`` sorts all rows of a key in one task. That is
+the best plan while keys are small, and fails for a key that holds a large share
+of a large table. So the largest key is measured first. Only when it is too
+large for a task, the ordering column is cut into equal-count chunks: a
+``(key, chunk)`` group then holds at most about ``ROWS_PER_TASK`` rows however
+keys and times are distributed. What a chunk needs from before its start (its
+*halo*) is computed from one summary row per ``(key, chunk)`` and added to the
+chunk as extra rows. Either way the full data is shuffled once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK = "_chunk"
 HALO = "_halo"
 
+# Rows of one group that a single task may have to sort.
+ROWS_PER_TASK = 10_000_000
 
-def default_chunks(spark: SparkSession) -> int:
-    """As many chunks as the session has shuffle partitions."""
-    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+# Sampled values per chunk boundary, as range partitioning does it.
+_OVERSAMPLING = 20
 
 
-def equal_count_bounds(df: DataFrame, column: str, chunks: int) -> Column:
-    """Inner boundaries of ``chunks`` equal-count slices, as a scalar subquery.
+def chunks_needed(df: DataFrame, keys: Sequence[str]) -> int:
+    """1 while every key fits a task, else enough chunks for any distribution.
 
-    One pass over a single column with a mergeable sketch. The sketch only
-    balances the chunks; results do not depend on where the boundaries fall.
+    Runs one aggregation over the key columns; only two numbers come back.
     """
-    shares = [i / chunks for i in range(1, chunks)]
-    accuracy = max(1000, 10 * chunks)
-    return df.agg(F.percentile_approx(column, shares, accuracy)).scalar()
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    largest, total = sizes.agg(F.max("_n"), F.sum("_n")).first()
+    return -(-total // ROWS_PER_TASK) if (largest or 0) > ROWS_PER_TASK else 1
 
 
-def with_chunk(df: DataFrame, column: str, chunks: int | None = None) -> DataFrame:
+def chunk_bounds(df: DataFrame, column: str, chunks: int) -> list:
+    """Inner boundaries of about equal-count slices of a column, from a sample.
+
+    The sample only balances the chunks, results do not depend on it. It holds
+    some 20 values per chunk and is taken once, so that all uses of the
+    boundaries agree.
+    """
+    if chunks <= 1:
+        return []
+    values = df.select(column).where(F.col(column).isNotNull())
+    rows = values.count()
+    share = min(1.0, _OVERSAMPLING * chunks / max(rows, 1))
+    sample = sorted(r[0] for r in values.sample(share, seed=chunks).collect())
+    return sorted({sample[i * len(sample) // chunks] for i in range(1, chunks)}) if sample else []
+
+
+def with_chunk(df: DataFrame, column: str, bounds: list) -> DataFrame:
     """Add the chunk number of every row: how many boundaries are <= its value."""
-    n = chunks or default_chunks(df.sparkSession)
-    jumps = [1 << i for i in reversed(range(n.bit_length()))]
+    if not bounds:
+        return df.withColumn(CHUNK, F.lit(0))
+    kind = dict(df.dtypes)[column]
+    table = F.split(F.lit(",".join(map(str, bounds))), ",").cast(f"array<{kind}>")
+    jumps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
     found = F.aggregate(
         F.array(*[F.lit(j) for j in jumps]),
         F.lit(0),
-        lambda at, jump: F.when(
-            F.get("_bounds", at + jump - 1) <= F.col(column), at + jump
-        ).otherwise(at),
-    )
-    return (
-        df.withColumn("_bounds", equal_count_bounds(df, column, n))
-        .withColumn(CHUNK, found)
-        .drop("_bounds")
+        lambda at, jump: F.when(F.get(table, at + jump - 1) <= F.col(column), at + jump).otherwise(at),
     )
+    return df.withColumn(CHUNK, found)
+
+
+def _chunked(df: DataFrame, keys: Sequence[str], column: str, chunks: int | None) -> tuple[DataFrame, bool]:
+    n = chunks_needed(df, keys) if chunks is None else chunks
+    bounds = chunk_bounds(df, column, n)
+    return with_chunk(df, column, bounds), bool(bounds)
 
 
 def _tag(df: DataFrame, columns: Sequence[str], halo: bool) -> DataFrame:
@@ -72,7 +92,9 @@ def with_previous_row(
     Halo rows have ``_halo`` set and are to be dropped after the window step.
     """
     columns = df.columns
-    chunked = with_chunk(df, order[0], chunks)
+    chunked, split = _chunked(df, keys, order[0], chunks)
+    if not split:
+        return _tag(chunked, columns, False)
     row, position = F.struct(*columns), F.struct(*order)
     if carried is not None:
         position = F.when(carried, position)
@@ -91,7 +113,9 @@ def with_previous_rows(
 ) -> DataFrame:
     """Like :func:`with_previous_row`, with the ``k`` latest earlier rows per chunk."""
     columns = df.columns
-    chunked = with_chunk(df, order[0], chunks)
+    chunked, split = _chunked(df, keys, order[0], chunks)
+    if not split:
+        return _tag(chunked, columns, False)
     newest = Window.partitionBy(*keys, CHUNK).orderBy(*[F.col(c).desc() for c in order])
     position = F.struct(*order)
     tail = (
@@ -125,7 +149,8 @@ def grouped_percentiles(
 ) -> DataFrame:
     """Exact, linearly interpolated percentiles per group, and further ``totals``.
 
-    The ranks asked for are located in chunks of the *value* axis from chunk
+    While every group fits a task this is the built-in exact percentile. Beyond
+    that, the ranks asked for are located in chunks of the *value* axis from chunk
     counts alone; then only the rows of those chunks are sorted, each
     ``(group, chunk)`` by itself. No task sees a whole group. The result has
     ``keys``, one column per total (an aggregate that adds up over parts of a
@@ -133,7 +158,17 @@ def grouped_percentiles(
     """
     totals = totals or {}
     names = list(totals)
-    chunked = with_chunk(df, value, chunks)
+    chunked, split = _chunked(df, keys, value, chunks)
+    if not split:
+        return (
+            df.groupBy(*keys)
+            .agg(
+                *[t.alias(name) for name, t in totals.items()],
+                F.percentile(value, list(fractions.values())).alias("_p"),
+            )
+            .where(F.col("_p").isNotNull())
+            .select(*keys, *names, *[F.get("_p", F.lit(i)).alias(n) for i, n in enumerate(fractions)])
+        )
     counts = chunked.groupBy(*keys, CHUNK).agg(
         F.count(value).alias("_n"), *[t.alias(name) for name, t in totals.items()]
     )
