@@ -48,6 +48,10 @@ def _strings(**values: Column) -> Column:
     return F.create_map(*parts)
 
 
+def _doubles(values) -> Column:
+    return F.array(*[F.lit(float(v)) for v in values])
+
+
 class Fixture:
     """Derived tables of one scale-factor directory. Everything is lazy."""
 
@@ -214,10 +218,12 @@ class Fixture:
     def sum(self) -> DataFrame:
         return self._sum_frame()
 
-    def _per_day(self, metric: str, temporality: str | None, aggregates: list[Column], columns: list[Column]) -> DataFrame:
+    def _per_day(self, metric: str, temporality: str | None, aggregates: list[Column], columns: list[Column],
+                 source: DataFrame | None = None) -> DataFrame:
         """One point per (service, day), taken at the last second of the day."""
         start = F.unix_date("day").cast("bigint") * F.lit(DAY)
-        return self.base.groupBy("service", "day").agg(*aggregates).select(
+        rows = self.base if source is None else source
+        return rows.groupBy("service", "day").agg(*aggregates).select(
             (start + F.lit(DAY - SECOND)).alias("time_unix_nano"),
             start.alias("start_time_unix_nano"),
             "service",
@@ -268,35 +274,59 @@ class Fixture:
 
     @cached_property
     def exp_histogram(self) -> DataFrame:
-        value = F.col("value") - SKEW_CENTER
+        """Scale 0 on even days, -1 on odd ones; buckets counted by exact powers, no logarithm."""
+        x = F.col("value") - SKEW_CENTER
         scale = F.when(F.unix_date("day") % 2 == 0, 0).otherwise(-1)
+        edges = F.when(scale == 0, _doubles(2.0**i for i in EXP_INDEXES)).otherwise(
+            _doubles(4.0**i for i in EXP_INDEXES)
+        )
+        # How many edges lie below |x|; 0 is the zero bucket.
+        place = F.size(F.filter(F.col("_edges"), lambda e: e < F.abs("_x")))
+        cells = (
+            self.base.select("service", "day", x.alias("_x"), edges.alias("_edges"))
+            .select("service", "day", "_x", place.alias("_place"))
+            .groupBy("service", "day", F.when(F.col("_place") > 0, F.signum("_x")).alias("_sign"), "_place")
+            .agg(
+                F.count(F.lit(1)).alias("_n"),
+                F.sum(F.round(F.col("_x") * 100).cast("bigint")).alias("_cents"),
+                F.min("_x").alias("_min"),
+                F.max("_x").alias("_max"),
+            )
+        )
+        kept = F.collect_list(F.struct("_sign", "_place", "_n")).alias("_cells")
 
-        def edge(i: int) -> Column:
-            return F.when(scale == 0, F.lit(2.0**i)).otherwise(F.lit(4.0**i))
-
-        def side(x: Column, name: str) -> list[Column]:
-            return [
-                F.count_if((x > edge(i)) & (x <= edge(i + 1))).alias(f"{name}{n}")
-                for n, i in enumerate(EXP_INDEXES)
-            ]
+        def count_at(sign: float | None, at: Column) -> Column:
+            same = F.filter(
+                "_cells", lambda c: c["_sign"].eqNullSafe(F.lit(sign).cast("double")) & (c["_place"] == at)
+            )
+            return F.aggregate(same, F.lit(0).cast("bigint"), lambda acc, c: acc + c["_n"])
 
-        def buckets(name: str) -> Column:
-            counts = F.array(*[F.col(f"{name}{n}") for n in range(len(EXP_INDEXES))])
-            return F.struct(F.lit(EXP_INDEXES[0]).alias("offset"), counts.alias("bucket_counts"))
+        def buckets(sign: float) -> Column:
+            places = F.sequence(F.lit(1), F.lit(len(EXP_INDEXES)))
+            return F.struct(
+                F.lit(EXP_INDEXES[0]).alias("offset"),
+                F.transform(places, lambda i: count_at(sign, i)).alias("bucket_counts"),
+            )
 
-        first = edge(EXP_INDEXES[0])
-        zero = F.count_if((value <= first) & (-value <= first)).alias("zero_count")
         rows = self._per_day(
             "event.skew",
             "DELTA",
-            [*self._totals(value), *side(value, "p"), *side(-value, "n"), zero],
             [
-                *[F.col(c) for c in ("count", "sum", "min", "max", "zero_count")],
+                F.sum("_n").alias("count"),
+                (F.sum("_cents") / 100.0).cast("double").alias("sum"),
+                F.min("_min").alias("min"),
+                F.max("_max").alias("max"),
+                kept,
+            ],
+            [
+                *[F.col(c) for c in ("count", "sum", "min", "max")],
+                count_at(None, F.lit(0)).alias("zero_count"),
                 scale.alias("scale"),
                 F.lit(0.0).alias("zero_threshold"),
-                buckets("p").alias("positive"),
-                buckets("n").alias("negative"),
+                buckets(1.0).alias("positive"),
+                buckets(-1.0).alias("negative"),
             ],
+            source=cells,
         )
         return self._cast(rows, schema.EXP_HISTOGRAM)
 

@@ -56,13 +56,13 @@ def exemplars_with_spans(exemplars: DataFrame, spans: DataFrame) -> DataFrame:
     return exemplars.join(_apart(spans, exemplars, _SPAN_KEYS), _SPAN_KEYS)
 
 
-# Interval classes: widths of 2^3k ns. A span is filed under the narrowest class
+# Interval classes: widths of 2^4k ns. A span is filed under the narrowest class
 # not shorter than it and so touches at most two intervals of that class.
-_CLASS_BITS = 3
+_CLASS_BITS = 4
 
 
 def _class_of(length: Column) -> Column:
-    """Smallest k with 2^(3k) >= length."""
+    """Smallest k with 2^(4k) >= length."""
     bits = F.length(F.bin(F.greatest(length, F.lit(1).cast("bigint")) - 1))
     bits = F.when(length <= 1, F.lit(0)).otherwise(bits)
     return F.ceil(bits / _CLASS_BITS).cast("int")
@@ -80,7 +80,7 @@ def logs_in_spans(logs: DataFrame, spans: DataFrame) -> DataFrame:
     An equi join on (service, length class, time slot) with the exact time test
     on top. Slot width follows each span's own length, so short spans are only
     tried against logs close by and long ones are not copied into many slots. A
-    log is looked up once per length class that occurs, of at most 22.
+    log is looked up once per length class that occurs, of at most 16.
     """
     spans = _apart(spans, logs, ["service"])
     start, end = F.col("start_time_unix_nano"), F.col("end_time_unix_nano")

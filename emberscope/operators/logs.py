@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from emberscope.functions.attrs import attr, label_set
 from emberscope.functions.timegrid import bucket
-from emberscope.plans.predicates import label_conditions, log_predicate, all_of
+from emberscope.plans.predicates import all_of, in_range, label_conditions, log_predicate
 from emberscope.plans.specs import LINE_LIMIT, LogQuery, TimeRange
 
 # Rows with equal times are put in order by these, so that limits are repeatable.
@@ -126,6 +126,12 @@ class QueryStats:
 
 
 def query_with_stats(logs: DataFrame, q: LogQuery) -> tuple[DataFrame, QueryStats]:
+    """The query's rows and its counts; "scanned" are the rows within its time range.
+
+    The range is applied below the counter, since filters do not move past it
+    and the scan would otherwise read every day.
+    """
+    logs = logs.where(all_of(in_range(ORDER[0], q.range, logs.columns)))
     scanned, returned = Observation(), Observation()
     counted = F.count(F.lit(1)).alias("rows")
     rows = query(logs.observe(scanned, counted), q).observe(returned, counted)
