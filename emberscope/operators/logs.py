@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from emberscope.functions.attrs import attr, label_set
-from emberscope.functions.timegrid import bucket
+from emberscope.functions.timegrid import bucket, day_of
 from emberscope.plans.predicates import all_of, in_range, label_conditions, log_predicate
 from emberscope.plans.specs import LINE_LIMIT, LogQuery, TimeRange
 
@@ -30,10 +30,29 @@ def matching(logs: DataFrame, q: LogQuery) -> DataFrame:
 
 def query(logs: DataFrame, q: LogQuery) -> DataFrame:
     """Matching rows, newest first unless the query says forward; a top-k, not a sort."""
-    rows = matching(logs, q).orderBy(*_ordering(q.direction))
-    if q.offset:
-        rows = rows.offset(q.offset)
-    return rows.limit(q.row_limit)
+    return _top(matching(logs, q), q, q.offset)
+
+
+def _top(hits: DataFrame, q: LogQuery, offset: int = 0) -> DataFrame:
+    """First rows of ``hits`` in the query's direction.
+
+    The time of the last row wanted is found first, from the time column and the
+    columns the filters need. Whole rows are then read only on this side of it,
+    which prunes days and row groups.
+    """
+    time, newest_first = F.col(ORDER[0]), q.direction == "backward"
+    edge = (
+        hits.select(time)
+        .orderBy(time.desc() if newest_first else time.asc())
+        .limit(offset + q.row_limit)
+        .agg((F.min if newest_first else F.max)(time))
+        .scalar()
+    )
+    near = [time >= edge if newest_first else time <= edge]
+    if "day" in hits.columns:
+        near.append(F.col("day") >= day_of(edge) if newest_first else F.col("day") <= day_of(edge))
+    rows = hits.where(all_of(near)).orderBy(*_ordering(q.direction))
+    return (rows.offset(offset) if offset else rows).limit(q.row_limit)
 
 
 def count(logs: DataFrame, q: LogQuery) -> DataFrame:
@@ -100,7 +119,7 @@ def page_after(logs: DataFrame, q: LogQuery, last: Sequence | None = None) -> Da
             rows = rows.where((edge <= last[0]) & (here < there))
         else:
             rows = rows.where((edge >= last[0]) & (here > there))
-    return rows.orderBy(*_ordering(q.direction)).limit(q.row_limit)
+    return _top(rows, q)
 
 
 @dataclass(frozen=True)

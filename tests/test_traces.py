@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from emberscope.operators import correlate, traces
+from emberscope.operators import correlate, ordered, traces
 from emberscope.operators.ordered import HALO, chunk_window, grouped_percentiles
 from emberscope.operators.ordered import with_previous_row, with_previous_rows
 from emberscope.plans.specs import SpanFilters, SpanMetricsQuery, TimeRange, TraceQuery
@@ -148,6 +148,20 @@ def test_percentiles_match_numpy(skewed, chunks):
     assert got.count() == 8
 
 
+def test_only_large_keys_are_cut_into_chunks(skewed, monkeypatch):
+    whole = with_previous_row(skewed, ["key"], ["t", "n"])
+    assert [r[0] for r in whole.select("_chunk").distinct().collect()] == [0]
+    monkeypatch.setattr(ordered, "ROWS_PER_TASK", 400)
+    assert ordered.chunks_needed(skewed.where("key <> 'hot'"), ["key"]) == 1
+    assert ordered.chunks_needed(skewed, ["key"]) == 8
+    assert ordered.chunks_needed(skewed.where("v < 0"), ["key"]) == 1
+    cut = with_previous_row(skewed, ["key"], ["t", "n"])
+    assert cut.select("_chunk").distinct().count() > 1
+    lagged = cut.withColumn("p", F.lag("v").over(chunk_window(["key"], ["t", "n"]))).where(~F.col(HALO))
+    want = expected_previous(skewed.collect(), 1)
+    assert {(r.key, r.t, r.n): [] if r.p is None else [r.p] for r in lagged.collect()} == want
+
+
 def test_percentiles_of_nothing(skewed):
     nothing = skewed.where("v < 0")
     assert grouped_percentiles(nothing, ["key"], "v", {"p50": 0.5}).count() == 0
