@@ -98,3 +98,12 @@ def resolve_metric(tables: Tables, query_name: str) -> tuple[str, str]:
     if row is None:
         raise ValueError(f"metric {query_name!r} does not resolve to a stored metric")
     return row["storage_name"], row["kind"]
+
+
+def points_of(tables: Tables, query_name: str) -> DataFrame:
+    """Points of the metric behind a query name, from the table of its kind."""
+    stored, kind = resolve_metric(tables, query_name)
+    table = {"cumulative_counter": schema.SUM, "cumulative_histogram": schema.HISTOGRAM}.get(
+        kind, schema.GAUGE
+    )
+    return tables[table].where(F.col("metric") == stored)

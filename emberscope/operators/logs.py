@@ -153,7 +153,8 @@ def query_with_stats(logs: DataFrame, q: LogQuery) -> tuple[DataFrame, QueryStat
     logs = logs.where(all_of(in_range(ORDER[0], q.range, logs.columns)))
     scanned, returned = Observation(), Observation()
     counted = F.count(F.lit(1)).alias("rows")
-    rows = query(logs.observe(scanned, counted), q).observe(returned, counted)
+    rows = matching(logs.observe(scanned, counted), q).orderBy(*_ordering(q.direction))
+    rows = (rows.offset(q.offset) if q.offset else rows).limit(q.row_limit).observe(returned, counted)
     return rows, QueryStats(scanned, returned, monotonic_ns())
 
 

@@ -237,6 +237,8 @@ def test_catalog_and_resolution(spark):
     assert discovery.resolve_metric(stored, "http_requests") == ("http.requests", "cumulative_counter")
     with pytest.raises(ValueError, match="cpu_seconds"):
         discovery.resolve_metric(stored, "cpu_seconds")
+    assert tuples(discovery.points_of(stored, "cpu_load"), "metric") == [("cpu.load",)]
+    assert tuples(discovery.points_of(stored, "http_requests"), "temporality") == [("DELTA",)]
     nothing = {n: table(spark, n, []) for n in schema.METRIC_TABLES}
     empty = discovery.metric_catalog(nothing)
     assert empty.columns == ["metric", "unit", "temporality", "kind"] and empty.count() == 0
