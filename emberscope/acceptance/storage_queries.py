@@ -35,7 +35,8 @@ def delivered(fx: Fixture, table: str) -> DataFrame:
 def _ingested(fx: Fixture, table: str) -> DataFrame:
     """Envelope files to table files to rows."""
     root = scratch_dir(fx.spark, "tables")
-    tables.append(otlp.accepted(otlp.rows_of(delivered(fx, table), table)), root, table)
+    rows = otlp.accepted(otlp.rows_of(delivered(fx, table), table))
+    tables.append(rows, root, table, clustered=True)
     return tables.scan(fx.spark, root, table)
 
 

@@ -29,20 +29,33 @@ def clustering(name: str) -> list[str]:
 
 
 def append(
-    rows: DataFrame, root: str, name: str, promote_keys: Collection[str] = (), mode: str = "append"
+    rows: DataFrame,
+    root: str,
+    name: str,
+    promote_keys: Collection[str] = (),
+    mode: str = "append",
+    clustered: bool = False,
 ) -> None:
     """Write rows under ``root``; promoted attribute keys become columns of their own.
 
-    No shuffle: every task writes what it holds, sorted. Many small appends are
-    put together later by compaction.
+    Without a shuffle every task writes what it holds, sorted: right for input
+    that arrives in time order, with compaction later. ``clustered`` is for bulk
+    loads whose tasks each hold many days: rows are first ranged on day, service
+    and time, so that the number of files does not grow with tasks times days.
     """
+    path = table_path(root, name)
+    if from_stream(rows.sparkSession, path):
+        raise ValueError(f"{path} is written by a stream; rows appended to it would not be read")
     out = promote(rows, promote_keys) if promote_keys else rows
-    (
-        out.sortWithinPartitions("day", *clustering(name))
-        .write.mode(mode)
-        .partitionBy("day")
-        .parquet(table_path(root, name))
-    )
+    order = ["day", *clustering(name)]
+    if clustered:
+        out = out.repartitionByRange(*order)
+    out.sortWithinPartitions(*order).write.mode(mode).partitionBy("day").parquet(path)
+
+
+def from_stream(spark: SparkSession, path: str) -> bool:
+    """Whether a table's files are listed by a stream's commit log."""
+    return exists(spark, f"{path}/_spark_metadata")
 
 
 def scan(spark: SparkSession, root: str, name: str, promoted: Collection[str] = ()) -> DataFrame:

@@ -15,15 +15,19 @@ def writer(
     """Append accepted records arriving in ``source`` to a table.
 
     The checkpoint tells what has been taken durably; the file sink commits a
-    batch's files together, so a repeated batch leaves no duplicates.
+    batch's files together, so a repeated batch leaves no duplicates. Readers
+    then go by the sink's commit log, so the table must be the stream's own.
     """
+    path = tables.table_path(root, table)
+    if tables.exists(spark, path) and not tables.from_stream(spark, path):
+        raise ValueError(f"{path} holds rows no stream wrote; they would not be read any more")
     envelopes = otlp.stream_envelopes(spark, otlp.signal_of(table), source, **options)
     rows = otlp.accepted(otlp.rows_of(envelopes, table))
     return (
         rows.writeStream.format("parquet")
         .outputMode("append")
         .partitionBy("day")
-        .option("path", tables.table_path(root, table))
+        .option("path", path)
         .option("checkpointLocation", f"{checkpoint.rstrip('/')}/{table}")
     )
 

@@ -240,6 +240,29 @@ def test_stream_ingest_takes_each_file_once(spark, fresh):
     assert tuples(tables.scan(spark, f"{fresh}/db", schema.LOGS), "body") == [("a",), ("b",)]
 
 
+def test_a_table_is_either_streamed_or_appended(spark, fresh):
+    import os
+
+    os.makedirs(f"{fresh}/in")
+    put(f"{fresh}/in/1.json", log_envelope({"timeUnixNano": "1", "body": {"stringValue": "a"}}))
+    run(ingest.writer(spark, schema.LOGS, f"{fresh}/in", f"{fresh}/streamed", f"{fresh}/cp"))
+    rows = days_of_logs(spark, 1)
+    with pytest.raises(ValueError, match="written by a stream"):
+        tables.append(rows, f"{fresh}/streamed", schema.LOGS)
+    tables.append(rows, f"{fresh}/appended", schema.LOGS)
+    with pytest.raises(ValueError, match="no stream wrote"):
+        ingest.writer(spark, schema.LOGS, f"{fresh}/in", f"{fresh}/appended", f"{fresh}/cp2")
+
+
+def test_clustered_append_keeps_files_few(spark, fresh):
+    rows = days_of_logs(spark).repartition(8)
+    tables.append(rows, f"{fresh}/loose", schema.LOGS)
+    tables.append(rows, f"{fresh}/tight", schema.LOGS, clustered=True)
+    loose, tight = (upkeep.segment_files(spark, f"{fresh}/{r}", schema.LOGS).count() for r in ("loose", "tight"))
+    assert loose == 32 and tight <= 12
+    assert tables.scan(spark, f"{fresh}/tight", schema.LOGS).count() == 96
+
+
 def test_late_rows_are_not_counted_again(spark, fresh):
     def arrive(*times):
         make_logs(spark, *[{"time_unix_nano": t * S} for t in times]).write.mode("append").parquet(f"{fresh}/in")
