@@ -40,8 +40,9 @@ def append(
 
     Without a shuffle every task writes what it holds, sorted: right for input
     that arrives in time order, with compaction later. ``clustered`` is for bulk
-    loads whose tasks each hold many days: rows are first ranged on day, service
-    and time, so that the number of files does not grow with tasks times days.
+    loads whose tasks each hold many days: rows are first brought together by
+    day, large days split and small ones joined to the advisory partition size,
+    so that the number of files does not grow with tasks times days.
     """
     path = table_path(root, name)
     if from_stream(rows.sparkSession, path):
@@ -49,7 +50,7 @@ def append(
     out = promote(rows, promote_keys) if promote_keys else rows
     order = ["day", *clustering(name)]
     if clustered:
-        out = out.repartitionByRange(*order)
+        out = out.hint("rebalance", "day")
     out.sortWithinPartitions(*order).write.mode(mode).partitionBy("day").parquet(path)
 
 
