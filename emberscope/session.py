@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -42,17 +43,33 @@ def local_session(cores: int | str = "*", app: str = "emberscope", **conf) -> Sp
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return configure(spark)
+    return configure(let_workers_import(spark))
+
+
+def let_workers_import(spark: SparkSession) -> SparkSession:
+    """Put this package on the path of Python workers that share the driver's files.
+
+    On clusters that do not, ship the package as usual (``--py-files``).
+    """
+    root = str(Path(__file__).resolve().parent.parent)
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return spark
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path for job output.
 
     On a cluster it lies in the shared folder named by ``spark.checkpoint.dir``;
-    a machine-local folder is used only when that setting is absent.
+    a machine-local folder is used only when that setting is absent and the session
+    itself is local.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     name = f"{label}-{uuid.uuid4().hex}"
     if shared:
         return f"{shared.rstrip('/')}/emberscope/{name}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return os.path.join(tempfile.mkdtemp(prefix="run-", dir="/tmp"), name)
