@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ def crc_fold(doc_id: str = "doc_id") -> Column:
 
 def steps(batch: pa.RecordBatch, column: str, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose texts hold about ``limit`` bytes together, or one longer text."""
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), dtype=np.int64)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
     ends = np.cumsum(sizes)
     at = 0
     while at < batch.num_rows:
@@ -50,7 +51,7 @@ def steps(batch: pa.RecordBatch, column: str, limit: int = STEP_BYTES) -> Iterat
 
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text column, nulls being empty, and where each row begins (one more offset than rows)."""
-    texts = pa.compute.fill_null(texts, "")
+    texts = pc.fill_null(texts, "")
     if not pa.types.is_large_string(texts.type):
         texts = texts.cast(pa.large_string())
     _, offsets, data = texts.buffers()
