@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from emberscope.llm import minhash, packing
+from emberscope.llm import langid, minhash, mixing, packing, quality
 from emberscope.llm.common import table
 from emberscope.session import let_workers_import
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(let_workers_import(spark), sf_dir, "documents")
     packed = packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), ids=False)
@@ -22,5 +25,13 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(docs, minhash.Settings(width=3, numerator=85))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op5_minhash)}
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(let_workers_import(spark), sf_dir, "documents"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rate_all(table(let_workers_import(spark), sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_packing, op5_minhash, op7_language_id, op10_quality)}
 ORACLES: dict[str, str] = {}
