@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from emberscope.llm import langid, minhash, mixing, packing, quality
+from emberscope.llm import langid, minhash, mixing, packing, quality, token_files
 from emberscope.llm.common import table
 from emberscope.session import let_workers_import
 
@@ -29,9 +29,14 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(let_workers_import(spark), sf_dir, "documents"))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(let_workers_import(spark), sf_dir, "documents")
+    return token_files.digest(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate_all(table(let_workers_import(spark), sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_packing, op5_minhash, op7_language_id, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_packing, op5_minhash, op7_language_id, op8_token_files, op10_quality)}
 ORACLES: dict[str, str] = {}
