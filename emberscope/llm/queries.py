@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from emberscope.llm import caps, langid, minhash, mixing, packing, quality, token_files
+from emberscope.llm import caps, langid, minhash, mixing, packing, partitions, quality, token_files
 from emberscope.llm.common import table
 from emberscope.session import let_workers_import
 
@@ -29,6 +29,10 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(docs, minhash.Settings(width=3, numerator=85))
 
 
+def op6_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partitions.search(table(let_workers_import(spark), sf_dir, "embeddings"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(let_workers_import(spark), sf_dir, "documents"))
 
@@ -42,5 +46,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate_all(table(let_workers_import(spark), sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_packing, op3_spherical_caps, op5_minhash, op7_language_id, op8_token_files, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_packing, op3_spherical_caps, op5_minhash, op6_learned_partitions, op7_language_id, op8_token_files, op10_quality)}
 ORACLES: dict[str, str] = {}
