@@ -193,16 +193,15 @@ def search(vectors: DataFrame, every: int = 50, s: Settings = Settings()) -> Dat
     sizes = F.broadcast(sizes)  # a row a partition
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = asked.join(sizes, "part").select("part", F.pmod(F.xxhash64("id"), "qs").alias("qb"), spread("cs").alias("cb"), "id", "v")
-    right = home.join(sizes, "part").select("part", spread("qs").alias("qb"), F.pmod(F.xxhash64("id"), "cs").alias("cb"), "id", "v")
+    right = home.join(sizes, "part").select("part", spread("qs").alias("qb"), F.pmod(F.xxhash64("id"), "cs").alias("cb"), "id", "v").toDF("part_", "qb_", "cb_", "id_", "v_")
 
     def meet(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not (len(q) and len(c)):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
-        a, b = (np.stack(x.v.to_numpy()).astype(np.float64) for x in (q, c))
-        found = best(q.id.to_numpy(), a, c.id.to_numpy(), b, s.k)
+        a, b = (np.stack(x.to_numpy()).astype(np.float64) for x in (q.v, c.v_))
+        found = best(q.id.to_numpy(), a, c.id_.to_numpy(), b, s.k)
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), found, strict=True)))
 
-    keys = ["part", "qb", "cb"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, "query_id long, vec_id long, score double")
+    found = left.groupBy("part", "qb", "cb").cogroup(right.groupBy("part_", "qb_", "cb_")).applyInPandas(meet, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= s.k).select("query_id", "rank", "vec_id", "score")
