@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from emberscope.llm import caps, langid, minhash, mixing, packing, partitions, quality, token_files
+from emberscope.llm import caps, langid, minhash, mixing, packing, partitions, quality, style_tree, token_files
 from emberscope.llm.common import table
 from emberscope.session import let_workers_import
 
@@ -24,6 +24,10 @@ def op3_spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caps.near_vectors(table(let_workers_import(spark), sf_dir, "embeddings"))
 
 
+def op4_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return style_tree.extract(table(let_workers_import(spark), sf_dir, "pages"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(let_workers_import(spark), sf_dir, "documents")
     return minhash.near_duplicates(docs, minhash.Settings(width=3, numerator=85))
@@ -46,5 +50,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate_all(table(let_workers_import(spark), sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_packing, op3_spherical_caps, op5_minhash, op6_learned_partitions, op7_language_id, op8_token_files, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_packing, op3_spherical_caps, op4_style_tree, op5_minhash, op6_learned_partitions, op7_language_id, op8_token_files, op10_quality)}
 ORACLES: dict[str, str] = {}
