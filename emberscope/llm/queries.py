@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from emberscope.llm import caps, langid, minhash, mixing, packing, partitions, quality, style_tree, token_files
+from emberscope.llm import caps, langid, licenses, minhash, mixing, packing, partitions, quality, style_tree, token_files
 from emberscope.llm.common import table
 from emberscope.session import let_workers_import
 
@@ -46,9 +46,13 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(let_workers_import(spark), sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate_all(table(let_workers_import(spark), sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_packing, op3_spherical_caps, op4_style_tree, op5_minhash, op6_learned_partitions, op7_language_id, op8_token_files, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_packing, op3_spherical_caps, op4_style_tree, op5_minhash, op6_learned_partitions, op7_language_id, op8_token_files, op9_license_scan, op10_quality)}
 ORACLES: dict[str, str] = {}
