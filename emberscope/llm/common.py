@@ -51,6 +51,8 @@ def steps(batch: pa.RecordBatch, column: str, limit: int = STEP_BYTES) -> Iterat
 
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text column, nulls being empty, and where each row begins (one more offset than rows)."""
+    if not len(texts):
+        return np.empty(0, np.uint8), np.zeros(1, np.int64)
     texts = pc.fill_null(texts, "")
     if not pa.types.is_large_string(texts.type):
         texts = texts.cast(pa.large_string())

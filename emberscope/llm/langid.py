@@ -69,12 +69,13 @@ class Parser:
         for k in self.languages:
             symbols = self.symbols(lowered[k])[0]
             moves = Automaton(symbols, self.alphabet - 1).moves
+            # A missing move ends the phrase and starts the next with the same symbol; a symbol
+            # that the whole sample lacks is a phrase of its own. Two bits hold the phrases ended.
             begin = np.maximum(moves[0], 0)
-            # A missing move ends the phrase and starts the next with the same symbol.
-            table = np.where(moves >= 0, moves * 2, begin * 2 + 1)
-            stay = np.arange(len(moves), dtype=np.int64) * 2
-            table = np.column_stack([table, stay]).astype(np.int64)
-            self.tables.append(((table >> 1) * self.alphabet * 2 | table & 1).ravel())
+            ended = np.where(moves >= 0, 0, np.where(moves[0] >= 0, 1, 2))
+            ended[0, moves[0] < 0] = 1
+            to = np.column_stack([np.where(moves >= 0, moves, begin), np.arange(len(moves))]).astype(np.int64)
+            self.tables.append((to * self.alphabet << 2 | np.column_stack([ended, np.zeros(len(moves), np.int64)])).ravel())
             self.bits.append(np.log2(len(symbols) + 2))
 
     def symbols(self, found: np.ndarray, rows: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
@@ -105,18 +106,19 @@ class Parser:
         grid = np.ascontiguousarray(grid.T)
         bits = np.empty((len(texts), len(self.languages)))
         for k, (table, cost) in enumerate(zip(self.tables, self.bits, strict=True)):
-            at, count = np.zeros(len(owner), np.int64), np.ones(len(owner), np.int64)
+            at, count = np.zeros(len(owner), np.int64), np.zeros(len(owner), np.int64)
             for line in grid:
                 at = table[at + line]
-                count += at & 1
-                at >>= 1
+                count += at & 3
+                at >>= 2
+            count += at > 0
             bits[:, k] = np.bincount(owner, count, minlength=len(texts)) * cost / np.maximum(sizes, 1)
         return bits, lettered
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        bits, lettered = self.phrases([t or "" for t in texts])
         if not self.languages:
             return [UNDETERMINED] * len(texts), np.zeros(len(texts))
+        bits, lettered = self.phrases([t or "" for t in texts])
         best = bits.argmin(axis=1)
         ordered = np.sort(bits, axis=1)
         rest = ordered[:, 1] if len(self.languages) > 1 else np.full(len(texts), np.inf)

@@ -116,7 +116,9 @@ class Scanner:
             runs = [r for r in difflib.SequenceMatcher(None, form, plain, autojunk=False).get_matching_blocks() if r.size]
             if not runs:
                 continue
-            first, last = runs[0].b, runs[-1].b + runs[-1].size
+            # Words at either end that differ are part of the notice, too.
+            first = max(0, runs[0].b - runs[0].a)
+            last = min(len(plain), runs[-1].b + runs[-1].size + len(form) - runs[-1].a - runs[-1].size)
             same = sum(r.size for r in runs) / len(form)
             kept = {r.a + k for r in runs for k in range(r.size)}
             used = {r.b + k for r in runs for k in range(r.size)}

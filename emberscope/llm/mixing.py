@@ -160,8 +160,9 @@ def rates(docs: DataFrame, labels: DataFrame, keep: list[str], s: Settings = Set
 
 def mix(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:
     """The mixed corpus: each row as often as its copies say, with the columns of ``docs``."""
-    out, _ = rates(docs, labels, docs.columns, s)
-    return out.where("_copies > 0").withColumn("_i", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
+    whole = docs.select("doc_id", "text", F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+    out, _ = rates(whole, labels, ["_row"], s)
+    return out.where("_copies > 0").withColumn("_i", F.explode(F.sequence(F.lit(1), "_copies"))).select("_row.*")
 
 
 def mixture(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:

@@ -125,7 +125,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     are read more than once: hand in a stored table. No rows give no rows.
     """
     slots = partitions(parts.sparkSession)
-    parts = parts.withColumn("_slot", F.pmod(F.xxhash64("doc_id", "start"), F.lit(slots)))
+    parts = parts.drop("sequence_id", "offset").withColumn("_slot", F.pmod(F.xxhash64("doc_id", "start"), F.lit(slots)))
     sizes = parts.groupBy("length", "_slot").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("length").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     base = sizes.select("length", "_slot", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))

@@ -9,7 +9,7 @@ A file holds a run of documents in ascending order of id. Layout, all little-end
     control   two bits an id, four to a byte from the low end: bytes of its rank less one
     data      the ranks, each in 1 to 4 bytes
 
-The ranks themselves lie beside the shards as one table, ``ranks.u32``: the id of each rank.
+The ranks themselves lie beside the shards as one table, ``ranks.u32``: the mark, then the id of each rank.
 """
 
 from __future__ import annotations
@@ -142,7 +142,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = END_ID) -
     id_of = np.array([r["id"] for r in counts], np.uint32)
     rank_of = np.zeros(int(id_of.max()) + 1 if len(id_of) else 1, np.uint32)
     rank_of[id_of] = np.arange(len(id_of), dtype=np.uint32)
-    _put(folder, "ranks.u32", id_of.astype("<u4").tobytes())
+    _put(folder, "ranks.u32", MARK + id_of.astype("<u4").tobytes())
     total = zipped.agg(F.sum(F.octet_length("zipped"))).first()[0] or 0
     dealt = zipped.repartitionByRange(max(1, -(-total // SHARD_BYTES)), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("zipped"))
 
@@ -160,7 +160,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = END_ID) -
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and ids (binary, 32-bit) of each document in ``folder``."""
     path = folder if re.match(r"\w+:/", folder) else f"file://{folder}"
-    id_of = np.frombuffer(spark.read.format("binaryFile").load(f"{path}/ranks.u32").first()["content"], "<u4")
+    id_of = np.frombuffer(spark.read.format("binaryFile").load(f"{path}/ranks.u32").first()["content"][len(MARK) :], "<u4")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
