@@ -109,9 +109,34 @@ def _page_2(fx: Fixture) -> DataFrame:
 
 @query("logs_page_keyset", f"{_PAGE_SQL} OFFSET 25", ("f_logs",))
 def _page_keyset(fx: Fixture) -> DataFrame:
-    first = logs.page_after(fx.logs, _PAGED).select(*logs.ORDER).collect()
-    last = first[-1] if first else None
-    return logs.page_after(fx.logs, _PAGED, last).select(_COLUMNS)
+    first = logs.page_after(fx.logs, _PAGED).collect()
+    return logs.page_after(fx.logs, _PAGED, logs.next_cursor(first)).select(_COLUMNS)
+
+
+_TIED = "service = 'cart' AND severity_number >= 17 AND " + _tokens("body", "error")
+
+
+@query(
+    "logs_page_keyset_ties",
+    f"""WITH twice AS (SELECT * FROM f_logs UNION ALL SELECT * FROM f_logs),
+        first AS (SELECT {", ".join(_COLUMNS)} FROM twice WHERE {_TIED} {_NEWEST} LIMIT 75)
+        SELECT * FROM first""",
+    ("f_logs",),
+)
+def _page_keyset_ties(fx: Fixture) -> DataFrame:
+    """Three pages of 25 rows over logs that all occur twice: every page but the first begins after a cursor."""
+    twice = fx.logs.unionByName(fx.logs)
+    q = LogQuery(service="cart", text="error", min_severity=17, limit=25)
+    pages, cursor = [], None
+    for _ in range(3):
+        page = logs.page_after(twice, q, cursor)
+        rows = page.collect()
+        pages.append(page.select(_COLUMNS))
+        cursor = logs.next_cursor(rows, cursor)
+    out = pages[0]
+    for page in pages[1:]:
+        out = out.unionByName(page)
+    return out
 
 
 @query("logs_count", f"SELECT count(*) AS count FROM f_logs WHERE {_IS_ERROR}", ("f_logs",))

@@ -169,16 +169,16 @@ def _receipt(fx: Fixture) -> DataFrame:
 
 @query(
     "promote_keys",
-    """SELECT time_unix_nano, service, body, event_type AS attr_event_type, CAST(amount AS varchar) AS attr_amount
+    """SELECT time_unix_nano, service, body, event_type AS attr_event_2e_type, CAST(amount AS varchar) AS attr_amount
        FROM f_logs WHERE event_type = 'purchase'""",
     ("f_logs",),
 )
 def _promote(fx: Fixture) -> DataFrame:
     root, keys = scratch_dir(fx.spark, "promoted"), ["event.type", "amount"]
     tables.append(fx.logs, root, schema.LOGS, promote_keys=keys)
-    stored = tables.scan(fx.spark, root, schema.LOGS, promoted=keys)
+    stored = tables.scan(fx.spark, root, schema.LOGS)
     found = logs.matching(stored, LogQuery(attr_eq=[("event.type", "purchase")]))
-    return found.select("time_unix_nano", "service", "body", "attr_event_type", "attr_amount")
+    return found.select("time_unix_nano", "service", "body", "attr_event_2e_type", "attr_amount")
 
 
 _ALL_COUNTS = " UNION ALL ".join(

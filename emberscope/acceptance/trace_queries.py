@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from emberscope.acceptance.fixtures import FIRST_DAY_NS, LAST_NS, Fixture
 from emberscope.acceptance.registry import query
-from emberscope.functions.timegrid import HOUR, SECOND
+from emberscope.functions.timegrid import DAY, HOUR, SECOND
 from emberscope.operators import correlate, discovery, metrics, traces
 from emberscope.plans.predicates import span_predicate
-from emberscope.plans.specs import MetricQuery, SpanFilters, SpanMetricsQuery, TraceQuery
+from emberscope.plans.specs import MetricQuery, SpanFilters, SpanMetricsQuery, TimeRange, TraceQuery
 
 
 def _spans(key: str, where: str, **conditions) -> None:
@@ -71,6 +71,19 @@ def _search_duration(fx: Fixture) -> DataFrame:
     return traces.search(fx.spans, q)
 
 
+_FROM, _TO = FIRST_DAY_NS + 9 * DAY + 12 * HOUR, FIRST_DAY_NS + 11 * DAY + 2 * HOUR
+
+
+@query(
+    "trace_search_range",
+    _search_sql("true", f"start_time >= {_FROM} AND start_time < {_TO}", 100),
+    ("f_spans",),
+)
+def _search_range(fx: Fixture) -> DataFrame:
+    """A day and a half over two edges of days; traces that began earlier stay out."""
+    return traces.search(fx.spans, TraceQuery(range=TimeRange(_FROM, _TO), limit=100))
+
+
 def _red_sql(group: str, where: str) -> str:
     quantiles = ", ".join(
         f"round(quantile_cont(duration_ns::double, {p}), 3) AS {name}" for name, p in traces.PERCENTILES.items()

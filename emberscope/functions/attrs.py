@@ -13,8 +13,12 @@ _SERVICE_KEYS = ("service", "service.name")
 
 
 def promoted_column(key: str) -> str:
-    """Name of the physical column that holds a promoted attribute key."""
-    return "attr_" + re.sub(r"[^0-9A-Za-z]+", "_", key).lower()
+    """Name of the physical column that holds a promoted attribute key.
+
+    Everything but lower-case letters and digits is written as its code, so that
+    no two keys share a column, whatever their case.
+    """
+    return "attr_" + re.sub(r"[^0-9a-z]", lambda m: f"_{ord(m[0]):x}_", key)
 
 
 def attr(key: str, columns: Collection[str] = ()) -> Column:

@@ -12,10 +12,6 @@ MINUTE = 60 * SECOND
 HOUR = 60 * MINUTE
 DAY = 24 * HOUR
 
-# Largest number of steps a grid may have.
-MAX_STEPS = 11_000
-
-
 def bucket(time: Column, step_ns: int) -> Column:
     """Start of the epoch-aligned bucket holding ``time`` (floor, also before 1970)."""
     return time - F.pmod(time, F.lit(max(int(step_ns), 1)))
@@ -38,18 +34,22 @@ def timestamp_of(time: Column) -> Column:
 
 @dataclass(frozen=True)
 class Grid:
-    """Evaluation times ``start, start+step, ...`` up to and including ``end``."""
+    """Evaluation times ``start, start+step, ...`` up to and including ``end``.
+
+    ``most`` steps at most are accepted, if it is given.
+    """
 
     start: int
     end: int
     step: int
+    most: int | None = None
 
     def __post_init__(self) -> None:
         if self.end < self.start:
             raise ValueError(f"grid ends at {self.end}, before its start {self.start}")
         object.__setattr__(self, "step", max(int(self.step), 1))
-        if self.count > MAX_STEPS:
-            raise ValueError(f"{self.count} steps exceed the limit of {MAX_STEPS}")
+        if self.most is not None and self.count > self.most:
+            raise ValueError(f"{self.count} steps exceed the limit of {self.most}")
 
     @property
     def count(self) -> int:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from emberscope.operators.ordered import HALO, chunk_window, with_previous_row
 from emberscope.operators.series import LOOKBACK
+from emberscope.plans.predicates import all_of
 
 _SPAN_KEYS = ["trace_id", "span_id"]
 
@@ -114,8 +115,14 @@ def metric_at_log(
 
     Adds ``metric_time`` and ``metric_value``, null without such a sample. Both
     sides become one timeline on which the sample is carried forward. Of several
-    samples at the same time the largest value counts.
+    samples at the same time the largest value counts. A log with a null key
+    matches nothing and bypasses the timeline.
     """
+    keyed = all_of(F.col(k).isNotNull() for k in keys)
+    alone = logs.where(~keyed).withColumns(
+        {"metric_time": F.lit(None).cast("bigint"), "metric_value": F.lit(None).cast("double")}
+    )
+    logs, points = logs.where(keyed), points.where(keyed)
     carried = [c for c in logs.columns if c not in keys]
     left = logs.select(
         *keys,
@@ -140,9 +147,10 @@ def metric_at_log(
         ~is_sample & ~F.col(HALO)
     )
     fresh = F.col("_t") - F.col("_m._t") < lookback
-    return held.select(
+    matched = held.select(
         *keys,
         "_log.*",
         F.when(fresh, F.col("_m._t")).alias("metric_time"),
         F.when(fresh, F.col("_m._v")).alias("metric_value"),
     )
+    return matched.unionByName(alone)

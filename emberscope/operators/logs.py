@@ -2,25 +2,49 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import cached_property
 from time import monotonic_ns
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
-from emberscope.functions.attrs import attr, label_set
+from emberscope.functions.attrs import attr, canonical_json, label_set
 from emberscope.functions.timegrid import bucket, day_of
 from emberscope.plans.predicates import all_of, in_range, label_conditions, log_predicate
 from emberscope.plans.specs import LINE_LIMIT, LogQuery, TimeRange
 
-# Rows with equal times are put in order by these, so that limits are repeatable.
-ORDER = ("time_unix_nano", "service", "severity_number", "body")
-
-
-def _ordering(direction: str) -> list[Column]:
+# Rows are put in order by all these, so rows that tie are alike and limits are repeatable.
+ORDER = (
+    "time_unix_nano",
+    "service",
+    "severity_number",
+    "body",
+    "trace_id",
+    "span_id",
+    "attributes",
+    "resource",
+    "observed_time_unix_nano",
+    "severity_text",
+    "event_name",
+    "flags",
+    "scope_name",
+    "scope_version",
+)
+_MAPS = ("attributes", "resource")
+
+
+def _key(name: str, column: Column | None = None) -> Column:
+    """A column as it is put in order: maps by their canonical text."""
+    column = F.col(name) if column is None else column
+    return canonical_json(column) if name in _MAPS else column
+
+
+def _ordering(direction: str, columns: Sequence[str] = ORDER) -> list[Column]:
     newest_first = direction == "backward"
-    return [F.col(c).desc() if newest_first else F.col(c).asc() for c in ORDER]
+    keys = [_key(c) for c in ORDER if c in columns]
+    return [k.desc() if newest_first else k.asc() for k in keys]
 
 
 def matching(logs: DataFrame, q: LogQuery) -> DataFrame:
@@ -51,7 +75,7 @@ def _top(hits: DataFrame, q: LogQuery, offset: int = 0) -> DataFrame:
     near = [time >= edge if newest_first else time <= edge]
     if "day" in hits.columns:
         near.append(F.col("day") >= day_of(edge) if newest_first else F.col("day") <= day_of(edge))
-    rows = hits.where(all_of(near)).orderBy(*_ordering(q.direction))
+    rows = hits.where(all_of(near)).orderBy(*_ordering(q.direction, hits.columns))
     return (rows.offset(offset) if offset else rows).limit(q.row_limit)
 
 
@@ -106,23 +130,59 @@ def page(logs: DataFrame, q: LogQuery, after: int = 0) -> Page:
     return Page(rows.observe(seen, F.count(F.lit(1)).alias("returned")), after, q.limit, seen)
 
 
-def page_after(logs: DataFrame, q: LogQuery, last: Sequence | None = None) -> DataFrame:
-    """The page following the row whose ``ORDER`` values are ``last``; cost does not grow."""
-    rows = matching(logs, q)
-    if last is not None:
-        here = F.struct(*ORDER)
-        types = dict(logs.dtypes)
-        there = F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(ORDER, last)])
-        edge = F.col(ORDER[0])
-        # The plain comparison on time is what the scan can use.
-        if q.direction == "backward":
-            rows = rows.where((edge <= last[0]) & (here < there))
-        else:
-            rows = rows.where((edge >= last[0]) & (here > there))
-    return _top(rows, q)
+@dataclass(frozen=True)
+class Cursor:
+    """Where a page ended: the ``ORDER`` values of its last row, and how many rows alike have been shown."""
 
+    values: tuple
+    shown: int
 
-@dataclass(frozen=True)
+
+def next_cursor(rows: Sequence[Row], before: Cursor | None = None) -> Cursor | None:
+    """The cursor after a collected page that followed ``before``; an empty page keeps it."""
+    if not rows:
+        return before
+    keys = [tuple(row[c] if c in row else None for c in ORDER) for row in rows]
+    alike = next((i for i, k in enumerate(reversed(keys)) if k != keys[-1]), len(keys))
+    if alike == len(keys) and before is not None and before.values == keys[-1]:
+        alike += before.shown
+    return Cursor(keys[-1], alike)
+
+
+def page_after(logs: DataFrame, q: LogQuery, last: Cursor | Sequence | None = None) -> DataFrame:
+    """The page following a cursor; cost does not grow with the number of pages.
+
+    No row is lost or shown twice when rows are alike: the cursor counts them. A plain
+    sequence of leading ``ORDER`` values means the first row beyond all that have them.
+    """
+    rows = matching(logs, q)
+    if last is None:
+        return _top(rows, q)
+    values = last.values if isinstance(last, Cursor) else tuple(last)
+    types = dict(logs.dtypes)
+    names = [c for c in ORDER[: len(values)] if c in types]
+    given = {c: _literal(values[ORDER.index(c)], types[c]) for c in names}
+    here = F.struct(*[_key(c).alias(c) for c in names])
+    there = F.struct(*[_key(c, given[c]).alias(c) for c in names])
+    newest_first = q.direction == "backward"
+    # The plain comparison on time is what the scan can use.
+    edge = F.col(ORDER[0])
+    rows = rows.where(edge <= values[0] if newest_first else edge >= values[0])
+    beyond = rows.where(here < there if newest_first else here > there)
+    if isinstance(last, Cursor):
+        alike = rows.where((edge == values[0]) & here.eqNullSafe(there))
+        beyond = alike.offset(last.shown).limit(q.row_limit).unionByName(beyond)
+    return _top(beyond, q)
+
+
+def _literal(value, kind: str) -> Column:
+    if isinstance(value, Mapping):
+        pairs = [F.lit(x) for pair in value.items() for x in pair]
+        return F.create_map(*pairs).cast(kind)
+    return F.lit(value).cast(kind)
+
+
+@dataclass
 class QueryStats:
     """What a query read and gave back. Known once its rows have been executed."""
 
@@ -138,8 +198,9 @@ class QueryStats:
     def rows_returned(self) -> int:
         return self._returned.get["rows"]
 
-    @property
+    @cached_property
     def elapsed_ns(self) -> int:
+        """From the query's start to the first look at this figure after its end; it then stays."""
         self._returned.get
         return monotonic_ns() - self._started
 
@@ -153,7 +214,7 @@ def query_with_stats(logs: DataFrame, q: LogQuery) -> tuple[DataFrame, QueryStat
     logs = logs.where(all_of(in_range(ORDER[0], q.range, logs.columns)))
     scanned, returned = Observation(), Observation()
     counted = F.count(F.lit(1)).alias("rows")
-    rows = matching(logs.observe(scanned, counted), q).orderBy(*_ordering(q.direction))
+    rows = matching(logs.observe(scanned, counted), q).orderBy(*_ordering(q.direction, logs.columns))
     rows = (rows.offset(q.offset) if q.offset else rows).limit(q.row_limit).observe(returned, counted)
     return rows, QueryStats(scanned, returned, monotonic_ns())
 

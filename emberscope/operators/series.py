@@ -10,11 +10,19 @@ from pyspark.sql import functions as F
 from emberscope.functions.attrs import label_set
 from emberscope.functions.timegrid import MINUTE, Grid
 from emberscope.operators.metrics import AGGREGATES, increases, recorded, stale
+from emberscope.plans.predicates import all_of, in_range
+from emberscope.plans.specs import TimeRange
 
 # How far back a sample still counts at a step.
 LOOKBACK = 5 * MINUTE
 
 
+def _within(rows: DataFrame, grid: Grid, before: int) -> DataFrame:
+    """Rows in ``(start - before, end]``; the range reaches the ``day`` partitions."""
+    seen = TimeRange(grid.start - before + 1, grid.end + 1)
+    return rows.where(all_of(in_range("time_unix_nano", seen, rows.columns)))
+
+
 def _fill(rows: DataFrame, grid: Grid) -> DataFrame:
     """One row per step in ``[_first, _last]``, with the step's time as ``ts``."""
     return (
@@ -33,7 +41,7 @@ def instant_grid(points: DataFrame, grid: Grid, lookback: int = LOOKBACK) -> Dat
     the series until its next sample.
     """
     time = F.col("time_unix_nano")
-    inside = points.where((time > grid.start - lookback) & (time <= grid.end))
+    inside = _within(points, grid, lookback)
     newest = F.max(F.struct("time_unix_nano", "value", stale(F.col("flags")).alias("gone")))
     per_slot = (
         inside.groupBy("labels", grid.clip_low(grid.index_at_or_after(time)).alias("_first"))
@@ -56,7 +64,7 @@ def rate(points: DataFrame, grid: Grid, range_ns: int) -> DataFrame:
     series with fewer than two samples in a window has no value there.
     """
     time = F.col("time_unix_nano")
-    inside = recorded(points).where((time > grid.start - range_ns) & (time <= grid.end))
+    inside = recorded(_within(points, grid, range_ns))
     steps = inside.select("labels", "time_unix_nano", "value")
     first = grid.clip_low(grid.index_at_or_after(time))
     last = grid.clip_high(grid.index_before(F.col("previous_time") + F.lit(range_ns)))
@@ -101,7 +109,7 @@ def count_over_time(logs: DataFrame, grid: Grid, range_ns: int) -> DataFrame:
     service has at most two rows per step whatever its log volume.
     """
     time = F.col("time_unix_nano")
-    inside = logs.where((time > grid.start - range_ns) & (time <= grid.end))
+    inside = _within(logs, grid, range_ns)
     enters = grid.clip_low(grid.index_at_or_after(time))
     leaves = grid.index_at_or_after(time + F.lit(range_ns))
     changes = (

@@ -24,12 +24,32 @@ _SPAN_FIELDS = ("name", "kind", "status")
 PERCENTILES = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
 
 
+def _beginning_in(spans: DataFrame, within: TimeRange) -> DataFrame:
+    """All spans of the traces whose first span starts in the range; whole days outside are not read.
+
+    Candidates have a span in the range. Those with a span before it began earlier and
+    are left out; what remains has no span before the range.
+    """
+    time = "start_time_unix_nano"
+    if within.start is None and within.end is None:
+        return spans
+    begun = spans.where(all_of(in_range(time, within, spans.columns))).select("trace_id").distinct()
+    if within.start is not None:
+        before = spans.where(all_of(in_range(time, TimeRange(None, within.start), spans.columns)))
+        before = before.select("trace_id").join(begun, "trace_id", "left_semi").distinct()
+        begun = begun.join(before, "trace_id", "left_anti")
+        spans = spans.where(all_of(in_range(time, TimeRange(within.start, None), spans.columns)))
+    return spans.join(begun, "trace_id", "left_semi")
+
+
 def search(spans: DataFrame, q: TraceQuery) -> DataFrame:
     """Summaries of traces with a span satisfying the query's span conditions.
 
     One aggregation by trace; every aggregate combines map-side, so a trace
-    holding much of the table still arrives as one row per map task.
+    holding much of the table still arrives as one row per map task. With a time
+    range only traces that begin in it are read whole, see :func:`_beginning_in`.
     """
+    spans = _beginning_in(spans, q.range)
     is_root = F.col("parent_span_id").isNull()
     root = F.struct("start_time_unix_nano", "span_id", "service", "name", "duration_ns")
     start, end = F.col("start_time_unix_nano"), F.col("end_time_unix_nano")

@@ -132,9 +132,8 @@ def retain(spark: SparkSession, root: str, out_root: str, **limits) -> None:
     first_kept = kept_days(spark, root, **limits).agg(F.min("day")).scalar()
     for name, df in _stored(spark, root).items():
         # Days are dropped oldest first, so one bound prunes the partitions.
-        df.where(F.col("day") >= first_kept).write.partitionBy("day").parquet(
-            tables.table_path(out_root, name)
-        )
+        kept = tables.rewrite(df.where(F.col("day") >= first_kept), root, name, out_root)
+        kept.write.partitionBy("day").parquet(tables.table_path(out_root, name))
 
 
 def compact(
@@ -157,7 +156,8 @@ def compact(
     parts = max(1, -(-before["b"] // target_bytes))
     order = ["day", *tables.clustering(name)]
     (
-        df.repartitionByRange(parts, *order)
+        tables.rewrite(df, root, name, out_root)
+        .repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
         .write.partitionBy("day")
         .parquet(tables.table_path(out_root, name))
@@ -170,6 +170,7 @@ def snapshot(spark: SparkSession, root: str, directory: str) -> dict[str, int]:
     """Copy the committed data of all tables; returns the number of files written per table."""
     written = {}
     for name, df in _stored(spark, root).items():
-        df.write.partitionBy("day").parquet(tables.table_path(directory, name))
+        whole = tables.rewrite(df, root, name, directory)
+        whole.write.partitionBy("day").parquet(tables.table_path(directory, name))
         written[name] = segment_files(spark, directory, name).count()
     return written

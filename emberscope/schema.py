@@ -35,19 +35,19 @@ _BUCKETS = "STRUCT<offset:INT,bucket_counts:ARRAY<BIGINT>>"
 _LOGS = f"""
   time_unix_nano BIGINT, observed_time_unix_nano BIGINT, service STRING,
   severity_number INT, severity_text STRING, body STRING, trace_id STRING,
-  span_id STRING, event_name STRING, flags INT, scope_name STRING,
+  span_id STRING, event_name STRING, flags BIGINT, scope_name STRING,
   scope_version STRING, resource {_MAP}, attributes {_MAP}, day DATE"""
 
 _SPANS = f"""
   trace_id STRING, span_id STRING, parent_span_id STRING, service STRING,
   name STRING, kind STRING, start_time_unix_nano BIGINT, end_time_unix_nano BIGINT,
   duration_ns BIGINT, status STRING, status_message STRING, trace_state STRING,
-  flags INT, events {_EVENTS}, links {_LINKS}, scope_name STRING,
+  flags BIGINT, events {_EVENTS}, links {_LINKS}, scope_name STRING,
   scope_version STRING, resource {_MAP}, attributes {_MAP}, day DATE"""
 
 _POINT = f"""
   time_unix_nano BIGINT, start_time_unix_nano BIGINT, service STRING, metric STRING,
-  unit STRING, description STRING, temporality STRING, flags INT, labels STRING,
+  unit STRING, description STRING, temporality STRING, flags BIGINT, labels STRING,
   attributes {_MAP}, resource {_MAP}, day DATE"""
 
 _TABLE_DDL = {

@@ -43,11 +43,23 @@ def append(
     loads whose tasks each hold many days: rows are first brought together by
     day, large days split and small ones joined to the advisory partition size,
     so that the number of files does not grow with tasks times days.
+
+    Which keys a table has promoted is kept beside it, and later appends promote them,
+    too. A key promoted only after rows were there is read from the maps until
+    the table is rewritten. Other modes than append leave that record alone.
     """
-    path = table_path(root, name)
-    if from_stream(rows.sparkSession, path):
+    spark, path = rows.sparkSession, table_path(root, name)
+    if from_stream(spark, path):
         raise ValueError(f"{path} is written by a stream; rows appended to it would not be read")
-    out = promote(rows, promote_keys) if promote_keys else rows
+    out = rows.drop(*[c for c in rows.columns if c.startswith("attr_")])
+    if mode == "append":
+        known = promotions(spark, root, name)
+        fresh = sorted(set(promote_keys) - set(known))
+        # Rows that are there already lack a column promoted only now.
+        _record(spark, root, name, fresh, whole=not exists(spark, path))
+        out = promote(out, [*known, *fresh])
+    else:
+        out = promote(out, promote_keys)
     order = ["day", *clustering(name)]
     if clustered:
         out = out.hint("rebalance", "day")
@@ -59,11 +71,42 @@ def from_stream(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_spark_metadata")
 
 
-def scan(spark: SparkSession, root: str, name: str, promoted: Collection[str] = ()) -> DataFrame:
-    """One table; a root without files for it gives no rows but the full schema."""
+def _layout_path(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/_layout/{name}"
+
+
+def promotions(spark: SparkSession, root: str, name: str) -> dict[str, bool]:
+    """Promoted keys of a table, and whether all its rows have their column."""
+    path = _layout_path(root, name)
+    if not exists(spark, path):
+        return {}
+    rows = spark.read.schema("key STRING, whole BOOLEAN").json(path).collect()
+    return {r["key"]: all(o["whole"] for o in rows if o["key"] == r["key"]) for r in rows}
+
+
+def _record(spark: SparkSession, root: str, name: str, keys: Collection[str], whole: bool) -> None:
+    if keys:
+        rows = spark.createDataFrame([(k, whole) for k in keys], "key STRING, whole BOOLEAN")
+        rows.coalesce(1).write.mode("append").json(_layout_path(root, name))
+
+
+def rewrite(df: DataFrame, root: str, name: str, out_root: str) -> DataFrame:
+    """A table's rows with the columns of all its promoted keys, recorded for ``out_root``, where they will be written."""
+    spark = df.sparkSession
+    keys = sorted(promotions(spark, root, name))
+    _record(spark, out_root, name, keys, whole=True)
+    return promote(df.drop(*map(promoted_column, keys)), keys)
+
+
+def scan(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """One table; a root without files for it gives no rows but the full schema.
+
+    Promoted keys whose column every row has come as columns, which predicates then use.
+    """
     layout = schema.table_schema(name)
-    for key in promoted:
-        layout = layout.add(promoted_column(key), "string")
+    for key, whole in sorted(promotions(spark, root, name).items()):
+        if whole:
+            layout = layout.add(promoted_column(key), "string")
     path = table_path(root, name)
     if not exists(spark, path):
         return spark.createDataFrame([], layout)

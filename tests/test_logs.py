@@ -43,17 +43,27 @@ def test_page_cursor_replaces_offset_and_default_limit_never_has_more(three):
 
 def test_keyset_pages_cover_everything_once(three):
     q, seen, last = LogQuery(limit=1), [], None
-    while True:
-        rows = L.page_after(three, q, last).collect()
-        if not rows:
-            break
+    while rows := L.page_after(three, q, last).collect():
         seen.append(rows[0].body)
-        last = [rows[0][c] for c in L.ORDER]
+        last = L.next_cursor(rows, last)
     assert seen == ["c", "b", "a"]
     forward = LogQuery(limit=2, direction="forward")
     assert bodies(L.page_after(three, forward, (1000, "checkout", 9, "a"))) == ["b", "c"]
 
 
+@pytest.mark.parametrize("direction", ["backward", "forward"])
+def test_keyset_pages_lose_no_row_that_ties(spark, direction):
+    alike = [{"time_unix_nano": 5, "body": "x", "attributes": {"k": "v", 'q"': "é"}}] * 5
+    near = [{"time_unix_nano": 5, "body": "x", "trace_id": t} for t in ("a", None, "b")]
+    frame = logs(spark, *alike, *near, {"time_unix_nano": 9, "body": None}, {"time_unix_nano": 1, "body": "z"})
+    q, seen, last = LogQuery(limit=2, direction=direction), [], None
+    while rows := L.page_after(frame, q, last).collect():
+        seen += rows
+        last = L.next_cursor(rows, last)
+    whole = L.query(frame, LogQuery(limit=100, direction=direction)).collect()
+    assert len(seen) == 10 and seen == whole
+
+
 def test_count_ignores_limit_offset_direction(three):
     q = LogQuery(limit=1, offset=2, direction="forward")
     assert L.count(three, q).first()["count"] == 3

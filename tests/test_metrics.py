@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from emberscope import schema
 from emberscope.functions.quantiles import explicit_buckets, linear_quantile
-from emberscope.functions.timegrid import MAX_STEPS, Grid
+from emberscope.functions.timegrid import Grid
 from emberscope.operators import discovery, histograms, metrics, series
 from emberscope.plans.specs import ExpHistogramQuery, HistogramQuery, MetricQuery, PointsQuery
 from tests.helpers import S, samples, table, tuples
@@ -138,8 +138,9 @@ def test_grid_limits():
     with pytest.raises(ValueError):
         Grid(10, 0, 1)
     with pytest.raises(ValueError):
-        Grid(0, MAX_STEPS, 1)
-    assert Grid(0, MAX_STEPS - 1, 0).count == MAX_STEPS
+        Grid(0, 100, 1, most=100)
+    assert Grid(0, 99, 0, most=100).count == 100
+    assert Grid(0, 50_000, 1).count == 50_001
 
 
 def quantile_of(spark, bounds, counts, phi):

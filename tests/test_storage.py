@@ -6,6 +6,9 @@ from datetime import date
 import pytest
 
 from emberscope import schema
+from pyspark.sql import functions as F
+
+from emberscope.functions.attrs import promoted_column
 from emberscope.functions.timegrid import DAY, HOUR
 from emberscope.operators import discovery, logs, upkeep
 from emberscope.plans.predicates import log_predicate
@@ -150,7 +153,7 @@ def days_of_logs(spark, days=4):
 def test_partition_pruning_and_promoted_pushdown(spark, fresh):
     rows = days_of_logs(spark)
     tables.append(rows, fresh, schema.LOGS, promote_keys=["k"])
-    stored = tables.scan(spark, fresh, schema.LOGS, promoted=["k"])
+    stored = tables.scan(spark, fresh, schema.LOGS)
     q = LogQuery(range=TimeRange(DAY, 2 * DAY), attr_eq=[("k", "3")])
     found = stored.where(log_predicate(q, stored.columns))
     assert [r.body for r in found.collect()] == ["1-3"]
@@ -161,6 +164,31 @@ def test_partition_pruning_and_promoted_pushdown(spark, fresh):
     assert "EqualTo(attr_k,3)" in plan and "GreaterThanOrEqual(time_unix_nano" in plan
 
 
+def test_promotion_never_hides_rows(spark, fresh):
+    rows, q = days_of_logs(spark), LogQuery(attr_eq=[("k", "3")])
+
+    def found(root):
+        stored = tables.scan(spark, root, schema.LOGS)
+        hits = sorted(r.body for r in stored.where(log_predicate(q, stored.columns)).collect())
+        return hits, "attr_k" in stored.columns
+
+    once, _ = sorted(r.body for r in rows.where(F.col("attributes")["k"] == "3").collect()), None
+    tables.append(rows, f"{fresh}/late", schema.LOGS)
+    tables.append(rows, f"{fresh}/late", schema.LOGS, promote_keys=["k"])
+    assert found(f"{fresh}/late") == (sorted(once * 2), False)
+    upkeep.compact(spark, f"{fresh}/late", schema.LOGS, f"{fresh}/compacted")
+    assert found(f"{fresh}/compacted") == (sorted(once * 2), True)
+    tables.append(rows, f"{fresh}/compacted", schema.LOGS)
+    assert found(f"{fresh}/compacted") == (sorted(once * 3), True)
+    upkeep.snapshot(spark, f"{fresh}/compacted", f"{fresh}/copy")
+    assert found(f"{fresh}/copy") == (sorted(once * 3), True)
+
+
+def test_promoted_keys_never_share_a_column():
+    keys = ["event.type", "event_type", "Event.Type", "event-type", "eventtype", "event_2e_type"]
+    assert len({promoted_column(k).lower() for k in keys}) == len(keys)
+
+
 def test_export_zero_range_is_everything(spark, fresh):
     rows = days_of_logs(spark)
     tables.export(rows, schema.LOGS, f"{fresh}/all", 0, 0, "json")
@@ -212,12 +240,19 @@ def test_scratch_uses_the_shared_folder():
     class Conf(dict):
         get = dict.get
 
+    class Context:
+        master = "local[2]"
+
     class Session:
         conf = Conf()
+        sparkContext = Context
 
     assert scratch_dir(Session, "x").startswith("/tmp/run-")
     Session.conf = Conf({"spark.checkpoint.dir": "s3://shared/"})
     assert scratch_dir(Session, "x").startswith("s3://shared/emberscope/x-")
+    Session.conf, Context.master = Conf(), "spark://host:7077"
+    with pytest.raises(ValueError):
+        scratch_dir(Session, "x")
 
 
 # --- streams ----------------------------------------------------------------------------
