@@ -98,19 +98,24 @@ def zipped_ids(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFr
     """doc_id and the zstandard-compressed 32-bit ids of the whole text with its end id; a null text is the end id alone."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, pack = encoder(vocabulary).encode, zstandard.ZstdCompressor(level=1).compress
+        own = encoder(vocabulary)
         for batch in batches:
             for part in steps(batch, "text"):
-                found = own([t or "" for t in part.column("text").to_pylist()])
-                planes = [np.append(i, np.uint32(end_id)).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for i in found]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([pack(p) for p in planes], pa.binary())], ["doc_id", "zipped"])
+                found = own.encode([t or "" for t in part.column("text").to_pylist()])
+                zipped = [_zip(np.append(i, np.uint32(end_id))) for i in found]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(zipped, pa.binary())], ["doc_id", "zipped"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encode, "doc_id long, zipped binary")
 
 
+def _zip(ids: np.ndarray) -> bytes:
+    """One byte that tells the width, then the ids in as few bytes each, compressed."""
+    width = 2 if ids.max() < 1 << 16 else 4
+    return bytes([width]) + zstandard.ZstdCompressor(level=3).compress(ids.astype(f"<u{width}").tobytes())
+
+
 def _unzip(raw: bytes) -> np.ndarray:
-    # Bytes of equal place lie together: the upper two of each id are zeros as a rule, which zstandard removes.
-    return np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw[1:]), f"<u{raw[0]}")
 
 
 def frequencies(zipped: DataFrame) -> DataFrame:
@@ -150,7 +155,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = END_ID) -
         shard, keys, ids = TaskContext.get().partitionId(), [], []
         for batch in batches:
             keys += batch.column("doc_id").to_pylist()
-            ids += [_unzip(x).astype(np.uint16 if len(rank_of) <= 1 << 16 else np.uint32) for x in batch.column("zipped").to_pylist()]
+            ids += map(_unzip, batch.column("zipped").to_pylist())
         _put(folder, f"shard-{shard:06d}.ids", shard_bytes(shard, keys, ids, rank_of))
         yield pa.RecordBatch.from_arrays([pa.array([len(keys)])], ["n"])
 
@@ -158,7 +163,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = END_ID) -
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
-    """doc_id, start (ids of all documents before it), n_tokens and ids (binary, 32-bit) of each document in ``folder``."""
+    """shard, doc_id, at (ids before it in its shard), n_tokens and ids (binary, 32-bit) of each document in ``folder``."""
     path = folder if re.match(r"\w+:/", folder) else f"file://{folder}"
     id_of = np.frombuffer(spark.read.format("binaryFile").load(f"{path}/ranks.u32").first()["content"][len(MARK) :], "<u4")
 
@@ -172,12 +177,21 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                     ids = [flat[e - n : e].astype("<u4").tobytes() for e, n in zip(ends[at:to], counts[at:to], strict=True)]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([shard] * (to - at), pa.int64()), pa.array(keys[at:to], mask=keys[at:to] == NULL_ID), pa.array(ends[at:to] - counts[at:to]), pa.array(counts[at:to]), pa.array(ids, pa.binary())],
-                        ["shard", "doc_id", "start", "n_tokens", "ids"],
+                        ["shard", "doc_id", "at", "n_tokens", "ids"],
                     )
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.ids").load(path)
-    rows = files.select("content").mapInArrow(decode, "shard long, doc_id long, start long, n_tokens long, ids binary")
-    return rows.join(_before(files), "shard").select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids")
+    return _shards(spark, folder).select("content").mapInArrow(decode, "shard long, doc_id long, at long, n_tokens long, ids binary")
+
+
+def _shards(spark: SparkSession, folder: str) -> DataFrame:
+    path = folder if re.match(r"\w+:/", folder) else f"file://{folder}"
+    return spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.ids").load(path)
+
+
+def with_starts(rows: DataFrame, folder: str) -> DataFrame:
+    """Add start, the ids of all documents before, to rows of ``read``; drop columns that aren't needed first."""
+    before = _before(_shards(rows.sparkSession, folder))
+    return rows.join(before, "shard").withColumn("start", F.col("at") + F.col("before")).drop("shard", "at", "before")
 
 
 def _before(files: DataFrame) -> DataFrame:
@@ -197,4 +211,5 @@ def digest(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
     """Write the files to the shared folder, read them back and describe each document by what they hold."""
     folder = scratch_dir(docs.sparkSession, "token-files")
     write(docs, folder, vocabulary, end_id)
-    return read(docs.sparkSession, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    rows = read(docs.sparkSession, folder).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return with_starts(rows, folder).select("doc_id", "start", "n_tokens", "ids_crc32")

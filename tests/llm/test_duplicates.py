@@ -32,7 +32,7 @@ def test_components_of_chain_star_and_ring(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
     frame = spark.createDataFrame([*links, (None, 3), (201, 200)], "a long, b long")
     got = {r.id: r.component for r in components(frame).collect()}
-    want = groups({i for link in links for i in link if link[0] != link[1]}, links)
+    want = groups({i for a, b in links for i in (a, b) if a != b}, [(a, b) for a, b in links if a != b])
     assert got == want
     assert components(frame.limit(0)).count() == 0
 
@@ -45,7 +45,7 @@ def near_copies(seed):
         text = base[:]
         for _ in range(draw.choice([0, 1, 2, 3, 5])):
             text[draw.randrange(60)] = word().upper()
-        rows.append((i * 3, " ".join(text)))
+        rows.append((2000 + i * 3, " ".join(text)))
     for i in range(60):
         rows.append((1000 + i, " ".join(word() for _ in range(draw.choice([1, 2, 3, 30])))))
     return rows

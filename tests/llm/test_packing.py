@@ -110,7 +110,7 @@ def test_files_in_order_of_id(spark, documents, vocabularies, fresh, monkeypatch
     monkeypatch.setattr(token_files, "SHARD_BYTES", 200)
     rows = [*ODD, *((100 - i, f"text number {i} " * (i % 9)) for i in range(60))]
     token_files.write(documents(rows).repartition(5), fresh, vocabularies["byte_bpe_50k"])
-    out = token_files.read(spark, fresh).orderBy("start").collect()
+    out = token_files.with_starts(token_files.read(spark, fresh), fresh).orderBy("start").collect()
     keys = [-1 if r.doc_id is None else r.doc_id for r in out]
     assert keys == sorted(keys) and len(out) == len(rows)
     want = Counter(zip([d for d, _ in rows], [i.tobytes() for i in ids_of(vocabularies["byte_bpe_50k"], rows)], strict=True))
