@@ -14,6 +14,7 @@ from emberscope.functions.attrs import canonical_json
 from emberscope.functions.timegrid import day_of
 
 REASON = "reject_reason"
+_BAD = "_corrupt_record"
 
 _KINDS = ("UNSPECIFIED", "INTERNAL", "SERVER", "CLIENT", "PRODUCER", "CONSUMER")
 _STATUSES = ("UNSET", "OK", "ERROR")
@@ -22,12 +23,25 @@ _TEMPORALITIES = ("UNSPECIFIED", "DELTA", "CUMULATIVE")
 
 def read_envelopes(spark: SparkSession, signal: str, path: str) -> DataFrame:
     """OTLP/JSON files (one envelope per line) of ``logs``, ``traces`` or ``metrics``."""
-    return spark.read.schema(_ddl(signal)).json(path)
+    return spark.read.schema(_readable(signal)).option("columnNameOfCorruptRecord", _BAD).json(path)
 
 
 def stream_envelopes(spark: SparkSession, signal: str, path: str, **options) -> DataFrame:
     """The same as a stream over files arriving in a directory."""
-    return spark.readStream.schema(_ddl(signal)).options(**options).json(path)
+    reader = spark.readStream.schema(_readable(signal)).option("columnNameOfCorruptRecord", _BAD)
+    return reader.options(**options).json(path)
+
+
+def _readable(signal: str) -> str:
+    """The envelope's fields and the text of lines that are no such envelope."""
+    return f"{_ddl(signal)}, {_BAD} STRING"
+
+
+def malformed(envelopes: DataFrame) -> DataFrame:
+    """Lines that hold no readable envelope: ``line`` and the reject reason."""
+    outer = next(c for c in envelopes.columns if c != _BAD)
+    bad = F.col(_BAD).isNotNull() & F.col(outer).isNull()
+    return envelopes.where(bad).select(F.col(_BAD).alias("line"), F.lit("malformed").alias(REASON))
 
 
 def _ddl(signal: str) -> str:
@@ -108,10 +122,16 @@ def rejected(rows: DataFrame) -> DataFrame:
     return rows.where(F.col(REASON).isNotNull())
 
 
-def receipt(rows: DataFrame, signal: str) -> DataFrame:
-    """Accepted and rejected counts of an ingest: ``signal, reason, count``."""
+def receipt(rows: DataFrame, signal: str, envelopes: DataFrame | None = None) -> DataFrame:
+    """Accepted and rejected counts of an ingest: ``signal, reason, count``.
+
+    With the envelopes as read, lines that hold none are counted as malformed.
+    """
+    reasons = rows.select(REASON)
+    if envelopes is not None:
+        reasons = reasons.unionAll(malformed(envelopes).select(REASON))
     return (
-        rows.groupBy(F.coalesce(REASON, F.lit("accepted")).alias("reason"))
+        reasons.groupBy(F.coalesce(REASON, F.lit("accepted")).alias("reason"))
         .agg(F.count(F.lit(1)).alias("count"))
         .select(F.lit(signal).alias("signal"), "reason", "count")
     )

@@ -164,6 +164,19 @@ def test_partition_pruning_and_promoted_pushdown(spark, fresh):
     assert "EqualTo(attr_k,3)" in plan and "GreaterThanOrEqual(time_unix_nano" in plan
 
 
+def test_malformed_lines_are_counted(spark, fresh):
+    record = {"timeUnixNano": "7", "body": {"stringValue": "ok"}, "flags": 4294967295}
+    good = {"resourceLogs": [{"scopeLogs": [{"logRecords": [record, {"body": {"stringValue": "x"}}]}]}]}
+    lines = [json.dumps(good), "{broken", '"text"', json.dumps({"resourceLogs": []})]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(f"{fresh}/in")
+    envelopes = otlp.read_envelopes(spark, "logs", f"{fresh}/in")
+    rows = otlp.log_rows(envelopes)
+    got = {r["reason"]: r["count"] for r in otlp.receipt(rows, "logs", envelopes).collect()}
+    assert got == {"accepted": 1, "no time": 1, "malformed": 2}
+    assert sorted(r.line for r in otlp.malformed(envelopes).collect()) == ['"text"', "{broken"]
+    assert otlp.accepted(rows).first().flags == 4294967295
+
+
 def test_promotion_never_hides_rows(spark, fresh):
     rows, q = days_of_logs(spark), LogQuery(attr_eq=[("k", "3")])
 
