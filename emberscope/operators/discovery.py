@@ -92,12 +92,15 @@ def metric_names(tables: Tables) -> DataFrame:
 
 
 def resolve_metric(tables: Tables, query_name: str) -> tuple[str, str]:
-    """Stored name and kind behind a query name; an unknown name is an error."""
+    """Stored name and kind behind a query name; an unknown or ambiguous name is an error."""
     found = metric_names(tables).where(F.col("query_name") == query_name)
-    row = found.orderBy("storage_name", "kind").first()
-    if row is None:
+    rows = found.orderBy("storage_name", "kind").limit(2).collect()
+    if not rows:
         raise ValueError(f"metric {query_name!r} does not resolve to a stored metric")
-    return row["storage_name"], row["kind"]
+    if len(rows) > 1:
+        names = " and ".join(f"{r['storage_name']} ({r['kind']})" for r in rows)
+        raise ValueError(f"metric {query_name!r} could be {names}")
+    return rows[0]["storage_name"], rows[0]["kind"]
 
 
 def points_of(tables: Tables, query_name: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberscope.functions.attrs import attr
+from emberscope.functions.attrs import attr, canonical_json
 from emberscope.functions.timegrid import SECOND, bucket
 from emberscope.operators.ordered import HALO, chunk_window, with_previous_row
 from emberscope.plans.predicates import points_predicate, series_predicate
@@ -54,26 +54,42 @@ def range_query(points: DataFrame, q: MetricQuery) -> DataFrame:
         return rows.groupBy(at, *groups).agg(value)
 
     if q.rate == "counter":
-        gained = increases(rows.select("labels", "time_unix_nano", "value", *groups))
+        gained = increases(rows.select("labels", *source(points), "time_unix_nano", "value", *groups))
         rows, gain = gained, F.col("increase")
     else:
-        rows, gain = rows.select("labels", "time_unix_nano", "value", *groups), F.col("value")
+        rows = rows.select("labels", *source(points), "time_unix_nano", "value", *groups)
+        gain = F.col("value")
     if q.aggregation == "sum":
         # Sums of sums: no need to go through the single series first.
         return rows.groupBy(at, *names).agg((F.sum(gain) / F.lit(seconds)).alias("v"))
-    per_series = rows.groupBy(at, "labels", *names).agg((F.sum(gain) / F.lit(seconds)).alias("_v"))
+    per_series = rows.groupBy(at, *identity(rows), *names).agg((F.sum(gain) / F.lit(seconds)).alias("_v"))
     value = AGGREGATES[q.aggregation](F.col("_v")).cast("double").alias("v")
     return per_series.groupBy("bucket", *names).agg(value)
 
 
+_SOURCE = "_resource"
+
+
+def source(points: DataFrame) -> list[Column]:
+    """What tells apart series of equal labels: the resource they come from, as a hash."""
+    if "resource" not in points.columns:
+        return []
+    return [F.xxhash64(canonical_json("resource")).alias(_SOURCE)]
+
+
+def identity(samples: DataFrame) -> list[str]:
+    return ["labels", *([_SOURCE] if _SOURCE in samples.columns else [])]
+
+
 def increases(samples: DataFrame) -> DataFrame:
     """Reset-aware increase of every cumulative sample over the one before it.
 
     Takes ``labels, time_unix_nano, value`` and any constant-per-series columns;
-    adds ``previous_time`` and ``increase``. After a reset the whole new value
+    adds ``previous_time`` and ``increase``. Samples from different resources are
+    different series, if :func:`source` is among the columns. After a reset the whole new value
     counts; the first sample of a series has increase 0 and no previous time.
     """
-    keys, order = ["labels"], ["time_unix_nano", "value"]
+    keys, order = identity(samples), ["time_unix_nano", "value"]
     w = chunk_window(keys, order)
     previous = F.lag(F.struct(*order)).over(w)
     return (

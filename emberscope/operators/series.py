@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from emberscope.functions.attrs import label_set
 from emberscope.functions.timegrid import MINUTE, Grid
-from emberscope.operators.metrics import AGGREGATES, increases, recorded, stale
+from emberscope.operators.metrics import AGGREGATES, increases, recorded, source, stale
 from emberscope.plans.predicates import all_of, in_range
 from emberscope.plans.specs import TimeRange
 
@@ -65,7 +65,7 @@ def rate(points: DataFrame, grid: Grid, range_ns: int) -> DataFrame:
     """
     time = F.col("time_unix_nano")
     inside = recorded(_within(points, grid, range_ns))
-    steps = inside.select("labels", "time_unix_nano", "value")
+    steps = inside.select("labels", *source(points), "time_unix_nano", "value")
     first = grid.clip_low(grid.index_at_or_after(time))
     last = grid.clip_high(grid.index_before(F.col("previous_time") + F.lit(range_ns)))
     # Increases that count at the same steps are summed before they are spread.

@@ -133,7 +133,7 @@ def retain(spark: SparkSession, root: str, out_root: str, **limits) -> None:
     for name, df in _stored(spark, root).items():
         # Days are dropped oldest first, so one bound prunes the partitions.
         kept = tables.rewrite(df.where(F.col("day") >= first_kept), root, name, out_root)
-        kept.write.partitionBy("day").parquet(tables.table_path(out_root, name))
+        tables.writer(kept, name).parquet(tables.table_path(out_root, name))
 
 
 def compact(
@@ -155,13 +155,8 @@ def compact(
     before = files.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("s"), F.lit(0)).alias("b")).first()
     parts = max(1, -(-before["b"] // target_bytes))
     order = ["day", *tables.clustering(name)]
-    (
-        tables.rewrite(df, root, name, out_root)
-        .repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
-        .write.partitionBy("day")
-        .parquet(tables.table_path(out_root, name))
-    )
+    rows = tables.rewrite(df, root, name, out_root).repartitionByRange(parts, *order)
+    tables.writer(rows.sortWithinPartitions(*order), name).parquet(tables.table_path(out_root, name))
     created = segment_files(spark, out_root, name).count()
     return {"merged": before["n"], "created": created}
 
@@ -171,6 +166,6 @@ def snapshot(spark: SparkSession, root: str, directory: str) -> dict[str, int]:
     written = {}
     for name, df in _stored(spark, root).items():
         whole = tables.rewrite(df, root, name, directory)
-        whole.write.partitionBy("day").parquet(tables.table_path(directory, name))
+        tables.writer(whole, name).parquet(tables.table_path(directory, name))
         written[name] = segment_files(spark, directory, name).count()
     return written

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from emberscope import schema
@@ -25,7 +25,16 @@ def table_path(root: str, name: str) -> str:
 
 def clustering(name: str) -> list[str]:
     """Columns rows are sorted by inside a file, so that row groups can be skipped."""
-    return ["service", schema.TIME_COLUMN[name]]
+    by_metric = ["metric"] if name.startswith("metrics_") else []
+    return [*by_metric, "service", schema.TIME_COLUMN[name]]
+
+
+def writer(df: DataFrame, name: str) -> DataFrameWriter:
+    """A day-partitioned writer; ids that look-ups ask for get bloom filters, as min and max say nothing of them."""
+    out = df.write.partitionBy("day")
+    if name in (schema.LOGS, schema.SPANS):
+        out = out.option("parquet.bloom.filter.enabled#trace_id", "true")
+    return out
 
 
 def append(
@@ -63,7 +72,7 @@ def append(
     order = ["day", *clustering(name)]
     if clustered:
         out = out.hint("rebalance", "day")
-    out.sortWithinPartitions(*order).write.mode(mode).partitionBy("day").parquet(path)
+    writer(out.sortWithinPartitions(*order), name).mode(mode).parquet(path)
 
 
 def from_stream(spark: SparkSession, path: str) -> bool:

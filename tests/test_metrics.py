@@ -246,3 +246,14 @@ def test_catalog_and_resolution(spark):
     assert discovery.metric_exemplars(nothing, "m").columns == [
         "time", "value", "trace_id", "span_id", "attributes",
     ]
+
+
+def test_two_hosts_with_equal_labels_are_two_counters(spark):
+    rows = [(10, 1000.0, "a"), (11, 10.0, "b"), (20, 1002.0, "a"), (21, 12.0, "b")]
+    points = samples(
+        spark, schema.SUM, *[{"time_unix_nano": t * S, "value": v, "resource": {"host": h}} for t, v, h in rows]
+    )
+    grid = Grid(30 * S, 30 * S, S)
+    assert tuples(series.rate(points, grid, 30 * S), "value") == [(4 / 30,)]
+    q = MetricQuery(metric="m", step_ns=100 * S, rate="counter", aggregation="sum")
+    assert tuples(metrics.range_query(points, q), "v") == [(4 / 100,)]
