@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from emberscope.session import scratch_dir
 
 #: Bytes of text that one step of a task holds in numpy arrays; a longer text is a step of its own.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +29,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict = {}
+
+
+def held(key: Hashable, make: Callable[[], Any]) -> Any:
+    """The one large object that this worker keeps from task to task; another key takes its place."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

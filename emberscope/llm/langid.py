@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberscope.llm.common import crc_fold, steps
+from emberscope.llm.common import crc_fold, held, steps
 
 UNDETERMINED = "und"
 #: Symbols: 0 stands for anything without a letter, 1 for letters that no sample holds, then the letters.
@@ -75,7 +75,8 @@ class Parser:
             ended = np.where(moves >= 0, 0, np.where(moves[0] >= 0, 1, 2))
             ended[0, moves[0] < 0] = 1
             to = np.column_stack([np.where(moves >= 0, moves, begin), np.arange(len(moves))]).astype(np.int64)
-            self.tables.append((to * self.alphabet << 2 | np.column_stack([ended, np.zeros(len(moves), np.int64)])).ravel())
+            table = (to * self.alphabet << 2 | np.column_stack([ended, np.zeros(len(moves), np.int64)])).ravel()
+            self.tables.append(table.astype(np.int32) if table.max() < 1 << 31 else table)
             self.bits.append(np.log2(len(symbols) + 2))
 
     def symbols(self, found: np.ndarray, rows: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
@@ -100,13 +101,13 @@ class Parser:
         lettered = np.bincount(rows, found != OTHER, minlength=len(texts)) > 0
         pieces = -(-sizes // self.segment)
         owner = np.repeat(np.arange(len(texts)), pieces)
-        grid = np.full((len(owner), self.segment), self.alphabet - 1, np.int64)
+        grid = np.full((len(owner), self.segment), self.alphabet - 1, np.int32)
         column = np.arange(len(found)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         grid[np.repeat(np.cumsum(pieces) - pieces, sizes) + column // self.segment, column % self.segment] = found
         grid = np.ascontiguousarray(grid.T)
         bits = np.empty((len(texts), len(self.languages)))
         for k, (table, cost) in enumerate(zip(self.tables, self.bits, strict=True)):
-            at, count = np.zeros(len(owner), np.int64), np.zeros(len(owner), np.int64)
+            at, count = np.zeros(len(owner), table.dtype), np.zeros(len(owner), np.int64)
             for line in grid:
                 at = table[at + line]
                 count += at & 3
@@ -138,18 +139,6 @@ def points(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-_PARSERS: dict[int, Parser] = {}
-
-
-def _parser(samples: dict[str, str], segment: int) -> Parser:
-    """The parser of this process for these samples."""
-    key = hash((tuple(sorted(samples.items())), segment))
-    if key not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[key] = Parser(samples, segment)
-    return _PARSERS[key]
-
-
 def learn(labelled: DataFrame, s: Settings) -> dict[str, str]:
     """Sample text by language from rows (doc_id, text, lang), at most ``s.sample`` characters each.
 
@@ -186,7 +175,7 @@ def predict(docs: DataFrame, samples: dict[str, str], s: Settings = Settings())
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser = _parser(samples, s.segment)
+        parser = held(("parser", s.segment, tuple(sorted(samples.items()))), lambda: Parser(samples, s.segment))
         for batch in batches:
             for part in steps(batch, "text"):
                 lang, score = parser.predict(part.column("text").to_pylist())

@@ -9,11 +9,13 @@ import re
 
 import numpy as np
 
+from emberscope.llm.common import held
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Distinct words and their characters that one worker remembers; beyond either it starts afresh.
-CACHED_WORDS = 1_000_000
-CACHED_CHARS = 32_000_000
+CACHED_WORDS = 500_000
+CACHED_CHARS = 16_000_000
 
 #: Words that any of the tokenizers handled here reads as one run of letters and perhaps one sign.
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
@@ -133,11 +135,6 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """The encoder of this process for a vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return held(("encoder", path), lambda: Encoder(path))
