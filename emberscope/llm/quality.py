@@ -20,7 +20,7 @@ class Settings:
     buckets: int = 2048
     factors: int = 8
     sample: int = 4000
-    sample_chars: int = 20_000
+    sample_chars: int = 10_000
     rounds: int = 15
     rate: float = 0.02
     decay: float = 1e-4
@@ -144,7 +144,8 @@ def learn(docs: DataFrame, labels: DataFrame, s: Settings) -> Machine:
     # A repeated id counts once, so that the sample stays bounded.
     rows = rows.select("doc_id", F.substring("text", 1, s.sample_chars).alias("text")).groupBy("doc_id").agg(F.min("text").alias("text"))
     found = sorted(rows.collect(), key=lambda r: r["doc_id"])
-    x = features(pa.array([r["text"] for r in found], pa.string()), s)
+    texts = [found[at : at + 256] for at in range(0, len(found), 256)] or [[]]
+    x = np.vstack([features(pa.array([r["text"] for r in some], pa.string()), s) for some in texts])
     return fit(x, np.array([by[r["doc_id"]] for r in found]), s)
 
 
