@@ -20,8 +20,9 @@ class Settings:
     """``targets``: the share of all tokens that each domain shall hold; they are scaled to a sum of one.
 
     ``total``: tokens wanted as a multiple of those there are. ``most``: the largest rate.
-    ``sample`` labelled documents at most teach the classifier. ``steps`` and
-    ``tolerance`` (of the total, by domain) end the fit.
+    ``sample`` labelled documents at most teach the classifier. ``steps``,
+    ``tolerance`` (of the total, by domain) and ``least_gain`` (what a step must take off the largest
+    difference; targets beyond reach gain nothing) end the fit.
     """
 
     targets: dict[str, float] = field(default_factory=lambda: {"clean": 0.85, "poor": 0.1, "toxic": 0.05})
@@ -31,6 +32,7 @@ class Settings:
     sample: int = 4000
     steps: int = 60
     tolerance: float = 0.002
+    least_gain: float = 0.01
 
 
 def domain_of_labels() -> Column:
@@ -132,12 +134,15 @@ def fit(docs: DataFrame, domains: list[str], s: Settings) -> tuple[list[list[flo
         raise ValueError("targets must be nonnegative and not all zero")
     goal = [s.targets[d] / scale * s.total * sums["n"] for d in domains]
     pulls: list[list[float]] = []
+    before = math.inf
     while True:
         rows = docs.select("_n", "_p", rate(pulls, s).alias("_r"))
         got = rows.agg(*[F.sum(F.col("_r") * F.col("_n") * F.col("_p")[i]).alias(f"s{i}") for i in k]).first()
         off = [float(got[f"s{i}"] or 0.0) - goal[i] for i in k]
-        if max(map(abs, off)) <= s.tolerance * sum(goal) or len(pulls) >= s.steps:
+        worst = max(map(abs, off))
+        if worst <= s.tolerance * sum(goal) or len(pulls) >= s.steps or worst > (1 - s.least_gain) * before:
             return pulls, goal, [o + g for o, g in zip(off, goal, strict=True)]
+        before = worst
         pulls.append([o / c if c > 0 else 0.0 for o, c in zip(off, curve, strict=True)])
 
 

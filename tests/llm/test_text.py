@@ -118,10 +118,12 @@ def test_mixing_reaches_its_targets(spark, documents):
     assert (rate * n) @ p / n.sum() == pytest.approx([0.5, 0.2, 0.3], abs=0.01)
     # The same steps in numpy.
     goal, curve, own = np.array([0.5, 0.2, 0.3]) * n.sum(), n @ p, np.ones(len(out))
+    before = np.inf
     for _ in range(s.steps):
         off = (own * n) @ p - goal
-        if np.abs(off).max() <= s.tolerance * n.sum():
+        if np.abs(off).max() <= s.tolerance * n.sum() or np.abs(off).max() > (1 - s.least_gain) * before:
             break
+        before = np.abs(off).max()
         own = np.clip(own - p @ (off / curve), 0, s.most)
     assert rate == pytest.approx(own, abs=1e-9)
     assert all(r.copies in (int(r.rate), int(r.rate) + 1) for r in out)
