@@ -79,7 +79,7 @@ def label_conditions(
         elif op == "!=":
             out.append(value != wanted)
         else:
-            whole = value.rlike(f"^(?:{wanted})$")
+            whole = value.rlike(rf"\A(?:{wanted})\z")
             out.append(whole if op == "=~" else ~whole)
     return out
 

@@ -77,7 +77,7 @@ def attribute_map(pairs: Column) -> Column:
 def _hex_id(column: Column, digits: int) -> Column:
     """Lower-case id, or null when it is malformed or all zero."""
     text = F.lower(column)
-    good = text.rlike(f"^[0-9a-f]{{{digits}}}$") & ~text.rlike("^0+$")
+    good = text.rlike(rf"\A[0-9a-f]{{{digits}}}\z") & ~text.rlike(r"\A0+\z")
     return F.when(good, text)
 
 
