@@ -7,8 +7,10 @@ number a domain and step, and bounded tables of word weights.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,9 +22,9 @@ class Settings:
     """``targets``: the share of all tokens that each domain shall hold; they are scaled to a sum of one.
 
     ``total``: tokens wanted as a multiple of those there are. ``most``: the largest rate.
-    ``sample`` labelled documents at most teach the classifier. ``steps``,
-    ``tolerance`` (of the total, by domain) and ``least_gain`` (what a step must take off the largest
-    difference; targets beyond reach gain nothing) end the fit.
+    ``sample`` labelled documents at most teach the classifier. The fit ends when each domain's total
+    is within ``tolerance`` (of the total) of its target or of the best that is reachable. After ``steps`` gradient steps,
+    or one that takes less than ``least_gain`` off the largest difference, the rest is solved as one implicit step.
     """
 
     targets: dict[str, float] = field(default_factory=lambda: {"clean": 0.85, "poor": 0.1, "toxic": 0.05})
@@ -115,6 +117,41 @@ def rate(pulls: list[list[float]], s: Settings) -> Column:
     return F.aggregate(table, F.lit(float(min(s.total, s.most))), move)
 
 
+def solve(evaluate: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray, float, float]], curve: np.ndarray, goal: np.ndarray, most: float, near: float) -> tuple[np.ndarray, np.ndarray]:
+    """The pull of one implicit step, so long that totals are those of the optimum within ``near``, and these totals.
+
+    ``evaluate`` gives, for a pull: totals by domain, joint sums over documents whose rate
+    is not at a bound, the sum of the dual terms, and that of pull times way to the bound it points at. For ever longer steps (1 / eps)
+    the pull is the minimum of a convex function of one number a domain, found by Newton's
+    method with backtracking. The last sum bounds the objective's distance from its minimum, and thus that of each total.
+    """
+    live = curve > 0
+    enough = near**2 / (2 * curve.max())
+    pull, eps = np.zeros(len(goal)), 0.1
+    totals, joint, dual, way = evaluate(pull)
+    for _ in range(500):
+        force = np.where(live, eps * curve * pull - (totals - goal), 0.0)
+        if np.abs(totals - goal).max() <= near or eps * way + most * np.abs(force).sum() <= enough:
+            return pull, totals
+        if most * np.abs(force).sum() <= enough / 2:
+            eps /= 10
+            continue
+        size = np.sqrt(np.where(live, eps * curve + joint.diagonal(), 1.0))
+        matrix = (joint + np.diag(eps * curve)) / np.outer(size, size)
+        matrix[~live], matrix[:, ~live] = 0.0, 0.0
+        matrix[~live, ~live] = 1.0
+        move = -np.linalg.solve(matrix, force / size) / size
+        value, slope, length = eps / 2 * curve @ pull**2 + dual + goal @ pull, force @ move, 1.0
+        while True:
+            got = evaluate(pull + length * move)
+            gained = value - (eps / 2 * curve @ (pull + length * move) ** 2 + got[2] + goal @ (pull + length * move))
+            if gained >= -0.1 * length * slope - 1e-13 * abs(value) or length < 1e-6:
+                break
+            length /= 4
+        pull, (totals, joint, dual, way) = pull + length * move, got
+    raise ArithmeticError("the rates of the mixture don't converge")
+
+
 def fit(docs: DataFrame, domains: list[str], s: Settings) -> tuple[list[list[float]], list[float], list[float]]:
     """Steps of projected gradient descent on stored rows (_n tokens, _p posteriors); also targets and reached totals.
 
@@ -122,7 +159,8 @@ def fit(docs: DataFrame, domains: list[str], s: Settings) -> tuple[list[list[flo
     ``most``. A step is one aggregate over the rows; a rate is recomputed from all former
     steps, so nothing but the posteriors is kept. Domains are weighted by the
     inverse of their row of the token-weighted matrix of joint posteriors, which bounds the
-    curvature by one and makes the step length one.
+    curvature by one and makes the step length one. Such steps get slow where posteriors are soft or a target is
+    out of reach; an implicit step of the same form, r - p.pull cut to its bounds, then leads to the optimum (see solve).
     """
     k = range(len(domains))
     sums = docs.agg(*[F.sum(F.col("_n") * F.col("_p")[i]).alias(f"s{i}") for i in k], F.sum("_n").alias("n")).first()
@@ -140,10 +178,32 @@ def fit(docs: DataFrame, domains: list[str], s: Settings) -> tuple[list[list[flo
         got = rows.agg(*[F.sum(F.col("_r") * F.col("_n") * F.col("_p")[i]).alias(f"s{i}") for i in k]).first()
         off = [float(got[f"s{i}"] or 0.0) - goal[i] for i in k]
         worst = max(map(abs, off))
-        if worst <= s.tolerance * sum(goal) or len(pulls) >= s.steps or worst > (1 - s.least_gain) * before:
+        if worst <= s.tolerance * sum(goal):
             return pulls, goal, [o + g for o, g in zip(off, goal, strict=True)]
+        if len(pulls) >= s.steps or worst > (1 - s.least_gain) * before:
+            break
         before = worst
         pulls.append([o / c if c > 0 else 0.0 for o, c in zip(off, curve, strict=True)])
+    pairs = [(i, j) for i in k for j in k if i <= j]
+    n, p = F.col("_n"), F.col("_p")
+
+    def evaluate(pull: np.ndarray) -> tuple[np.ndarray, np.ndarray, float, float]:
+        steps = rows.select("_n", "_p", F.col("_r").alias("_q"), dot(p, pull.tolist()).alias("_x")).withColumn("_y", F.col("_q") - F.col("_x"))
+        steps = steps.withColumn("_s", F.least(F.lit(s.most), F.greatest(F.lit(0.0), F.col("_y"))))
+        free = (F.col("_y") > 0) & (F.col("_y") < s.most)
+        row = steps.agg(
+            *[F.sum(F.col("_s") * n * p[i]) for i in k],
+            *[F.sum(F.when(free, n * p[i] * p[j]).otherwise(0.0)) for i, j in pairs],
+            F.sum(n * F.col("_s") * (F.col("_y") - F.col("_s") / 2)),
+            F.sum(n * F.col("_x") * (F.col("_s") - F.when(F.col("_x") > 0, 0.0).otherwise(s.most))),
+        ).first()
+        joint = np.zeros((len(domains), len(domains)))
+        for (i, j), x in zip(pairs, row[len(domains) : -2], strict=True):
+            joint[i, j] = joint[j, i] = x
+        return np.array(row[: len(domains)]), joint, row[-2], row[-1]
+
+    pull, totals = solve(evaluate, np.array(curve), np.array(goal), s.most, s.tolerance * sum(goal))
+    return [*pulls, pull.tolist()], goal, totals.tolist()
 
 
 def rates(docs: DataFrame, labels: DataFrame, keep: list[str], s: Settings = Settings()) -> tuple[DataFrame, list[str]]:
