@@ -15,12 +15,11 @@ from emberscope.llm.common import crc_fold, steps, utf8, word_hashes, word_spans
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` labelled rows at most, each cut to ``sample_chars`` characters, are learned from."""
+    """``sample`` labelled rows at most are learned from, their texts whole."""
 
     buckets: int = 2048
     factors: int = 8
     sample: int = 4000
-    sample_chars: int = 10_000
     rounds: int = 15
     rate: float = 0.02
     decay: float = 1e-4
@@ -142,13 +141,26 @@ def learn(docs: DataFrame, labels: DataFrame, s: Settings) -> Machine:
     by = {r["doc_id"]: r["y"] for r in chosen}
     rows = docs.where(F.col("doc_id").isin(list(by))) if by else docs.limit(0)
     # A repeated id counts once, so that the sample stays bounded.
-    rows = rows.select("doc_id", F.substring("text", 1, s.sample_chars).alias("text")).groupBy("doc_id").agg(F.min("text").alias("text"))
-    found = sorted(rows.collect(), key=lambda r: r["doc_id"])
-    texts = [found[at : at + 256] for at in range(0, len(found), 256)] or [[]]
-    x = np.vstack([features(pa.array([r["text"] for r in some], pa.string()), s) for some in texts])
+    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"))
+    found = sorted(rows.mapInArrow(lambda batches: _sparse(batches, s), "doc_id long, at binary, x binary").collect(), key=lambda r: r["doc_id"])
+    x = np.zeros((len(found), s.buckets + len(STATISTICS) * LEVELS), np.float32)
+    for row, r in zip(x, found, strict=True):
+        row[np.frombuffer(r["at"], np.int32)] = np.frombuffer(r["x"], np.float32)
     return fit(x, np.array([by[r["doc_id"]] for r in found]), s)
 
 
+def _sparse(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
+    """Features of whole texts: places and values of those that are not zero, so that the driver sees no text."""
+    for batch in batches:
+        for part in steps(batch, "text"):
+            for at in range(0, part.num_rows, 512):
+                some = part.slice(at, 512)
+                x = features(some.column("text"), s)
+                places = [np.flatnonzero(row).astype(np.int32) for row in x]
+                values = [row[i].tobytes() for row, i in zip(x, places, strict=True)]
+                yield pa.RecordBatch.from_arrays([some.column("doc_id").cast(pa.int64()), pa.array([i.tobytes() for i in places], pa.binary()), pa.array(values, pa.binary())], ["doc_id", "at", "x"])
+
+
 def score(docs: DataFrame, machine: Machine, s: Settings = Settings()) -> DataFrame:
     """Add score (0 to 1) and predicted (1 if score >= threshold) to every row with a text; nulls are scored as empty texts.
 

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from emberscope.llm import mixing
+from emberscope.llm import mixing, quality
 
 from .test_text import prose
 
@@ -29,3 +29,17 @@ def test_targets_within_reach_are_met_beside_one_out_of_reach(spark, documents):
     best, got = (own * n) @ p / n.sum(), (np.array([r.rate for r in out]) * n) @ p / n.sum()
     assert best[1] < 0.05
     assert got == pytest.approx(best, abs=s.tolerance)
+
+
+def test_quality_learns_from_whole_texts(spark, documents):
+    draw = random.Random(10)
+    rows, labels = [], []
+    for i in range(240):
+        good = i % 2
+        tail = prose(draw, "bb", 900) if good else "### buy !!! " * 600
+        rows.append((i, prose(draw, "aa", 2500)[:10_000].ljust(10_000, "a") + " " + tail))
+        labels.append((i, good, 0))
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    out = {r.doc_id: r for r in quality.rate_all(documents(rows), marks).collect()}
+    held = [(i, y) for i, y, _ in labels if out[i].held_out]
+    assert len(held) > 30 and np.mean([out[i].predicted == y for i, y in held]) > 0.95
