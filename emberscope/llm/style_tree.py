@@ -45,21 +45,67 @@ NOISE_WORDS = frozenset(
     "toolbar widget".split()
 )
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+# Of these, words that also name headlines and sections of an article; there, like parts of longer names, they only cut with the tree.
+UNSURE_WORDS = frozenset("banner footer header masthead menu notice notices promo promotion related search sidebar toolbar widget".split())
+# Raw elements whose content is never markup: without an end they last to the end of the page.
+ONLY_TEXT = frozenset("script style textarea title iframe".split())
 MAIN_TAGS = frozenset(("article", "main"))
 CLOSED_BY_BLOCK = frozenset(("p",))
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(sorted(RAW)) + r")\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)",
     re.S | re.I,
 )
-_NAMED = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|[\"'=/]")
+_SELF_CLOSED = re.compile(r"(?:^|[\s\"'])/\s*\Z|(?:^|\s)[^\s=\"']+/\s*\Z")
 _PARTS = re.compile(r"[^a-z0-9]+")
 
 
+def _attributes(rest: str) -> dict[str, str]:
+    """Attributes of a tag by their whole names in lower case; the first of a name counts."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(rest):
+        if m[1]:
+            found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return found
+
+
+def _raw_ends(page: str, tag: str) -> dict[int, int]:
+    """Where each raw element of a tag that is closed begins and ends, in one pass; elements may lie in each other."""
+    ends, open_ = {}, []
+    for m in _TOKEN.finditer(page):
+        if (m["tag"] or "").lower() != tag:
+            continue
+        if m["close"]:
+            if open_:
+                ends[open_.pop()] = m.end()
+        elif not _SELF_CLOSED.search(m["rest"]):
+            open_.append(m.start())
+    return ends
+
+
+def _tokens(page: str) -> Iterator[tuple[re.Match[str], int]]:
+    """Tags and comments, and where each ends; a raw element ends with its closing tag, or at its own tag if that closes itself."""
+    at, ends = 0, {}
+    while token := _TOKEN.search(page, at):
+        at, tag = token.end(), (token["tag"] or "").lower()
+        if tag in RAW and not token["close"] and not _SELF_CLOSED.search(token["rest"]):
+            if tag in ONLY_TEXT:
+                last = _RAW_END[tag].search(page, at)
+                at = last.end() if last else len(page)
+            else:
+                if tag not in ends:
+                    ends[tag] = _raw_ends(page, tag)
+                at = ends[tag].get(token.start(), at)
+        yield token, at
+
+
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in ONLY_TEXT}
+
+
 def host(url: str | None) -> str:
     try:
         return (urlsplit(url or "").hostname or "").removeprefix("www.")
@@ -73,17 +119,19 @@ class Node:
     path: int
     noise: bool
     main: bool
+    unsure: bool
     children: list[str]
 
 
 @dataclass
 class Block:
-    """Text of one block with the paths above it, outermost first."""
+    """Text of one block with the paths above it, outermost first; ``unsure`` are those whose class inside the article may mean noise."""
 
     text: str
     paths: tuple[int, ...]
     noise: bool
     main: bool
+    unsure: tuple[int, ...] = ()
 
 
 def parse(page: str) -> tuple[list[Block], list[tuple[int, int]]]:
@@ -91,14 +139,14 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, int]]]:
 
     Unclosed and stray tags are tolerated; comments, scripts and other raw elements are dropped; references are decoded.
     """
-    root = Node("", 0, False, False, [])
+    root = Node("", 0, False, False, False, [])
     stack, blocks, styles, words = [root], [], {}, []
 
     def flush() -> None:
         text = " ".join("".join(words).split())
         words.clear()
         if text:
-            blocks.append(Block(text, tuple(n.path for n in stack[1:]), any(n.noise for n in stack), any(n.main for n in stack)))
+            blocks.append(Block(text, tuple(n.path for n in stack[1:]), any(n.noise for n in stack), any(n.main for n in stack), tuple(n.path for n in stack if n.unsure)))
 
     def close(down_to: int) -> None:
         while len(stack) > down_to:
@@ -106,10 +154,10 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, int]]]:
             styles.setdefault(node.path, []).append(">".join(dict.fromkeys(node.children)))
 
     at = 0
-    for token in _TOKEN.finditer(page):
+    for token, end in _tokens(page):
         if token.start() > at:
             words.append(html.unescape(page[at : token.start()]))
-        at = token.end()
+        at = end
         tag = (token["tag"] or "").lower()
         if not tag or tag in INLINE or tag in RAW:
             continue
@@ -128,20 +176,22 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, int]]]:
         names, noise, main = [], tag in NOISE_TAGS, tag in MAIN_TAGS
         inside = any(n.main for n in stack)
         noise = noise or tag == "header" and not inside
-        for m in _NAMED.finditer(token["rest"]) if token["rest"] else ():
-            kind, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        unsure = False
+        given = _attributes(token["rest"]) if token["rest"] else {}
+        noise = noise or "hidden" in given
+        roles = given.get("role", "").lower().split()
+        noise, main = noise or bool(NOISE_ROLES.intersection(roles)), main or "main" in roles
+        for value in (given.get("class", "").lower(), given.get("id", "").lower()):
             found = [w for w in _PARTS.split(value) if w]
-            if kind == "role":
-                noise, main = noise or bool(NOISE_ROLES.intersection(found)), main or "main" in found
-            elif kind == "hidden":
-                noise = True
-            else:
-                names += [w for w in found if not any(c.isdigit() for c in w)]
-                if tag not in ("html", "body") and not main:
-                    noise = noise or bool(NOISE_WORDS.intersection(found))
+            names += [w for w in found if not any(c.isdigit() for c in w)]
+            if tag not in ("html", "body") and not main and NOISE_WORDS.intersection(found):
+                if not inside or (NOISE_WORDS - UNSURE_WORDS).intersection(value.split()):
+                    noise = True
+                else:
+                    unsure = True
         name = ".".join([tag, *sorted(set(names))])
         stack[-1].children.append(name)
-        stack.append(Node(tag, xxhash.xxh64_intdigest(f"{stack[-1].path}/{name}") >> 1, noise, main, []))
+        stack.append(Node(tag, xxhash.xxh64_intdigest(f"{stack[-1].path}/{name}") >> 1, noise, main, unsure, []))
     if at < len(page):
         words.append(html.unescape(page[at:]))
     flush()
@@ -152,12 +202,12 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, int]]]:
 def main_text(page: str, low: set[int]) -> str:
     """Blocks joined by a space, without those that are noise or under a path of low importance.
 
-    Where an element calls itself the article, only text inside such elements counts, and it isn't cut by the site's statistics.
+    Where an element calls itself the article, only text inside such elements counts. The site's statistics cut it only where a class may mean noise.
     """
     blocks, _ = parse(page)
     kept = [b for b in blocks if not b.noise]
     if any(b.main for b in kept):
-        return " ".join(b.text for b in kept if b.main)
+        return " ".join(b.text for b in kept if b.main and not low.intersection(b.unsure))
     return " ".join(b.text for b in kept if not low.intersection(b.paths))
 
 

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from emberscope.llm import mixing, quality
+from emberscope.llm import mixing, quality, style_tree
 
 from .test_text import prose
 
@@ -43,3 +43,20 @@ def test_quality_learns_from_whole_texts(spark, documents):
     out = {r.doc_id: r for r in quality.rate_all(documents(rows), marks).collect()}
     held = [(i, y) for i, y, _ in labels if out[i].held_out]
     assert len(held) > 30 and np.mean([out[i].predicted == y for i, y in held]) > 0.95
+
+
+def test_main_text_survives_odd_attributes_and_raw_elements():
+    for given in ('style="overflow:hidden"', 'title="a hidden place"', 'aria-hidden="false"', 'data-id="search-3"', "data-class=ad", "x='class=ad'"):
+        assert style_tree.main_text(f"<article {given}><p>Own text</p></article>", set()) == "Own text"
+        assert style_tree.main_text(f"<div {given}><p>Own text</p></div>", set()) == "Own text"
+    for given in ("hidden", 'class="ad"', 'CLASS = "box ad"', "id=comments", 'role="navigation"'):
+        assert style_tree.main_text(f"<article><p>Own</p><div {given}>other</div></article>", set()) == "Own"
+    for name in ("post-header", "article-header", "banner", "related", "notice"):
+        page = f'<article><div class="{name}">Headline</div><p>Own</p></article>'
+        assert style_tree.main_text(page, set()) == "Headline Own"
+        low = {b.paths[-1] for b in style_tree.parse(page)[0] if b.text == "Headline"}
+        assert style_tree.main_text(page, low) == "Own"
+    for raw in ('<svg viewBox="0 0 1 1"/>', "<svg/>", "<object data=x>", "<noscript>", "<svg><svg>in</svg>side</svg>", "<script>x</script>", "<object><p>in</object>"):
+        assert style_tree.main_text(f"<article><p>Own {raw} text<p>more</article>", set()) == "Own text more"
+    assert style_tree.main_text("<article>Own <object data=x> text <svg/> and <svg>no</svg> more <object>no</object></article>", set()) == "Own text and more"
+    style_tree.parse("<object>" * 20_000)
