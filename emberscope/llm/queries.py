@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from emberscope.llm import caps, langid, licenses, minhash, mixing, packing, partitions, quality, style_tree, token_files
+from emberscope.llm import caps, langid, licenses, minhash, mixing, packing, partitions, quality, runs, style_tree, token_files, toxicity, vector_codes
 from emberscope.llm.common import table
 from emberscope.session import let_workers_import
 
@@ -54,5 +54,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate_all(table(let_workers_import(spark), sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_packing, op3_spherical_caps, op4_style_tree, op5_minhash, op6_learned_partitions, op7_language_id, op8_token_files, op9_license_scan, op10_quality)}
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.rate_all(table(let_workers_import(spark), sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(table(let_workers_import(spark), sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(let_workers_import(spark), sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_packing, op3_spherical_caps, op4_style_tree, op5_minhash, op6_learned_partitions, op7_language_id, op8_token_files, op9_license_scan, op10_quality, op11_toxicity, op12_runs, op13_vector_codes)}
 ORACLES: dict[str, str] = {}
