@@ -64,16 +64,20 @@ def test_held_out_texts(spark, documents):
 
 
 def test_pairs_beyond_additive_weights(spark, documents):
-    rows, labels = corpus(random.Random(11), 3000)
+    """Either word alone makes a text toxic, both together don't: no sum of weights can say that."""
+    draw = random.Random(11)
+    rows, labels = [], []
+    for i in range(2400):
+        extra = draw.choice([["grupp"], ["away"], ["grupp", "away"], [], []])
+        words = prose(draw, "aa", 40).split() + extra
+        rows.append((i, " ".join(draw.sample(words, len(words)))))
+        labels.append((i, None, int(len(extra) == 1)))
     docs, marks = documents(rows), spark.createDataFrame(labels, LABELS)
-    text = dict(rows)
-    pairs = [i for i, _, y in labels if y and "grupp" in text[i] and "away" in text[i]]
-    alone = [i for i, _, y in labels if not y and ("grupp" in text[i] or "away" in text[i])]
     right = {}
     for k in (0, 4):
         out = {r.doc_id: r for r in toxicity.rate_all(docs, marks, toxicity.Settings(factors=k, threshold=0.5)).where("held_out").collect()}
-        right[k] = np.mean([out[i].predicted == 1 for i in pairs if i in out]) + np.mean([out[i].predicted == 0 for i in alone if i in out])
-    assert right[4] > 1.9 and right[4] > right[0]
+        right[k] = np.mean([out[i].predicted == y for i, _, y in labels if i in out])
+    assert right[4] > 0.98 and right[0] < 0.85
 
 
 def test_without_labels_or_rows(spark, documents):
