@@ -79,7 +79,7 @@ def _spans(fx: Fixture) -> DataFrame:
 
 @query(
     "ingest_metrics_gauge",
-    """SELECT time_unix_nano, service, metric, 's' AS unit, labels, flags, value, day,
+    """SELECT time_unix_nano, service, metric, 's' AS unit, labels, CAST(flags AS bigint) AS flags, value, day,
          CASE WHEN event_type = 'error' THEN span_id END AS exemplar_span FROM f_gauge""",
     ("f_gauge",),
 )

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from emberscope import schema
 from emberscope.acceptance import envelopes
-from emberscope.acceptance.fixtures import FIRST_DAY_NS, Fixture
+from emberscope.acceptance.fixtures import FIRST_DAY_NS, LAST_NS, Fixture
 from emberscope.acceptance.registry import query
 from emberscope.functions.timegrid import DAY, HOUR, bucket
+from emberscope.operators import metrics
 from emberscope.session import scratch_dir
 from emberscope.sources import otlp, tables
 from emberscope.streaming import counter, ingest, windows
@@ -91,13 +92,31 @@ def _volume(fx: Fixture) -> DataFrame:
 @query(
     "stream_red",
     f"""SELECT * FROM (SELECT start_time_unix_nano - start_time_unix_nano % {HOUR} AS bucket, service,
-            count(*) AS calls, count(*) FILTER (status = 'ERROR') AS errors FROM f_spans GROUP BY ALL)
+            count(*) AS calls, count(*) FILTER (status = 'ERROR') AS errors,
+            quantile_disc(duration_ns, 0.5) AS p50, quantile_disc(duration_ns, 0.95) AS p95,
+            quantile_disc(duration_ns, 0.99) AS p99 FROM f_spans GROUP BY ALL)
         WHERE bucket + {HOUR} <= {_WATERMARK}""",
     ("f_spans", "f_logs"),
 )
 def _red(fx: Fixture) -> DataFrame:
+    """Hours of a service hold fewer spans here than a sketch keeps exactly, so its percentiles are exact."""
+    spans = _files(fx, fx.spans.select("start_time_unix_nano", "service", "status", "duration_ns"))
+    return _run(fx, windows.span_metrics(spans, HOUR, _DELAY))
+
+
+@query(
+    "stream_red_by_day",
+    f"""SELECT bucket - bucket % {DAY} AS bucket, service, CAST(sum(calls) AS bigint) AS calls, CAST(sum(errors) AS bigint) AS errors FROM (
+          SELECT start_time_unix_nano - start_time_unix_nano % {HOUR} AS bucket, service,
+            count(*) AS calls, count(*) FILTER (status = 'ERROR') AS errors FROM f_spans GROUP BY ALL)
+        WHERE bucket + {HOUR} <= {_WATERMARK} GROUP BY ALL""",
+    ("f_spans", "f_logs"),
+)
+def _red_by_day(fx: Fixture) -> DataFrame:
+    """Hours that a stream has stored, merged to days; tests bound the error of the merged percentiles."""
     spans = _files(fx, fx.spans.select("start_time_unix_nano", "service", "status", "duration_ns"))
-    return _run(fx, windows.span_metrics(spans, HOUR, _DELAY)).drop("p50", "p95", "p99")
+    hours = _run(fx, windows.red_sketches(spans, HOUR, _DELAY))
+    return windows.red(windows.coarser(hours, DAY)).drop(*windows.PERCENTILES)
 
 
 @query(
@@ -150,23 +169,45 @@ def _late(fx: Fixture) -> DataFrame:
     return stored.join(counted, "service")
 
 
-@query(
-    "stream_rate",
-    f"""WITH i AS (SELECT labels, time_unix_nano, CASE WHEN lag(value) OVER w IS NULL THEN 0
+_FLUSH_NS = LAST_NS + 400 * DAY  # a sample so far ahead makes all others final
+
+
+def _increases(fx: Fixture, delay_ns: int, *waves: DataFrame) -> DataFrame:
+    """Increases of ``event.count`` after its samples have arrived in waves, the flush being the last."""
+    flush = fx.spark.createDataFrame([("flush", 0, _FLUSH_NS, 0.0)], "labels STRING, _resource BIGINT, time_unix_nano BIGINT, value DOUBLE")
+    arrivals, out, checkpoint = (scratch_dir(fx.spark, n) for n in ("samples", "increases", "checkpoint"))
+    for wave in (*waves, flush):
+        wave.write.mode("append").parquet(arrivals)
+        stream = counter.increases(fx.spark.readStream.schema(flush.schema).parquet(arrivals), delay_ns)
+        _drain(stream, out, checkpoint)
+    return fx.spark.read.schema(stream.schema).parquet(out).groupBy("labels", bucket(F.col("time_unix_nano"), HOUR).alias("bucket")).agg(
+        F.round(F.sum("increase") / F.lit(3600.0), 6).alias("v")
+    )
+
+
+def _counter(fx: Fixture) -> DataFrame:
+    points = fx.sum.where(F.col("metric") == "event.count")
+    return points.select("labels", *metrics.source(points), "time_unix_nano", "value")
+
+
+_RATE_SQL = f"""WITH i AS (SELECT labels, time_unix_nano, CASE WHEN lag(value) OVER w IS NULL THEN 0
             WHEN value >= lag(value) OVER w THEN value - lag(value) OVER w ELSE value END AS inc
           FROM f_sum WINDOW w AS (PARTITION BY labels ORDER BY time_unix_nano, value))
         SELECT labels, time_unix_nano - time_unix_nano % {HOUR} AS bucket, round(sum(inc) / 3600.0::double, 6) AS v
-        FROM i GROUP BY ALL""",
-    ("f_sum",),
-)
+        FROM i GROUP BY ALL"""
+
+
+@query("stream_rate", _RATE_SQL, ("f_sum",))
 def _rate(fx: Fixture) -> DataFrame:
-    samples = fx.sum.where(F.col("metric") == "event.count").select("labels", "time_unix_nano", "value")
-    out, state, checkpoint = (scratch_dir(fx.spark, n) for n in ("increases", "last", "checkpoint"))
-    stream = counter.writer(_files(fx, samples), out, state, checkpoint)
-    stream.trigger(**_ONCE).start().awaitTermination()
-    return counter.read(fx.spark, out).groupBy("labels", bucket(F.col("time_unix_nano"), HOUR).alias("bucket")).agg(
-        F.round(F.sum("increase") / F.lit(3600.0), 6).alias("v")
-    )
+    return _increases(fx, HOUR, _counter(fx))
+
+
+@query("stream_rate_late", _RATE_SQL, ("f_sum",))
+def _rate_late(fx: Fixture) -> DataFrame:
+    """A third of the samples of two days arrives only with those of the time after them; none is lost."""
+    samples, middle = _counter(fx), FIRST_DAY_NS + 15 * DAY
+    late = (F.col("time_unix_nano") >= middle) | ((F.col("time_unix_nano") >= middle - 2 * DAY) & (F.col("value") % 3 == 0))
+    return _increases(fx, 3 * DAY, samples.where(~late), samples.where(late))
 
 
 @query("stream_dedup", "SELECT trace_id, span_id, service, start_time_unix_nano FROM f_spans", ("f_spans",))

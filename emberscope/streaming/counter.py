@@ -1,84 +1,113 @@
-"""Increase of cumulative counters on a stream, with the last sample per series as state.
+"""Increase of cumulative counters on a stream, each sample against the one before it in event time.
 
-Each micro-batch runs the batch operator over its samples plus the last sample
-every series had before. The last samples are kept as a table, one version per
-batch, so a batch repeated after a failure reads and writes the same paths and
-gives the same rows. As in batch, no task sees a whole series.
+A series' samples are held in its state until the watermark has passed them: only then no earlier one can
+come any more, so late and unordered samples get the increase that the batch operator gives them. What is
+held per series is one sample and those of the watermark's delay.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from emberscope.operators.metrics import increases
-from emberscope.sources.tables import exists
+from emberscope.operators.metrics import identity
+from emberscope.streaming.windows import with_event_time
 
 SAMPLE = "labels STRING, time_unix_nano BIGINT, value DOUBLE"
-INCREASE = "labels STRING, time_unix_nano BIGINT, increase DOUBLE"
-
+_HELD = "time_unix_nano BIGINT, value DOUBLE"
+_MS = 1_000_000
 
-def _version(path: str, batch_id: int) -> str:
-    return f"{path.rstrip('/')}/batch={batch_id}"
 
+def use_state_store(spark: SparkSession) -> SparkSession:
+    """Let streams of this session keep their state in RocksDB, which lists and timers need; put before the start."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    return spark
 
-def _last_samples(spark: SparkSession, state: str, batch_id: int) -> DataFrame:
-    path = _version(state, batch_id)
-    if batch_id < 0 or not exists(spark, path):
-        return spark.createDataFrame([], SAMPLE)
-    return spark.read.schema(SAMPLE).parquet(path)
 
+class _Increases(StatefulProcessor):
+    """State of a series: the last sample behind the watermark, and the samples ahead of it.
 
-def take(batch: DataFrame, batch_id: int, out: str, state: str, ttl_ns: int | None = None) -> None:
-    """Write the batch's increases and the next version of the last samples.
+    A timer stands just behind the earliest sample held. When it fires, all samples behind the watermark are final
+    and leave in order of time. With a TTL another timer forgets a series that sent nothing for so long.
+    """
 
-    Samples not newer than the series' last one are ignored. With ``ttl_ns`` a
-    series whose last sample is that much older than the newest of all is
-    forgotten and starts anew.
+    def __init__(self, ttl_ns: int | None) -> None:
+        self.ttl_ns = ttl_ns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getListState("held", _HELD)
+        self.last = handle.getValueState("last", _HELD)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for frame in rows:
+            frame = frame.dropna(subset=["time_unix_nano", "value"])
+            if len(frame):
+                self.held.appendList(list(zip(frame["time_unix_nano"].astype(int).tolist(), frame["value"].tolist(), strict=True)))
+                self.handle.registerTimer(int(frame["time_unix_nano"].min()) // _MS + 1)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * _MS
+        held = sorted(tuple(s) for s in self.held.get())
+        final, ahead = [s for s in held if s[0] < passed], [s for s in held if s[0] >= passed]
+        if final:
+            self._keep(ahead)
+        before = self.last.get() if self.last.exists() else None
+        out = []
+        for time, value in final:
+            if before is not None and self._forgotten(before[0], time):
+                before = None
+            gain = 0.0 if before is None else value - before[1] if value >= before[1] else value
+            out.append((*key, time, None if before is None else before[0], gain))
+            before = (time, value)
+        if before is not None:
+            if not ahead and self._forgotten(before[0], passed):
+                self.last.clear()
+            elif final:
+                self.last.update(before)
+                if self.ttl_ns is not None:
+                    self.handle.registerTimer((before[0] + self.ttl_ns) // _MS + 1)
+        if out:
+            columns = [f"k{i}" for i in range(len(key))] + ["time_unix_nano", "previous_time", "increase"]
+            frame = pd.DataFrame(out, columns=columns)
+            frame["previous_time"] = frame["previous_time"].astype("Int64")
+            yield frame
+
+    def _keep(self, ahead: list[tuple[int, float]]) -> None:
+        if ahead:
+            self.held.put(ahead)
+            self.handle.registerTimer(ahead[0][0] // _MS + 1)
+        else:
+            self.held.clear()
+
+    def _forgotten(self, last: int, now: int) -> bool:
+        return self.ttl_ns is not None and now - last > self.ttl_ns
+
+
+def increases(samples: DataFrame, delay_ns: int, ttl_ns: int | None = None) -> DataFrame:
+    """A stream of ``labels, time_unix_nano, value`` with ``previous_time`` and ``increase`` in place of the value.
+
+    Samples of different resources are different series, if the column that tells them apart is there (see
+    ``operators.metrics.source``). Rows appear once the watermark, ``delay_ns`` behind the newest sample, has
+    passed them; samples that come later than that are left out, as are those without time or value. A series
+    silent for longer than ``ttl_ns`` starts anew, its next sample having no increase.
     """
-    spark = batch.sparkSession
-    known = _last_samples(spark, state, batch_id - 1)
-    samples = batch.select("labels", "time_unix_nano", "value")
-    fresh = samples.join(
-        known.select("labels", F.col("time_unix_nano").alias("_known")), "labels", "left"
-    ).where(F.col("_known").isNull() | (F.col("time_unix_nano") > F.col("_known")))
-    timeline = fresh.select(*samples.columns, F.lit(False).alias("_old")).unionByName(
-        known.withColumn("_old", F.lit(True))
-    )
-    (
-        increases(timeline)
-        .where(~F.col("_old"))
-        .select("labels", "time_unix_nano", "increase")
-        .write.mode("overwrite")
-        .parquet(_version(out, batch_id))
-    )
-    last = (
-        timeline.groupBy("labels")
-        .agg(F.max(F.struct("time_unix_nano", "value")).alias("_s"))
-        .select("labels", "_s.*")
+    use_state_store(samples.sparkSession)
+    keys = identity(samples)
+    types = dict(samples.dtypes)
+    timed = with_event_time(samples.select(*keys, "time_unix_nano", "value"), "time_unix_nano", delay_ns)
+    layout = ", ".join(f"k{i} {types[k]}" for i, k in enumerate(keys))
+    out = timed.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=_Increases(ttl_ns),
+        outputStructType=f"{layout}, time_unix_nano BIGINT, previous_time BIGINT, increase DOUBLE",
+        outputMode="append",
+        timeMode="eventTime",
     )
-    if ttl_ns is not None:
-        newest = timeline.agg(F.max("time_unix_nano")).scalar()
-        last = last.where(F.col("time_unix_nano") >= newest - ttl_ns)
-    last.write.mode("overwrite").parquet(_version(state, batch_id))
-
-
-def writer(
-    samples: DataFrame, out: str, state: str, checkpoint: str, ttl_ns: int | None = None
-) -> DataStreamWriter:
-    """Stream of ``labels, time_unix_nano, value`` to increases under ``out``."""
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
-        try:
-            take(kept, batch_id, out, state, ttl_ns)
-        finally:
-            kept.unpersist()
-
-    return samples.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-
-
-def read(spark: SparkSession, out: str) -> DataFrame:
-    """All increases written so far: ``labels, time_unix_nano, increase``."""
-    return spark.read.schema(f"{INCREASE}, batch BIGINT").parquet(out).drop("batch")
+    return out.withColumnsRenamed({f"k{i}": k for i, k in enumerate(keys)})

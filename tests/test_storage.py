@@ -15,7 +15,7 @@ from emberscope.plans.predicates import log_predicate
 from emberscope.plans.specs import LogQuery, TimeRange
 from emberscope.session import scratch_dir
 from emberscope.sources import otlp, tables
-from emberscope.streaming import counter, ingest, windows
+from emberscope.streaming import ingest, windows
 from tests.helpers import S, logs as make_logs, samples, spans, tuples
 
 
@@ -340,34 +340,6 @@ def test_duplicate_spans_are_dropped(spark, fresh):
     assert tuples(spark.read.parquet(f"{fresh}/out"), "span_id") == [("b",), ("c",)]
 
 
-def test_counter_state_goes_from_batch_to_batch(spark, fresh):
-    def arrive(*points):
-        rows = spark.createDataFrame([("s", t, float(v)) for t, v in points], counter.SAMPLE)
-        rows.coalesce(1).write.mode("append").parquet(f"{fresh}/in")
-
-    def take():
-        stream = spark.readStream.schema(counter.SAMPLE).parquet(f"{fresh}/in")
-        run(counter.writer(stream, f"{fresh}/out", f"{fresh}/state", f"{fresh}/cp"))
-        return [(t, v) for _, t, v in tuples(counter.read(spark, f"{fresh}/out"))]
-
-    arrive((2, 15), (1, 10))
-    assert take() == [(1, 0.0), (2, 5.0)]
-    arrive((2, 99), (3, 4), (4, 6))  # a repeated time is ignored, 4 is after a reset
-    assert take() == [(1, 0.0), (2, 5.0), (3, 4.0), (4, 2.0)]
-    # a batch repeated after a failure gives the same rows
-    again = spark.createDataFrame([("s", 3, 4.0), ("s", 4, 6.0)], counter.SAMPLE)
-    counter.take(again, 1, f"{fresh}/out", f"{fresh}/state")
-    assert [(t, v) for _, t, v in tuples(counter.read(spark, f"{fresh}/out"))][2:] == [(3, 4.0), (4, 2.0)]
-
-
-def test_counter_ttl_forgets_old_series(spark, fresh):
-    rows = lambda *r: spark.createDataFrame([(s, t, float(v)) for s, t, v in r], counter.SAMPLE)
-    counter.take(rows(("old", 1, 5), ("new", 100, 5)), 0, f"{fresh}/o", f"{fresh}/s", ttl_ns=50)
-    counter.take(rows(("old", 101, 7), ("new", 101, 7)), 1, f"{fresh}/o", f"{fresh}/s", ttl_ns=50)
-    got = tuples(counter.read(spark, f"{fresh}/o").where("time_unix_nano = 101"))
-    assert got == [("new", 101, 2.0), ("old", 101, 0.0)]
-
-
 def test_logs_query_on_stored_table_is_a_top_k(spark, fresh):
     tables.append(days_of_logs(spark), fresh, schema.LOGS)
     top = logs.query(tables.scan(spark, fresh, schema.LOGS), LogQuery(limit=3))
