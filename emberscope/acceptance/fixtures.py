@@ -23,6 +23,7 @@ COUNTER_PERIOD = 250  # the counter starts anew every so many events
 HIST_BOUNDS = (1.0, 5.0, 25.0, 100.0, 250.0)
 EXP_INDEXES = range(-7, 11)
 SKEW_CENTER = 5.0
+ZERO_THRESHOLD = 0.25  # of the cumulative points; a power of two and of four
 SERVICES = ("checkout", "cart", "auth", "search")
 SEVERITY = {"error": 17, "purchase": 13, "signup": 9, "click": 5, "view": 1}
 SEVERITY_TEXT = {"error": "ERROR", "purchase": "WARN", "signup": "INFO", "click": "DEBUG", "view": "TRACE"}
@@ -330,6 +331,93 @@ class Fixture:
         )
         return self._cast(rows, schema.EXP_HISTOGRAM)
 
+    def _cumulative(self, metric: str, place: Column, scales: tuple[int, ...], columns) -> DataFrame:
+        """One cumulative point per (service, host, day): all events since its counter started, every ten days.
+
+        ``place`` numbers an event's bucket at ``_scale``; the first of ``scales`` holds for the first five days of a start.
+        ``columns`` builds the bucket columns of a point from an expression for the count at (sign, place).
+        """
+        day = F.unix_date("day") - F.lit(FIRST_DAY_NS // DAY)
+        scale = F.when(day % 10 < 5, scales[0]).otherwise(scales[-1])
+        events = self.base.select("service", "day", (F.expr("user_id div 4") % 2).alias("host"), F.floor(day / 10).alias("era"), "value")
+        points = events.select("service", "host", "era", "day", scale.alias("_scale")).distinct()
+        cells = (
+            events.withColumn("_scale", F.explode(F.array(*[F.lit(v) for v in sorted(set(scales))])))
+            .groupBy("service", "host", "era", "_scale", F.col("day").alias("_from"), F.signum(F.col("value") - SKEW_CENTER).alias("_sign"), place.alias("_place"))
+            .agg(F.count(F.lit(1)).alias("_n"), F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("_cents"))
+        )
+        start = F.unix_date("day").cast("bigint") * F.lit(DAY)
+        made = (
+            points.join(cells, ["service", "host", "era", "_scale"])
+            .where("_from <= day")
+            .groupBy("service", "host", "era", "day", "_scale", "_sign", "_place")
+            .agg(F.sum("_n").alias("_n"), F.sum("_cents").alias("_cents"))
+            .groupBy("service", "host", "era", "day", "_scale")
+            .agg(F.sum("_n").alias("count"), (F.sum("_cents") / 100.0).cast("double").alias("sum"), F.collect_list(F.struct("_sign", "_place", "_n")).alias("_cells"))
+        )
+
+        def count_at(sign: float | None, at: Column) -> Column:
+            same = F.filter("_cells", lambda c: (F.lit(sign is None) | (c["_sign"] == F.lit(sign))) & (c["_place"] == at))
+            return F.aggregate(same, F.lit(0).cast("bigint"), lambda acc, c: acc + c["_n"])
+
+        return made.select(
+            (start + F.lit(DAY - SECOND)).alias("time_unix_nano"),
+            (F.lit(FIRST_DAY_NS) + F.col("era") * F.lit(10 * DAY)).cast("bigint").alias("start_time_unix_nano"),
+            "service",
+            F.lit(metric).alias("metric"),
+            F.lit("s").alias("unit"),
+            F.lit("derived from events").alias("description"),
+            F.lit("CUMULATIVE").alias("temporality"),
+            F.lit(0).alias("flags"),
+            label_set({"service": F.col("service")}).alias("labels"),
+            self._empty_map().alias("attributes"),
+            _strings(service__name=F.col("service"), host__name=F.col("host")).alias("resource"),
+            "day",
+            F.array().alias("exemplars"),
+            "count",
+            "sum",
+            F.lit(None).cast("double").alias("min"),
+            F.lit(None).cast("double").alias("max"),
+            *columns(count_at),
+        )
+
+    @cached_property
+    def histogram_cumulative(self) -> DataFrame:
+        """Two hosts of equal labels, each starting anew every ten days."""
+        place = F.size(F.filter(_doubles(HIST_BOUNDS), lambda e: e < F.col("value")))
+        rows = self._cumulative(
+            "event.latency.total",
+            place,
+            (0,),
+            lambda count_at: [
+                _doubles(HIST_BOUNDS).alias("explicit_bounds"),
+                F.array(*[count_at(None, F.lit(i)) for i in range(len(HIST_BOUNDS) + 1)]).alias("bucket_counts"),
+            ],
+        )
+        return self._cast(rows, schema.HISTOGRAM)
+
+    @cached_property
+    def exp_histogram_cumulative(self) -> DataFrame:
+        """Like the histogram; five days after a start the scale falls from 0 to -1. A quarter counts as zero."""
+        x = F.abs(F.col("value") - SKEW_CENTER)
+        edges = F.when(F.col("_scale") == 0, _doubles(2.0**i for i in EXP_INDEXES)).otherwise(_doubles(4.0**i for i in EXP_INDEXES))
+        place = F.size(F.filter(edges, lambda e: e < x))
+
+        def columns(count_at) -> list[Column]:
+            def side(sign: float) -> Column:
+                counts = F.transform(F.sequence(F.lit(1), F.lit(len(EXP_INDEXES))), lambda i: count_at(sign, i))
+                return F.struct(F.lit(EXP_INDEXES[0]).alias("offset"), counts.alias("bucket_counts"))
+
+            return [
+                count_at(None, F.lit(0)).alias("zero_count"),
+                F.col("_scale").alias("scale"),
+                F.lit(ZERO_THRESHOLD).alias("zero_threshold"),
+                side(1.0).alias("positive"),
+                side(-1.0).alias("negative"),
+            ]
+
+        return self._cast(self._cumulative("event.skew.total", place, (0, -1), columns), schema.EXP_HISTOGRAM)
+
     @cached_property
     def summary(self) -> DataFrame:
         def quantile(q: float, value: str) -> Column:
@@ -471,6 +559,20 @@ VIEWS = {
     ),
 }
 
+# What cumulative points have gained: the first day of each host is not known.
+VIEWS["b_after_first"] = (
+    ("b",),
+    """SELECT * EXCLUDE (day0) FROM (SELECT *, min(day) OVER (PARTITION BY service, user_id // 4 % 2) AS day0 FROM b)
+       WHERE day > day0""",
+)
+VIEWS["f_hist_gained"] = (("b_after_first",), VIEWS["f_hist"][1].replace("FROM b GROUP", "FROM b_after_first GROUP"))
+VIEWS["f_exp_cells_gained"] = (
+    ("b_after_first",),
+    VIEWS["f_exp_cells"][1].replace("FROM b)", "FROM b_after_first)").replace(
+        "(day - DATE '1970-01-01') % 2 = 0", "(day - DATE '2024-01-01') % 10 < 5"
+    ),
+)
+
 
 def with_views(sql: str, *names: str) -> str:
     """``sql`` preceded by the views it uses, their own views first."""

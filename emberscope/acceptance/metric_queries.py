@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberscope import schema
-from emberscope.acceptance.fixtures import FIRST_DAY_NS, LAST_NS, Fixture
+from emberscope.acceptance.fixtures import FIRST_DAY_NS, LAST_NS, ZERO_THRESHOLD, Fixture
 from emberscope.acceptance.registry import query
 from emberscope.functions.timegrid import DAY, HOUR, MINUTE, SECOND, Grid
 from emberscope.operators import discovery, histograms, logs, metrics, series
@@ -245,6 +245,36 @@ def _exp_point(fx: Fixture) -> DataFrame:
     return histograms.exponential_quantile(fx.exp_histogram, q).withColumn("v", F.round("v", 6))
 
 
+@query(
+    "histogram_quantile_cumulative",
+    _hist_sql(_WEEK, 0.9).replace("FROM f_hist,", "FROM f_hist_gained,"),
+    ("f_hist_gained",),
+)
+def _hist_cumulative(fx: Fixture) -> DataFrame:
+    """Two hosts with equal labels, reset every ten days."""
+    q = HistogramQuery(metric="event.latency.total", phi=0.9, group_by=["service"], step_ns=7 * DAY)
+    return histograms.quantile(fx.histogram_cumulative, q).withColumn("v", F.round("v", 6))
+
+
+_ENDS_IN_ZERO = f"pow(pow(2.0, pow(2.0, -low_scale)), (idx >> (scale - low_scale)) + 1) <= {ZERO_THRESHOLD}"
+
+
+@query(
+    "exp_histogram_quantile_cumulative",
+    _exp_sql(_WEEK, 0.3)
+    .replace("FROM f_exp_cells)", "FROM f_exp_cells_gained)")
+    .replace(
+        "low_scale, sign, idx >> (scale - low_scale) AS i,",
+        f"low_scale, CASE WHEN {_ENDS_IN_ZERO} THEN 0 ELSE sign END AS sign, CASE WHEN {_ENDS_IN_ZERO} THEN 0 ELSE idx >> (scale - low_scale) END AS i,",
+    ),
+    ("f_exp_cells_gained",),
+)
+def _exp_cumulative(fx: Fixture) -> DataFrame:
+    """As above; besides, the scale falls from 0 to -1 between resets, and a zero threshold swallows small buckets."""
+    q = ExpHistogramQuery(metric="event.skew.total", phi=0.3, group_by=["service"], step_ns=7 * DAY)
+    return histograms.exponential_quantile(fx.exp_histogram_cumulative, q).withColumn("v", F.round("v", 6))
+
+
 # --- series on a grid ---------------------------------------------------------------
 
 _FINE = Grid(FIRST_DAY_NS, LAST_NS, 5 * MINUTE)

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberscope.functions.attrs import attr, canonical_json
+from emberscope.functions.attrs import attr
 from emberscope.functions.timegrid import SECOND, bucket
 from emberscope.operators.ordered import HALO, chunk_window, with_previous_row
 from emberscope.plans.predicates import points_predicate, series_predicate
@@ -74,7 +74,7 @@ def source(points: DataFrame) -> list[Column]:
     """What tells apart series of equal labels: the resource they come from, as a hash."""
     if "resource" not in points.columns:
         return []
-    return [F.xxhash64(canonical_json("resource")).alias(_SOURCE)]
+    return [F.xxhash64(F.sort_array(F.map_entries("resource"))).alias(_SOURCE)]
 
 
 def identity(samples: DataFrame) -> list[str]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from emberscope.functions.attrs import label_set
 from emberscope.functions.timegrid import MINUTE, Grid
-from emberscope.operators.metrics import AGGREGATES, increases, recorded, source, stale
+from emberscope.operators.metrics import AGGREGATES, identity, increases, recorded, source, stale
 from emberscope.plans.predicates import all_of, in_range
 from emberscope.plans.specs import TimeRange
 
@@ -57,29 +57,68 @@ def instant_grid(points: DataFrame, grid: Grid, lookback: int = LOOKBACK) -> Dat
     )
 
 
+#: Increases are added up exactly, to so many decimal places; sums of doubles that come and go would not return to zero.
+_EXACT = "decimal(38,12)"
+
+
 def rate(points: DataFrame, grid: Grid, range_ns: int) -> DataFrame:
     """Per-second rate of a cumulative counter over ``(ts - range, ts]``.
 
-    An increase counts at the steps whose window holds both of its samples. A
-    series with fewer than two samples in a window has no value there.
+    An increase counts at the steps whose window holds both of its samples. A series with fewer than two samples in
+    a window has no value there. Every sample enters the window at one step and leaves it at another, so the sum is
+    the running total of what entered less what left, less the increase of the oldest sample inside, whose own
+    predecessor lies outside. Both are summed per step before the window, which makes a series at most two rows per
+    step, however many samples and steps a range holds. A window that meets an increase beyond 10^26, or
+    one that is no number, has the value NaN.
     """
+    slots = _slots(points, grid, range_ns)
+    keys = identity(slots)
+    onward = Window.partitionBy(*keys).orderBy("_first")
+    upto = onward.rowsBetween(Window.unboundedPreceding, 0)
+    later = Window.partitionBy(*keys).orderBy(F.col("_first").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    held = slots.select(
+        "labels",
+        "_first",
+        (F.lead("_first").over(onward) - 1).alias("_last"),
+        F.sum("_in").over(upto).alias("_sum"),
+        F.sum("_n").over(upto).alias("_held"),
+        F.sum("_bad").over(upto).alias("_bad"),
+        F.last("_oldest", ignorenulls=True).over(later).alias("_oldest"),
+    ).where(F.col("_held") > 1)
+    seconds = range_ns / 1_000_000_000
+    total = (F.col("_sum") - F.col("_oldest.gain")).cast("double")
+    value = F.when(F.col("_bad") > F.col("_oldest.odd"), F.lit(float("nan"))).otherwise(total / F.lit(seconds))
+    spread = _fill(held.withColumn("value", value), grid)
+    if keys == ["labels"]:
+        return spread.select("labels", "ts", "value")
+    return spread.groupBy("labels", "ts").agg(F.sum("value").alias("value"))
+
+
+def _slots(points: DataFrame, grid: Grid, range_ns: int) -> DataFrame:
+    """What changes for a series at a step: samples and increases that enter and leave, and the oldest sample leaving."""
     time = F.col("time_unix_nano")
     inside = recorded(_within(points, grid, range_ns))
-    steps = inside.select("labels", *source(points), "time_unix_nano", "value")
-    first = grid.clip_low(grid.index_at_or_after(time))
-    last = grid.clip_high(grid.index_before(F.col("previous_time") + F.lit(range_ns)))
-    # Increases that count at the same steps are summed before they are spread.
-    gained = (
-        increases(steps)
-        .where(F.col("previous_time").isNotNull())
-        .groupBy("labels", first.alias("_first"), last.alias("_last"))
-        .agg(F.sum("increase").alias("_gain"))
+    gained = increases(inside.select("labels", *source(points), "time_unix_nano", "value"))
+    gain, none = F.col("increase").try_cast(_EXACT), F.lit(0).cast(_EXACT)
+    # What leaves after the last step stands just behind the grid: it may be the oldest sample inside.
+    leaves = F.least(grid.clip_low(grid.index_at_or_after(time + F.lit(range_ns))), F.lit(grid.count).cast("bigint"))
+    moves = F.array(
+        F.struct(grid.clip_low(grid.index_at_or_after(time)).alias("at"), F.lit(1).alias("sign")),
+        F.struct(leaves.alias("at"), F.lit(-1).alias("sign")),
     )
-    seconds = range_ns / 1_000_000_000
+    left = F.col("_m.sign") < 0
+    oldest = F.when(left, F.struct(F.col("_gain").alias("gain"), F.col("_odd").alias("odd")))
     return (
-        _fill(gained, grid)
-        .groupBy("labels", "ts")
-        .agg((F.sum("_gain") / F.lit(seconds)).alias("value"))
+        gained.withColumn("_odd", F.when(gain.isNull(), 1).otherwise(0))
+        .withColumn("_gain", F.coalesce(gain, none))
+        .withColumn("_m", F.explode(moves))
+        .groupBy(*identity(gained), F.col("_m.at").alias("_first"))
+        .agg(
+            F.sum(F.when(left, -F.col("_gain")).otherwise(F.col("_gain"))).alias("_in"),
+            F.sum("_m.sign").alias("_n"),
+            F.sum(F.col("_m.sign") * F.col("_odd")).alias("_bad"),
+            F.min_by(oldest, F.when(left, F.struct("time_unix_nano", "value"))).alias("_oldest"),
+        )
     )
 
 

@@ -123,6 +123,24 @@ def test_rate_against_brute_force(spark):
         assert all(math.isclose(got[t], want[t], abs_tol=1e-9) for t in want)
 
 
+def test_rate_stays_at_two_rows_a_step(spark):
+    points = [(i * S, (i * 37) % 101) for i in range(2000)]
+    grid = Grid(0, 2000 * S, 100 * S)
+    rows = counter(spark, *points).unionByName(counter(spark, *points, labels='{"x":"y"}'))
+    assert series._slots(rows, grid, 1000 * S).count() <= 2 * (grid.count + 1)
+    fine = Grid(0, 2000 * S, S // 2)  # far more steps than samples: two rows a sample
+    assert series._slots(rows, fine, 1000 * S).count() <= 2 * 2 * 2000
+    got = {t: v for k, t, v in tuples(series.rate(rows, grid, 1000 * S)) if k == "{}"}
+    want = brute_rate(points, grid, 1000 * S)
+    assert got.keys() == want.keys() and all(math.isclose(got[t], want[t], abs_tol=1e-9) for t in want)
+
+
+def test_rate_of_values_that_are_no_numbers(spark):
+    rows = counter(spark, (0, 1), (10 * S, math.nan), (20 * S, 1e300), (30 * S, 5), (40 * S, 7), (50 * S, 7.25))
+    got = {t // S: v for _, t, v in tuples(series.rate(rows, Grid(0, 60 * S, 10 * S), 20 * S))}
+    assert math.isnan(got[10]) and math.isnan(got[20]) and got[40] == 0.1 and got[50] == 0.0125 and 60 not in got
+
+
 def test_series_aggregate_over_labels(spark):
     rows = spark.createDataFrame(
         [('{"a":"1","b":"x"}', 5, 2.0), ('{"a":"1","b":"y"}', 5, 3.0), ('{"b":"z"}', 5, 7.0)],
@@ -257,3 +275,62 @@ def test_two_hosts_with_equal_labels_are_two_counters(spark):
     assert tuples(series.rate(points, grid, 30 * S), "value") == [(4 / 30,)]
     q = MetricQuery(metric="m", step_ns=100 * S, rate="counter", aggregation="sum")
     assert tuples(metrics.range_query(points, q), "v") == [(4 / 100,)]
+
+
+def _histogram(spark, *rows):
+    return samples(
+        spark,
+        schema.HISTOGRAM,
+        *[
+            {"temporality": "CUMULATIVE", "labels": "{}", "time_unix_nano": t * S, "start_time_unix_nano": start, "count": sum(counts), "explicit_bounds": bounds, "bucket_counts": counts, "resource": {"host": host}}
+            for host, t, start, bounds, counts in rows
+        ],
+    )
+
+
+def test_cumulative_histograms_count_by_their_gains(spark):
+    q = HistogramQuery(metric="m", phi=1.0, step_ns=1000 * S)
+    bounds = [1.0, 2.0, 4.0]
+    # Nothing is known before a first point, so a lone point has no value.
+    assert histograms.quantile(_histogram(spark, ("a", 1, 0, bounds, [5, 5, 5, 0])), q).count() == 0
+    # Gains of one in the second bucket; the large start of the first point does not count.
+    rows = _histogram(spark, ("a", 1, 0, bounds, [0, 0, 9, 0]), ("a", 2, 0, bounds, [0, 1, 9, 0]))
+    assert tuples(histograms.quantile(rows, q)) == [(0, 2.0)]
+    # Another host of equal labels is another series.
+    rows = rows.unionByName(_histogram(spark, ("b", 3, 0, bounds, [9, 0, 0, 0]), ("b", 4, 0, bounds, [12, 0, 0, 0])))
+    assert tuples(histograms.quantile(rows, HistogramQuery(metric="m", phi=0.75, step_ns=1000 * S))) == [(0, 1.0)]
+    # Resets: a new start time, a bucket that fell, other bounds. All counts are new then.
+    for again in (("a", 2, 7, bounds, [0, 1, 9, 1]), ("a", 2, 0, bounds, [1, 0, 8, 9]), ("a", 2, 0, [1.0, 3.0, 4.0], [0, 0, 9, 1])):
+        out = histograms.quantile(_histogram(spark, ("a", 1, 0, bounds, [0, 1, 9, 0]), again), HistogramQuery(metric="m", phi=0.5, step_ns=1000 * S))
+        assert [2.0 < r.v <= 4.0 for r in out.collect()] == [True]
+    none = _histogram(spark, ("a", 1, 0, bounds, [0, 1, 0, 0]), ("a", 2, 0, bounds, [0, 1, 0, 0]))
+    assert [r.v for r in histograms.quantile(none, q).collect()] == [None]
+
+
+def _exponential(spark, *rows):
+    side = lambda offset, counts: {"offset": offset, "bucket_counts": counts}
+    return samples(
+        spark,
+        schema.EXP_HISTOGRAM,
+        *[
+            {"temporality": "CUMULATIVE", "labels": "{}", "time_unix_nano": t * S, "start_time_unix_nano": 0, "count": zero + sum(counts), "scale": scale, "zero_count": zero, "zero_threshold": threshold, "positive": side(offset, counts), "negative": side(0, [])}
+            for t, scale, threshold, zero, offset, counts in rows
+        ],
+    )
+
+
+def test_cumulative_exponential_histograms(spark):
+    q = ExpHistogramQuery(metric="m", phi=1.0, step_ns=1000 * S)
+    # From scale 1 to 0: buckets 4 and 5 of (4, 8] become bucket 2; two more fall into bucket 3, (8, 16].
+    rows = _exponential(spark, (1, 1, 0.0, 0, 4, [3, 4]), (2, 0, 0.0, 0, 2, [7, 2]))
+    assert [round(r.v, 9) for r in histograms.exponential_quantile(rows, q).collect()] == [16.0]
+    low = histograms.exponential_quantile(rows, ExpHistogramQuery(metric="m", phi=0.01, step_ns=1000 * S)).first().v
+    assert 8.0 < low < 8.2
+    # The zero bucket grows over bucket -1, (0.5, 1]: its counts moved there, only bucket 0 gained.
+    rows = _exponential(spark, (1, 0, 0.0, 1, -1, [5, 1]), (2, 0, 1.0, 6, 0, [4]))
+    assert [round(r.v, 9) for r in histograms.exponential_quantile(rows, q).collect()] == [2.0]
+    low = histograms.exponential_quantile(rows, ExpHistogramQuery(metric="m", phi=0.01, step_ns=1000 * S)).first().v
+    assert 1.0 < low < 1.1
+    # A smaller count is a reset.
+    rows = _exponential(spark, (1, 0, 0.0, 0, 5, [9]), (2, 0, 0.0, 0, 1, [3]))
+    assert [round(r.v, 9) for r in histograms.exponential_quantile(rows, q).collect()] == [4.0]
