@@ -12,10 +12,10 @@ from emberscope.acceptance import envelopes
 from emberscope.acceptance.fixtures import _DAY_LABELS, _DAY_NS, FIRST_DAY_NS, Fixture
 from emberscope.acceptance.registry import query
 from emberscope.functions.timegrid import DAY
-from emberscope.operators import logs, upkeep
+from emberscope.operators import discovery, logs, upkeep
 from emberscope.plans.specs import LogQuery
 from emberscope.session import scratch_dir
-from emberscope.sources import otlp, tables
+from emberscope.sources import catalog, otlp, tables
 
 
 def delivered(fx: Fixture, table: str) -> DataFrame:
@@ -299,3 +299,82 @@ def _snapshot(fx: Fixture) -> DataFrame:
     directory = scratch_dir(fx.spark, "snapshot")
     upkeep.snapshot(fx.spark, _stored(fx), directory)
     return tables.scan_counts(tables.scan_all(fx.spark, directory))
+
+
+# --- what is kept beside the tables ------------------------------------------------------
+
+
+@query(
+    "promote_then_overwrite",
+    "SELECT time_unix_nano, service, body, event_type AS attr_event_2e_type FROM f_logs WHERE event_type = 'purchase'",
+    ("f_logs",),
+)
+def _overwrite(fx: Fixture) -> DataFrame:
+    """A table with a promoted key is overwritten without naming it; the filter on the key still finds its rows."""
+    root = scratch_dir(fx.spark, "promoted")
+    tables.append(fx.logs.where("event_name = 'click'"), root, schema.LOGS, promote_keys=["event.type"])
+    tables.append(fx.logs, root, schema.LOGS, mode="overwrite")
+    found = logs.matching(tables.scan(fx.spark, root, schema.LOGS), LogQuery(attr_eq=[("event.type", "purchase")]))
+    return found.select("time_unix_nano", "service", "body", "attr_event_2e_type")
+
+
+@query(
+    "promote_then_compact",
+    """SELECT time_unix_nano, service, body, event_type AS attr_event_2e_type, CAST(amount AS varchar) AS attr_amount
+       FROM f_logs WHERE event_type = 'purchase'""",
+    ("f_logs",),
+)
+def _promote_compact(fx: Fixture) -> DataFrame:
+    """A key promoted only by the second append becomes a column of all rows when the table is rewritten."""
+    root, out = scratch_dir(fx.spark, "promoted"), scratch_dir(fx.spark, "compacted")
+    half = F.col("day") < date(2024, 1, 15)
+    tables.append(fx.logs.where(half), root, schema.LOGS, promote_keys=["event.type"])
+    tables.append(fx.logs.where(~half), root, schema.LOGS, promote_keys=["amount"])
+    upkeep.compact(fx.spark, root, schema.LOGS, out)
+    found = logs.matching(tables.scan(fx.spark, out, schema.LOGS), LogQuery(attr_eq=[("event.type", "purchase")]))
+    return found.select("time_unix_nano", "service", "body", "attr_event_2e_type", "attr_amount")
+
+
+_ALL_ENTRIES = """WITH r AS (
+    SELECT 'logs' AS "table", day, service, event_type, k, user_id, amount FROM f_logs
+    UNION ALL SELECT 'spans', day, service, NULL, k, user_id, NULL FROM f_spans
+    UNION ALL SELECT 'metrics_gauge', day, service, event_type, NULL, NULL, NULL FROM f_gauge
+    UNION ALL SELECT 'metrics_sum', day, service, event_type, NULL, NULL, NULL FROM f_sum
+    UNION ALL SELECT 'metrics_histogram', day, service, NULL, NULL, NULL, NULL FROM f_hist
+    UNION ALL SELECT 'metrics_exp_histogram', day, service, NULL, NULL, NULL, NULL FROM f_hist
+    UNION ALL SELECT 'metrics_summary', day, service, NULL, NULL, NULL, NULL FROM f_summary),
+  v AS (SELECT "table", day, 'event.type' AS name, event_type AS value FROM r WHERE event_type IS NOT NULL
+    UNION SELECT "table", day, 'k', CAST(k AS varchar) FROM r WHERE k IS NOT NULL
+    UNION SELECT "table", day, 'user.id', CAST(user_id AS varchar) FROM r WHERE user_id IS NOT NULL
+    UNION SELECT "table", day, 'amount', CAST(amount AS varchar) FROM r WHERE amount IS NOT NULL
+    UNION SELECT "table", day, 'service', service FROM r)
+  SELECT "table", day, 'value' AS kind, name, value FROM v
+  UNION ALL SELECT DISTINCT "table", day, 'key', CASE name WHEN 'service' THEN 'service.name' ELSE name END, NULL FROM v
+  UNION ALL SELECT DISTINCT r."table", day, 'metric', m.metric, NULL FROM r JOIN (VALUES ('metrics_gauge', 'event.value'),
+    ('metrics_sum', 'event.count'), ('metrics_sum', 'event.delta'), ('metrics_histogram', 'event.latency'),
+    ('metrics_exp_histogram', 'event.skew'), ('metrics_summary', 'event.spread')) m(of, metric) ON r."table" = m.of"""
+
+
+@query("catalog_entries", _ALL_ENTRIES, _ALL_VIEWS)
+def _entries(fx: Fixture) -> DataFrame:
+    """The catalog after every table was appended in two parts."""
+    root = scratch_dir(fx.spark, "tables")
+    for name in schema.TABLE_NAMES:
+        for part in (F.col("service") < "cart", F.col("service") >= "cart"):
+            tables.append(fx.tables[name].where(part), root, name)
+    return catalog.read(fx.spark, root).select("table", "day", "kind", "name", "value")
+
+
+@query(
+    "catalog_after_retention",
+    """SELECT DISTINCT 'user.id' AS name, CAST(user_id AS varchar) AS value FROM b WHERE day > DATE '2024-01-20'
+       UNION SELECT 'event.type', event_type FROM b WHERE day > DATE '2024-01-20'""",
+    ("b",),
+)
+def _retained_entries(fx: Fixture) -> DataFrame:
+    """Values of two keys looked up in the catalog once the days before have been dropped."""
+    root, out = _stored(fx, schema.LOGS), scratch_dir(fx.spark, "retained")
+    upkeep.retain(fx.spark, root, out, retention_days=10, today=_TODAY)
+    known = catalog.read(fx.spark, out)
+    parts = [discovery.attr_values(known, key).select(F.lit(key).alias("name"), "value") for key in ("user.id", "event.type")]
+    return parts[0].unionByName(parts[1])

@@ -44,32 +44,81 @@ def _files(fx: Fixture, df: DataFrame) -> DataFrame:
     return fx.spark.readStream.schema(df.schema).parquet(path)
 
 
-@query(
-    "stream_ingest",
-    """SELECT 'logs' AS "table", service, count(*) AS rows, min(time_unix_nano) AS first_time FROM f_logs GROUP BY service
-       UNION ALL SELECT 'spans', service, count(*), min(start_time_unix_nano) FROM f_spans
-       WHERE user_id % 50 <> 0 GROUP BY service
-       UNION ALL SELECT 'metrics_gauge', service, count(*), min(time_unix_nano) FROM f_gauge GROUP BY service""",
-    ("f_logs", "f_spans", "f_gauge"),
-)
-def _ingest(fx: Fixture) -> DataFrame:
+def _taken(fx: Fixture) -> str:
+    """All derived tables sent as OTLP/JSON, with some lines that are none, and taken by streams; the tables' root."""
     sources = {signal: scratch_dir(fx.spark, signal) for signal in ("logs", "traces", "metrics")}
     envelopes.logs(fx).write.json(sources["logs"])
     envelopes.spans(fx).write.json(sources["traces"])
-    envelopes.metrics(fx, schema.GAUGE).write.json(sources["metrics"])
+    for name in schema.METRIC_TABLES:
+        envelopes.metrics(fx, name).write.mode("append").json(sources["metrics"])
+    torn = fx.base.where("event_type = 'error'").select(F.concat(F.lit('{"resourceLogs": [{"event": '), "event_id").alias("value"))
+    torn.write.mode("append").text(sources["logs"])
     root, checkpoint = scratch_dir(fx.spark, "tables"), scratch_dir(fx.spark, "checkpoint")
-    running = ingest.start_all(fx.spark, sources, root, checkpoint, _ONCE)
-    for stream in running:
+    promoted = {schema.LOGS: ["event.type"], schema.SPANS: ["user.id"]}
+    for stream in ingest.start_all(fx.spark, sources, root, checkpoint, _ONCE, promoted):
         stream.awaitTermination()
-    parts = []
-    for name in (schema.LOGS, schema.SPANS, schema.GAUGE):
-        rows = tables.scan(fx.spark, root, name)
-        parts.append(
-            rows.groupBy("service")
-            .agg(F.count(F.lit(1)).alias("rows"), F.min(schema.TIME_COLUMN[name]).alias("first_time"))
-            .select(F.lit(name).alias("table"), "service", "rows", "first_time")
+    return root
+
+
+_EVERY_TABLE = """WITH every AS (
+    SELECT 'logs' AS "table", service, time_unix_nano AS t, event_type AS promoted FROM f_logs
+    UNION ALL SELECT 'spans', service, start_time_unix_nano, CAST(user_id AS varchar) FROM f_spans WHERE user_id % 50 <> 0
+    UNION ALL SELECT 'metrics_gauge', service, time_unix_nano, NULL FROM f_gauge
+    UNION ALL SELECT 'metrics_sum', service, time_unix_nano, NULL FROM f_sum
+    UNION ALL SELECT 'metrics_sum', service, time_unix_nano, NULL FROM f_sum_delta
+    UNION ALL SELECT 'metrics_histogram', service, time_unix_nano, NULL FROM f_hist
+    UNION ALL SELECT 'metrics_exp_histogram', service, time_unix_nano, NULL FROM f_hist
+    UNION ALL SELECT 'metrics_summary', service, time_unix_nano, NULL FROM f_summary)
+    SELECT "table", service, count(*) AS rows, min(t) AS first_time, max(t) AS last_time, max(promoted) AS last_promoted FROM every GROUP BY ALL"""
+_EVERY_VIEW = ("f_logs", "f_spans", "f_gauge", "f_sum", "f_sum_delta", "f_hist", "f_summary")
+
+
+@query("stream_ingest", _EVERY_TABLE, _EVERY_VIEW)
+def _ingest(fx: Fixture) -> DataFrame:
+    """Rows of all seven tables, and the keys promoted on the way."""
+    root, out = _taken(fx), None
+    for name, rows in tables.scan_all(fx.spark, root).items():
+        column = {schema.LOGS: "attr_event_2e_type", schema.SPANS: "attr_user_2e_id"}.get(name)
+        part = rows.groupBy("service").agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.min(schema.TIME_COLUMN[name]).alias("first_time"),
+            F.max(schema.TIME_COLUMN[name]).alias("last_time"),
+            F.max(column if column else F.lit(None).cast("string")).alias("last_promoted"),
         )
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+        part = part.withColumn("table", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query(
+    "stream_rejects",
+    """SELECT 'traces' AS signal, 'spans' AS "table", 'bad trace id' AS reason, span_id AS record FROM f_spans WHERE user_id % 50 = 0
+       UNION ALL SELECT 'logs', NULL, 'malformed', '{"resourceLogs": [{"event": ' || event_id FROM b WHERE event_type = 'error'""",
+    ("f_spans",),
+)
+def _rejects(fx: Fixture) -> DataFrame:
+    """Every record refused by the streams, by its span id, and every line that is no envelope."""
+    refused = ingest.rejects(fx.spark, _taken(fx))
+    span = F.get_json_object("record", "$.span_id")
+    record = F.when(F.col("table").isNull(), F.col("record")).otherwise(span)
+    return refused.select("signal", "table", F.col("reject_reason").alias("reason"), record.alias("record"))
+
+
+@query(
+    "stream_receipts",
+    """SELECT 'traces' AS signal, 'spans' AS "table", CASE WHEN user_id % 50 <> 0 THEN 'accepted' ELSE 'bad trace id' END AS reason,
+         count(*) AS count FROM f_spans GROUP BY ALL
+       UNION ALL SELECT 'logs', 'logs', 'accepted', count(*) FROM f_logs HAVING count(*) > 0
+       UNION ALL SELECT 'logs', NULL, 'malformed', count(*) FROM b WHERE event_type = 'error' HAVING count(*) > 0
+       UNION ALL SELECT 'metrics', 'metrics_gauge', 'accepted', count(*) FROM f_gauge HAVING count(*) > 0
+       UNION ALL SELECT 'metrics', 'metrics_sum', 'accepted', 2 * count(*) FROM f_sum HAVING count(*) > 0
+       UNION ALL SELECT 'metrics', 'metrics_histogram', 'accepted', count(*) FROM f_hist HAVING count(*) > 0
+       UNION ALL SELECT 'metrics', 'metrics_exp_histogram', 'accepted', count(*) FROM f_hist HAVING count(*) > 0
+       UNION ALL SELECT 'metrics', 'metrics_summary', 'accepted', count(*) FROM f_summary HAVING count(*) > 0""",
+    ("f_spans", "f_logs", "f_gauge", "f_sum", "f_hist", "f_summary"),
+)
+def _receipts(fx: Fixture) -> DataFrame:
+    return ingest.receipts(fx.spark, _taken(fx))
 
 
 # A window is final once the watermark has passed its end. After the only batch

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Keys that name the dedicated service column.
-_SERVICE_KEYS = ("service", "service.name")
+SERVICE_KEYS = ("service", "service.name")
 
 
 def promoted_column(key: str) -> str:
@@ -28,7 +28,7 @@ def attr(key: str, columns: Collection[str] = ()) -> Column:
     the key was promoted to a column there, the column is read instead of the
     maps, so the predicate can reach the Parquet scan.
     """
-    if key in _SERVICE_KEYS:
+    if key in SERVICE_KEYS:
         return F.col("service")
     if promoted_column(key) in columns:
         return F.col(promoted_column(key))

@@ -1,15 +1,16 @@
-"""Catalog look-ups over the seven tables."""
+"""Catalog look-ups, over the seven tables or over the catalog kept beside them (``sources.catalog.read``)."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from emberscope import schema
 from emberscope.functions.attrs import attr
+from emberscope.sources import catalog
 
 Tables = Mapping[str, DataFrame]
 
@@ -22,8 +23,10 @@ def _metric_tables(tables: Tables, names=schema.METRIC_TABLES) -> dict[str, Data
     return {name: tables[name] for name in names if name in tables}
 
 
-def attr_names(tables: Tables) -> DataFrame:
+def attr_names(tables: Tables | DataFrame) -> DataFrame:
     """Distinct attribute keys of all tables, resource keys included: ``name``."""
+    if isinstance(tables, DataFrame):
+        return catalog.attr_names(tables)
     keys = F.concat(
         F.coalesce(F.map_keys("attributes"), F.array().cast("array<string>")),
         F.coalesce(F.map_keys("resource"), F.array().cast("array<string>")),
@@ -33,19 +36,27 @@ def attr_names(tables: Tables) -> DataFrame:
     return sets.select(F.explode("_keys").alias("name")).distinct()
 
 
-def attr_values(tables: Tables, key: str) -> DataFrame:
+def attr_values(tables: Tables | DataFrame, key: str) -> DataFrame:
     """Distinct values of one key over all tables: ``value``."""
+    if isinstance(tables, DataFrame):
+        return catalog.attr_values(tables, key)
     values = [t.select(attr(key, t.columns).alias("value")).distinct() for t in tables.values()]
     return _union(values).where(F.col("value").isNotNull()).distinct()
 
 
-def metric_catalog(tables: Tables) -> DataFrame:
+def metric_catalog(tables: Tables | DataFrame) -> DataFrame:
     """``metric, unit, temporality, kind`` of every stored metric."""
+    return _catalogued(tables).drop("table")
+
+
+def _catalogued(tables: Tables | DataFrame) -> DataFrame:
+    if isinstance(tables, DataFrame):
+        return catalog.metrics(tables)
     return _union(
         [
             t.select("metric", "unit", "temporality")
             .distinct()
-            .withColumn("kind", F.lit(schema.METRIC_KIND[name]))
+            .withColumns({"kind": F.lit(schema.METRIC_KIND[name]), "table": F.lit(name)})
             for name, t in _metric_tables(tables).items()
         ]
     )
@@ -69,44 +80,44 @@ def metric_exemplars(tables: Tables, metric: str) -> DataFrame:
     )
 
 
-def metric_names(tables: Tables) -> DataFrame:
-    """How stored metrics are addressed in a query: ``query_name, storage_name, kind``.
-
-    Dots become underscores; sums are counters and every kind other than sum and
-    histogram is evaluated as a gauge.
-    """
+def _named(tables: Tables | DataFrame) -> DataFrame:
     kind = (
         F.when(F.col("kind") == "sum", "cumulative_counter")
         .when(F.col("kind") == "histogram", "cumulative_histogram")
         .otherwise("gauge")
     )
-    return (
-        metric_catalog(tables)
-        .select(
-            F.translate("metric", ".", "_").alias("query_name"),
-            F.col("metric").alias("storage_name"),
-            kind.alias("kind"),
-        )
-        .distinct()
+    return _catalogued(tables).select(
+        F.translate("metric", ".", "_").alias("query_name"), F.col("metric").alias("storage_name"), kind.alias("kind"), "table"
     )
 
 
-def resolve_metric(tables: Tables, query_name: str) -> tuple[str, str]:
-    """Stored name and kind behind a query name; an unknown or ambiguous name is an error."""
-    found = metric_names(tables).where(F.col("query_name") == query_name)
-    rows = found.orderBy("storage_name", "kind").limit(2).collect()
+def metric_names(tables: Tables | DataFrame) -> DataFrame:
+    """How stored metrics are addressed in a query: ``query_name, storage_name, kind``.
+
+    Dots become underscores; sums are counters and every kind other than sum and
+    histogram is evaluated as a gauge.
+    """
+    return _named(tables).drop("table").distinct()
+
+
+def _resolved(tables: Tables | DataFrame, query_name: str) -> Row:
+    found = _named(tables).where(F.col("query_name") == query_name).distinct()
+    rows = found.orderBy("storage_name", "table").limit(2).collect()
     if not rows:
         raise ValueError(f"metric {query_name!r} does not resolve to a stored metric")
     if len(rows) > 1:
-        names = " and ".join(f"{r['storage_name']} ({r['kind']})" for r in rows)
+        names = " and ".join(f"{r['storage_name']} ({r['kind']} in {r['table']})" for r in rows)
         raise ValueError(f"metric {query_name!r} could be {names}")
-    return rows[0]["storage_name"], rows[0]["kind"]
+    return rows[0]
 
 
-def points_of(tables: Tables, query_name: str) -> DataFrame:
-    """Points of the metric behind a query name, from the table of its kind."""
-    stored, kind = resolve_metric(tables, query_name)
-    table = {"cumulative_counter": schema.SUM, "cumulative_histogram": schema.HISTOGRAM}.get(
-        kind, schema.GAUGE
-    )
-    return tables[table].where(F.col("metric") == stored)
+def resolve_metric(tables: Tables | DataFrame, query_name: str) -> tuple[str, str]:
+    """Stored name and kind behind a query name; an unknown or ambiguous name is an error."""
+    found = _resolved(tables, query_name)
+    return found["storage_name"], found["kind"]
+
+
+def points_of(tables: Tables, query_name: str, names: DataFrame | None = None) -> DataFrame:
+    """Points of the metric behind a query name, from the table that holds it; ``names``: the catalog, to look it up there."""
+    found = _resolved(tables if names is None else names, query_name)
+    return tables[found["table"]].where(F.col("metric") == found["storage_name"])

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from emberscope import schema
-from emberscope.sources import tables
+from emberscope.sources import catalog, tables
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 
@@ -134,6 +134,7 @@ def retain(spark: SparkSession, root: str, out_root: str, **limits) -> None:
         # Days are dropped oldest first, so one bound prunes the partitions.
         kept = tables.rewrite(df.where(F.col("day") >= first_kept), root, name, out_root)
         tables.writer(kept, name).parquet(tables.table_path(out_root, name))
+        catalog.carry(spark, root, name, out_root, first_kept)
 
 
 def compact(
@@ -157,6 +158,7 @@ def compact(
     order = ["day", *tables.clustering(name)]
     rows = tables.rewrite(df, root, name, out_root).repartitionByRange(parts, *order)
     tables.writer(rows.sortWithinPartitions(*order), name).parquet(tables.table_path(out_root, name))
+    catalog.carry(spark, root, name, out_root)
     created = segment_files(spark, out_root, name).count()
     return {"merged": before["n"], "created": created}
 
@@ -167,5 +169,6 @@ def snapshot(spark: SparkSession, root: str, directory: str) -> dict[str, int]:
     for name, df in _stored(spark, root).items():
         whole = tables.rewrite(df, root, name, directory)
         tables.writer(whole, name).parquet(tables.table_path(directory, name))
+        catalog.carry(spark, root, name, directory)
         written[name] = segment_files(spark, directory, name).count()
     return written

@@ -122,6 +122,12 @@ def rejected(rows: DataFrame) -> DataFrame:
     return rows.where(F.col(REASON).isNotNull())
 
 
+def refusals(rows: DataFrame, table: str) -> DataFrame:
+    """Refused records as ``table, reject_reason, record``, the record being JSON of what was read of it."""
+    bad = rejected(rows)
+    return bad.select(F.lit(table).alias("table"), REASON, F.to_json(F.struct(*[c for c in bad.columns if c != REASON])).alias("record"))
+
+
 def receipt(rows: DataFrame, signal: str, envelopes: DataFrame | None = None) -> DataFrame:
     """Accepted and rejected counts of an ingest: ``signal, reason, count``.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
@@ -11,6 +12,8 @@ from emberscope import schema
 from emberscope.functions.attrs import promote, promoted_column
 from emberscope.plans.predicates import all_of, in_range
 from emberscope.plans.specs import UNBOUNDED, TimeRange
+from emberscope.sources import catalog
+from emberscope.sources.files import exists, mark
 
 EXPORT_FORMATS = ("parquet", "orc", "json", "csv")
 
@@ -44,6 +47,7 @@ def append(
     promote_keys: Collection[str] = (),
     mode: str = "append",
     clustered: bool = False,
+    batch: str | None = None,
 ) -> None:
     """Write rows under ``root``; promoted attribute keys become columns of their own.
 
@@ -53,26 +57,53 @@ def append(
     day, large days split and small ones joined to the advisory partition size,
     so that the number of files does not grow with tasks times days.
 
-    Which keys a table has promoted is kept beside it, and later appends promote them,
+    Which keys a table has promoted is kept beside it, and later writes in any mode promote them,
     too. A key promoted only after rows were there is read from the maps until
-    the table is rewritten. Other modes than append leave that record alone.
+    the table is rewritten. Entries of the rows go to the catalog first, so ``rows`` is evaluated twice: persist what is dear.
+
+    A table begun with a ``batch`` consists of folders named by it. Writing a batch again replaces its rows, so
+    repeats after a failure change nothing.
     """
     spark, path = rows.sparkSession, table_path(root, name)
     if from_stream(spark, path):
         raise ValueError(f"{path} is written by a stream; rows appended to it would not be read")
+    batched = in_batches(spark, path)
+    if batch is not None and not batched:
+        if exists(spark, path):
+            raise ValueError(f"{path} holds rows outside batches")
+        mark(spark, f"{path}/{_BATCHED}")
+    if batch is None and batched:
+        if mode != "append":
+            raise ValueError(f"{path} consists of batches; write it under another root")
+        batch = uuid.uuid4().hex
     out = rows.drop(*[c for c in rows.columns if c.startswith("attr_")])
-    if mode == "append":
-        known = promotions(spark, root, name)
-        fresh = sorted(set(promote_keys) - set(known))
-        # Rows that are there already lack a column promoted only now.
-        _record(spark, root, name, fresh, whole=not exists(spark, path))
-        out = promote(out, [*known, *fresh])
-    else:
-        out = promote(out, promote_keys)
+    known = promotions(spark, root, name)
+    fresh = sorted(set(promote_keys) - set(known))
+    # Rows that are there already lack a column promoted only now.
+    _record(spark, root, name, fresh, whole=mode == "overwrite" or _blank(spark, path))
+    out = promote(out, [*known, *fresh])
+    catalog.add(out, root, name, "append" if batch is not None else mode)
     order = ["day", *clustering(name)]
     if clustered:
         out = out.hint("rebalance", "day")
-    writer(out.sortWithinPartitions(*order), name).mode(mode).parquet(path)
+    target = path if batch is None else f"{path}/{_BATCH}={batch}"
+    writer(out.sortWithinPartitions(*order), name).mode(mode if batch is None else "overwrite").parquet(target)
+
+
+_BATCH, _BATCHED = "batch", "_batched"
+
+
+def in_batches(spark: SparkSession, path: str) -> bool:
+    return exists(spark, f"{path}/{_BATCHED}")
+
+
+def _blank(spark: SparkSession, path: str) -> bool:
+    """Whether a table has no data files yet."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(hadoop_path):
+        return True
+    return all(f.getPath().getName().startswith("_") for f in system.listStatus(hadoop_path))
 
 
 def from_stream(spark: SparkSession, path: str) -> bool:
@@ -119,12 +150,7 @@ def scan(spark: SparkSession, root: str, name: str) -> DataFrame:
     path = table_path(root, name)
     if not exists(spark, path):
         return spark.createDataFrame([], layout)
-    return spark.read.schema(layout).parquet(path)
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return spark.read.schema(layout).parquet(path).drop(_BATCH)
 
 
 def scan_all(spark: SparkSession, root: str) -> dict[str, DataFrame]:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Collection, Mapping
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from emberscope import schema
@@ -32,14 +35,75 @@ def writer(
     )
 
 
+REJECTS = "signal STRING, table STRING, reject_reason STRING, record STRING"
+RECEIPTS = "signal STRING, table STRING, reason STRING, count BIGINT"
+
+
+def _below(root: str, kind: str, signal: str) -> str:
+    return f"{root.rstrip('/')}/_{kind}/signal={signal}"
+
+
+def take(envelopes: DataFrame, batch_id: int, signal: str, root: str, promote_keys: Mapping[str, Collection[str]] | None = None) -> None:
+    """Put one batch of envelopes into the tables of its signal, what is refused into the rejects, and its counts into the receipts.
+
+    The batch is read and parsed once. Everything goes to folders named by the batch and replaces what they hold,
+    so a batch that comes again after a failure changes nothing.
+    """
+    spark, names = envelopes.sparkSession, [t for t in schema.TABLE_NAMES if otlp.signal_of(t) == signal]
+    held = envelopes.persist()
+    try:
+        refused = otlp.malformed(held).select(F.lit(None).cast("string").alias("table"), otlp.REASON, F.col("line").alias("record"))
+        counts = refused.groupBy("table", F.col(otlp.REASON).alias("reason")).count()
+        for name in names:
+            rows = otlp.rows_of(held, name)
+            tables.append(otlp.accepted(rows), root, name, (promote_keys or {}).get(name, ()), batch=str(batch_id))
+            refused = refused.unionByName(otlp.refusals(rows, name))
+            reason = F.coalesce(otlp.REASON, F.lit("accepted")).alias("reason")
+            counts = counts.unionByName(rows.groupBy(F.lit(name).alias("table"), reason).count())
+        refused.write.mode("overwrite").parquet(f"{_below(root, 'rejects', signal)}/batch={batch_id}")
+        counts.coalesce(1).write.mode("overwrite").parquet(f"{_below(root, 'receipts', signal)}/batch={batch_id}")
+    finally:
+        held.unpersist()
+
+
 def start_all(
-    spark: SparkSession, sources: dict[str, str], root: str, checkpoint: str, trigger: dict, **options
+    spark: SparkSession,
+    sources: dict[str, str],
+    root: str,
+    checkpoint: str,
+    trigger: dict,
+    promote_keys: Mapping[str, Collection[str]] | None = None,
+    **options,
 ) -> list[StreamingQuery]:
-    """One query per table; ``sources`` maps logs / traces / metrics to directories."""
-    return [
-        writer(spark, table, sources[otlp.signal_of(table)], root, checkpoint, **options)
-        .trigger(**trigger)
-        .start()
-        for table in schema.TABLE_NAMES
-        if otlp.signal_of(table) in sources
-    ]
+    """One query per signal, each filling the tables of its signal; ``sources`` maps logs / traces / metrics to directories.
+
+    ``promote_keys``: of a table, the attribute keys that become columns.
+    """
+    running = []
+    for signal, source in sources.items():
+        envelopes = otlp.stream_envelopes(spark, signal, source, **options)
+
+        def each(batch: DataFrame, batch_id: int, signal: str = signal) -> None:
+            take(batch, batch_id, signal, root, promote_keys)
+
+        started = envelopes.writeStream.foreachBatch(each).option("checkpointLocation", f"{checkpoint.rstrip('/')}/{signal}")
+        running.append(started.trigger(**trigger).start())
+    return running
+
+
+def _kept(spark: SparkSession, root: str, kind: str, layout: str) -> DataFrame:
+    base = f"{root.rstrip('/')}/_{kind}"
+    if not tables.exists(spark, base):
+        return spark.createDataFrame([], layout)
+    return spark.read.schema(layout).parquet(base).drop("batch")
+
+
+def rejects(spark: SparkSession, root: str) -> DataFrame:
+    """Records and lines refused so far: ``signal, table, reject_reason, record``; a line that is no envelope has no table."""
+    return _kept(spark, root, "rejects", REJECTS)
+
+
+def receipts(spark: SparkSession, root: str) -> DataFrame:
+    """Accepted and refused counts so far: ``signal, table, reason, count``."""
+    rows = _kept(spark, root, "receipts", RECEIPTS)
+    return rows.groupBy("signal", "table", "reason").agg(F.sum("count").alias("count"))
