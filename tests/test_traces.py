@@ -153,15 +153,39 @@ def test_only_large_keys_are_cut_into_chunks(skewed, monkeypatch):
     assert [r[0] for r in whole.select("_chunk").distinct().collect()] == [0]
     monkeypatch.setattr(ordered, "ROWS_PER_TASK", 400)
     assert ordered.chunks_needed(skewed.where("key <> 'hot'"), ["key"]) == 1
-    assert ordered.chunks_needed(skewed, ["key"]) == 8
+    assert ordered.chunks_needed(skewed, ["key"]) == 4  # the rows of the hot key alone
     assert ordered.chunks_needed(skewed.where("v < 0"), ["key"]) == 1
     cut = with_previous_row(skewed, ["key"], ["t", "n"])
     assert cut.select("_chunk").distinct().count() > 1
+    assert [r[0] for r in cut.where("key <> 'hot'").select("_chunk").distinct().collect()] == [0]
+    assert cut.where("_halo AND key <> 'hot'").count() == 0
     lagged = cut.withColumn("p", F.lag("v").over(chunk_window(["key"], ["t", "n"]))).where(~F.col(HALO))
     want = expected_previous(skewed.collect(), 1)
     assert {(r.key, r.t, r.n): [] if r.p is None else [r.p] for r in lagged.collect()} == want
 
 
+def test_percentiles_are_the_same_at_every_size(spark, skewed, monkeypatch):
+    fractions = {"p1": 0.01, "p37": 0.37, "p50": 0.5, "p95": 0.95, "p999": 0.999}
+    rows = skewed.withColumn("v", F.col("v") / 7)
+    whole = tuples(grouped_percentiles(rows, ["key"], "v", fractions, {"calls": F.count(F.lit(1))}))
+    for chunks in (2, 7, 64):
+        assert tuples(grouped_percentiles(rows, ["key"], "v", fractions, {"calls": F.count(F.lit(1))}, chunks)) == whole
+    monkeypatch.setattr(ordered, "ROWS_PER_TASK", 100)
+    assert tuples(grouped_percentiles(rows, ["key"], "v", fractions, {"calls": F.count(F.lit(1))})) == whole
+
+
+def test_a_value_that_dominates_a_group_counts_once(spark, monkeypatch):
+    i = F.col("id")
+    rows = spark.range(20_000).select(F.when(i % 2 == 0, F.lit("hot")).alias("key"), F.when(i % 20 < 18, 7).otherwise(i % 900).alias("v"))
+    monkeypatch.setattr(ordered, "ROWS_PER_TASK", 500)
+    weighted = rows.groupBy("key", "v").count()
+    assert ordered.chunks_needed(rows, ["key"]) == 40 and ordered.chunks_needed(weighted, ["key"]) == 1
+    got = {r.key: r for r in grouped_percentiles(rows, ["key"], "v", {"p50": 0.5, "p95": 0.95}).collect()}
+    for key in (None, "hot"):
+        values = sorted(7 if n % 20 < 18 else n % 900 for n in range(20_000) if (n % 2 == 0) == (key == "hot"))
+        assert np.allclose([got[key].p50, got[key].p95], np.quantile(values, [0.5, 0.95]))
+
+
 def test_percentiles_of_nothing(skewed):
     nothing = skewed.where("v < 0")
     assert grouped_percentiles(nothing, ["key"], "v", {"p50": 0.5}).count() == 0
