@@ -179,19 +179,21 @@ class Fixture:
             F.col("day"),
         ]
 
-    def _gauge_frame(self, *extra: str) -> DataFrame:
+    def _exemplar(self) -> Column:
         trace_id, span_id = self._ids()
-        exemplar = F.struct(
+        return F.struct(
             F.col("t").alias("time"),
             F.col("value").alias("value"),
             trace_id.alias("trace_id"),
             span_id.alias("span_id"),
             label_set({"user.id": F.col("user_id").cast("string")}).alias("attributes"),
         )
+
+    def _gauge_frame(self, *extra: str) -> DataFrame:
         stale = F.when(F.col("k") == 0, 1).otherwise(0)
         rows = self.base.select(
             *self._point_columns("event.value", "s", None, stale),
-            F.when(F.col("event_type") == "error", F.array(exemplar)).otherwise(F.array()).alias("exemplars"),
+            F.when(F.col("event_type") == "error", F.array(self._exemplar())).otherwise(F.array()).alias("exemplars"),
             "value",
             *extra,
         )
@@ -205,7 +207,7 @@ class Fixture:
         def one(metric: str, temporality: str, value: Column, monotonic: bool) -> DataFrame:
             rows = self.base.select(
                 *self._point_columns(metric, "1", temporality, F.lit(0)),
-                F.array().alias("exemplars"),
+                F.when(F.col("event_type") == "purchase", F.array(self._exemplar())).otherwise(F.array()).alias("exemplars"),
                 value.cast("double").alias("value"),
                 F.lit(monotonic).alias("is_monotonic"),
                 *extra,

@@ -139,6 +139,38 @@ def _page_keyset_ties(fx: Fixture) -> DataFrame:
     return out
 
 
+@query(
+    "logs_page_keyset_all",
+    f"""SELECT {", ".join(_COLUMNS)} FROM (SELECT * FROM f_logs UNION ALL SELECT * FROM f_logs)
+        WHERE severity_number >= 17 AND {_tokens('body', 'error')}""",
+    ("f_logs",),
+)
+def _page_keyset_all(fx: Fixture) -> DataFrame:
+    """All pages up to the first empty one, over logs that all occur twice."""
+    twice = fx.logs.unionByName(fx.logs)
+    q = LogQuery(text="error", min_severity=17, limit=max(100, logs.count(twice, LogQuery()).first()[0] // 12))
+    out, cursor = None, None
+    while True:
+        page = logs.page_after(twice, q, cursor)
+        rows = page.collect()
+        if not rows:
+            return out if out is not None else page.select(_COLUMNS)
+        out = page.select(_COLUMNS) if out is None else out.unionByName(page.select(_COLUMNS))
+        cursor = logs.next_cursor(rows, cursor)
+
+
+@query(
+    "logs_offset_half",
+    f"""SELECT {", ".join(_COLUMNS)} FROM (SELECT *, row_number() OVER ({_NEWEST}) AS rn, count(*) OVER () AS n FROM f_logs)
+        WHERE rn > n // 2 AND rn <= n // 2 + 100""",
+    ("f_logs",),
+)
+def _offset_half(fx: Fixture) -> DataFrame:
+    """The 100 rows in the middle of all logs, by their offset."""
+    offset = logs.count(fx.logs, LogQuery()).first()[0] // 2
+    return logs.query(fx.logs, LogQuery(offset=offset, limit=100)).select(_COLUMNS)
+
+
 @query("logs_count", f"SELECT count(*) AS count FROM f_logs WHERE {_IS_ERROR}", ("f_logs",))
 def _count(fx: Fixture) -> DataFrame:
     q = LogQuery(service="checkout", min_severity=13, limit=1, offset=5, direction="forward")

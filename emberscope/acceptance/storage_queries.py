@@ -11,9 +11,9 @@ from emberscope import schema
 from emberscope.acceptance import envelopes
 from emberscope.acceptance.fixtures import _DAY_LABELS, _DAY_NS, FIRST_DAY_NS, Fixture
 from emberscope.acceptance.registry import query
-from emberscope.functions.timegrid import DAY
-from emberscope.operators import discovery, logs, upkeep
-from emberscope.plans.specs import LogQuery
+from emberscope.functions.timegrid import DAY, HOUR
+from emberscope.operators import discovery, logs, metrics, stats, traces, upkeep
+from emberscope.plans.specs import LogQuery, MetricQuery, SpanMetricsQuery, TimeRange, TraceQuery
 from emberscope.session import scratch_dir
 from emberscope.sources import catalog, otlp, tables
 
@@ -290,8 +290,8 @@ def _segment_files(fx: Fixture) -> DataFrame:
     ("f_logs", "f_spans"),
 )
 def _table_stats(fx: Fixture) -> DataFrame:
-    stats = upkeep.table_stats(fx.spark, _stored(fx, schema.LOGS, schema.SPANS))
-    return stats.select("table", "rows", "min_time", "max_time", (F.col("files") > 0).alias("has_files"))
+    found = upkeep.table_stats(fx.spark, _stored(fx, schema.LOGS, schema.SPANS))
+    return found.select("table", "rows", "min_time", "max_time", (F.col("files") > 0).alias("has_files"))
 
 
 @query("snapshot_rows", _ALL_COUNTS, _ALL_VIEWS)
@@ -378,3 +378,81 @@ def _retained_entries(fx: Fixture) -> DataFrame:
     known = catalog.read(fx.spark, out)
     parts = [discovery.attr_values(known, key).select(F.lit(key).alias("name"), "value") for key in ("user.id", "event.type")]
     return parts[0].unionByName(parts[1])
+
+
+# --- ranges and statistics on stored tables ----------------------------------------------
+
+_EARLY, _LATE = FIRST_DAY_NS + 4 * DAY, FIRST_DAY_NS + 8 * DAY
+_RANGE = TimeRange(_EARLY, _LATE)
+_RED = SpanMetricsQuery(range=_RANGE, group_by=["service"], step_ns=HOUR)
+_AVERAGE = MetricQuery(metric="event.value", range=_RANGE, aggregation="avg", group_by=["service"], step_ns=HOUR)
+
+
+@query(
+    "metric_range_stored",
+    f"""SELECT time_unix_nano - time_unix_nano % {HOUR} AS bucket, service AS g0, round(avg(value), 6) AS v FROM f_gauge
+        WHERE flags = 0 AND time_unix_nano >= {_EARLY} AND time_unix_nano < {_LATE} GROUP BY ALL""",
+    ("f_gauge",),
+)
+def _range_stored(fx: Fixture) -> DataFrame:
+    gauge = tables.scan(fx.spark, _stored(fx, schema.GAUGE), schema.GAUGE)
+    return metrics.range_query(gauge, _AVERAGE).withColumn("v", F.round("v", 6))
+
+
+@query(
+    "span_metrics_stored",
+    f"""SELECT start_time_unix_nano - start_time_unix_nano % {HOUR} AS bucket, service AS g0, count(*) AS calls,
+          count(*) FILTER (status = 'ERROR') AS errors, round(quantile_cont(duration_ns::double, 0.5), 3) AS p50,
+          round(quantile_cont(duration_ns::double, 0.95), 3) AS p95, round(quantile_cont(duration_ns::double, 0.99), 3) AS p99
+        FROM f_spans WHERE start_time_unix_nano >= {_EARLY} AND start_time_unix_nano < {_LATE} GROUP BY ALL""",
+    ("f_spans",),
+)
+def _red_stored(fx: Fixture) -> DataFrame:
+    spans = tables.scan(fx.spark, _stored(fx, schema.SPANS), schema.SPANS)
+    return traces.span_metrics(spans, _RED).withColumns({p: F.round(p, 3) for p in traces.PERCENTILES})
+
+
+@query(
+    "trace_search_stored",
+    f"""SELECT trace_id, start_time, span_count FROM (SELECT trace_id, min(start_time_unix_nano) AS start_time, count(*) AS span_count
+          FROM f_spans GROUP BY trace_id) WHERE start_time >= {_EARLY} AND start_time < {_LATE}
+        ORDER BY start_time DESC, trace_id LIMIT 200""",
+    ("f_spans",),
+)
+def _search_stored(fx: Fixture) -> DataFrame:
+    spans = tables.scan(fx.spark, _stored(fx, schema.SPANS), schema.SPANS)
+    return traces.search(spans, TraceQuery(range=_RANGE, limit=200)).select("trace_id", "start_time", "span_count")
+
+
+def _newest(rows: int) -> str:
+    """Logs of the days that hold the newest ``rows`` of the range."""
+    return f"""(SELECT count(*) FROM f_logs WHERE time_unix_nano < {_LATE} AND day >= (SELECT min(day) FROM (SELECT day FROM f_logs
+        WHERE time_unix_nano >= {_EARLY} AND time_unix_nano < {_LATE} ORDER BY time_unix_nano DESC LIMIT {rows})))"""
+
+
+_IN_RANGE = f"time_unix_nano >= {_EARLY} AND time_unix_nano < {_LATE}"
+_IN_SPANS = f"start_time_unix_nano >= {_EARLY} AND start_time_unix_nano < {_LATE}"
+
+
+@query(
+    "query_stats",
+    f"""SELECT 'logs' AS call, {_newest(50)} AS rows_scanned, least(50, count(*)) AS rows_returned, true AS has_files FROM f_logs WHERE {_IN_RANGE}
+        UNION ALL SELECT 'page', {_newest(100)}, least(50, greatest(count(*) - 50, 0)), true FROM f_logs WHERE {_IN_RANGE}
+        UNION ALL SELECT 'range', (SELECT count(*) FROM f_gauge WHERE {_IN_RANGE}), count(DISTINCT (time_unix_nano // {HOUR}, service)), true
+          FROM f_gauge WHERE flags = 0 AND {_IN_RANGE}
+        UNION ALL SELECT 'red', count(*), count(DISTINCT (start_time_unix_nano // {HOUR}, service)), true FROM f_spans WHERE {_IN_SPANS}""",
+    ("f_logs", "f_gauge", "f_spans"),
+)
+def _query_stats(fx: Fixture) -> DataFrame:
+    """Rows read and given back by four calls on stored tables; a range reads its own days only."""
+    db = tables.scan_all(fx.spark, _stored(fx, schema.LOGS, schema.GAUGE, schema.SPANS))
+    q = LogQuery(range=_RANGE, limit=50)
+    calls = {
+        "logs": logs.query(db[schema.LOGS], q),
+        "page": logs.page(db[schema.LOGS], q, after=50).rows,
+        "range": metrics.range_query(db[schema.GAUGE], _AVERAGE),
+        "red": traces.span_metrics(db[schema.SPANS], _RED),
+    }
+    found = {name: stats.collect(df)[1] for name, df in calls.items()}
+    rows = [(name, s.rows_scanned, s.rows_returned, s.files > 0 and s.bytes > 0 and s.elapsed_ns > 0) for name, s in found.items()]
+    return fx.spark.createDataFrame(rows, "call STRING, rows_scanned BIGINT, rows_returned BIGINT, has_files BOOLEAN")

@@ -182,6 +182,16 @@ def _exemplars(fx: Fixture) -> DataFrame:
     return discovery.metric_exemplars(fx.tables, "event.value")
 
 
+@query(
+    "metric_exemplars_sum",
+    """SELECT time_unix_nano AS time, g.value, trace_id, span_id,
+         '{"user.id":"' || user_id || '"}' AS attributes FROM f_gauge g WHERE event_type = 'purchase'""",
+    ("f_gauge",),
+)
+def _exemplars_sum(fx: Fixture) -> DataFrame:
+    return discovery.metric_exemplars(fx.tables, "event.delta")
+
+
 # --- joins ----------------------------------------------------------------------------
 
 

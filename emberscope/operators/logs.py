@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from emberscope.functions.attrs import attr, canonical_json, label_set
-from emberscope.functions.timegrid import bucket, day_of
+from emberscope.functions.timegrid import bucket, day_of, floor_div
 from emberscope.plans.predicates import all_of, in_range, label_conditions, log_predicate
 from emberscope.plans.specs import LINE_LIMIT, LogQuery, TimeRange
 
@@ -62,23 +62,66 @@ def _top(hits: DataFrame, q: LogQuery, offset: int = 0) -> DataFrame:
 
     The time of the last row wanted is found first, from the time column and the
     columns the filters need. Whole rows are then read only on this side of it,
-    which prunes days and row groups.
+    which prunes days and row groups. Behind a deep offset both ends of the page are found from
+    counts, and only the rows between them are put in order.
     """
     time, newest_first = F.col(ORDER[0]), q.direction == "backward"
-    edge = (
-        hits.select(time)
-        .orderBy(time.desc() if newest_first else time.asc())
-        .limit(offset + q.row_limit)
-        .agg((F.min if newest_first else F.max)(time))
-        .scalar()
-    )
-    near = [time >= edge if newest_first else time <= edge]
-    if "day" in hits.columns:
-        near.append(F.col("day") >= day_of(edge) if newest_first else F.col("day") <= day_of(edge))
+    if offset > DEEP:
+        within, offset = _located(hits, newest_first, offset, offset + q.row_limit)
+        near = in_range(ORDER[0], within, hits.columns)
+    else:
+        edge = (
+            hits.select(time)
+            .orderBy(time.desc() if newest_first else time.asc())
+            .limit(offset + q.row_limit)
+            .agg((F.min if newest_first else F.max)(time))
+            .scalar()
+        )
+        near = [time >= edge if newest_first else time <= edge]
+        if "day" in hits.columns:
+            near.append(F.col("day") >= day_of(edge) if newest_first else F.col("day") <= day_of(edge))
     rows = hits.where(all_of(near)).orderBy(*_ordering(q.direction, hits.columns))
     return (rows.offset(offset) if offset else rows).limit(q.row_limit)
 
 
+#: Rows that a task may put in order to skip an offset.
+DEEP = 10_000
+_SLICES = 1024
+
+
+def _located(hits: DataFrame, newest_first: bool, first: int, last: int) -> tuple[TimeRange, int]:
+    """The times between which the rows of the ranks ``[first, last)`` lie, and how many ranks to skip there.
+
+    Counts per slice of time, 1,024 at most, tell in which slices the ranks lie; these are cut again until
+    few rows lie before the ranks, or a slice is one nanosecond. No row leaves its task.
+    """
+    time = F.col(ORDER[0])
+    low, high = hits.agg(F.min(time), F.max(time)).first()
+    if low is None:
+        return TimeRange(0, 0), 0
+    while True:
+        width = -(-(high - low + 1) // _SLICES)
+        inside = hits.where(all_of(in_range(ORDER[0], TimeRange(low, high + 1), hits.columns)))
+        from_edge = F.lit(high) - time if newest_first else time - F.lit(low)
+        counts = inside.groupBy(floor_div(from_edge, width).alias("slice")).count().orderBy("slice").collect()
+        seen, begin, end, before = 0, None, None, 0
+        for r in counts:
+            if begin is None and seen + r["count"] > first:
+                begin, before = r["slice"], seen
+            seen += r["count"]
+            if begin is not None:
+                end = r["slice"]
+                if seen >= last:
+                    break
+        if begin is None:  # the offset lies behind all rows
+            return TimeRange(0, 0), 0
+        was = low, high
+        low, high = (high - (end + 1) * width + 1, high - begin * width) if newest_first else (low + begin * width, low + (end + 1) * width - 1)
+        first, last = first - before, last - before
+        if seen - before <= DEEP + last - first or width == 1 or (low, high) == was:
+            return TimeRange(low, high + 1), first
+
+
 def count(logs: DataFrame, q: LogQuery) -> DataFrame:
     """Number of matching rows; limit, offset and direction do not matter."""
     return matching(logs, q).agg(F.count(F.lit(1)).alias("count"))
@@ -165,9 +208,10 @@ def page_after(logs: DataFrame, q: LogQuery, last: Cursor | Sequence | None = No
     here = F.struct(*[_key(c).alias(c) for c in names])
     there = F.struct(*[_key(c, given[c]).alias(c) for c in names])
     newest_first = q.direction == "backward"
-    # The plain comparison on time is what the scan can use.
+    # The plain comparison on time, and on the day, is what the scan can use.
     edge = F.col(ORDER[0])
-    rows = rows.where(edge <= values[0] if newest_first else edge >= values[0])
+    side = TimeRange(None, values[0] + 1) if newest_first else TimeRange(values[0], None)
+    rows = rows.where(all_of(in_range(ORDER[0], side, logs.columns)))
     beyond = rows.where(here < there if newest_first else here > there)
     if isinstance(last, Cursor):
         alike = rows.where((edge == values[0]) & here.eqNullSafe(there))

@@ -1,14 +1,18 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from emberscope import schema
 from emberscope.operators import logs as L
+from emberscope.operators import stats
 from emberscope.plans.predicates import in_range
 from emberscope.plans.specs import INT64_MAX, INT64_MIN, LogQuery, TimeRange
 from emberscope.sources import tables
-from tests.helpers import logs, tuples
+from tests.helpers import S, logs, tuples
 
 
 @pytest.fixture(scope="module")
@@ -193,3 +197,37 @@ def test_sql_projection_aggregate_empty_and_unknown_table(spark, three):
         tables.sql(spark, views, "SELECT * FROM no_such_table")
     with pytest.raises(ValueError):
         tables.scan(spark, "/tmp/run-none", "no_such_table")
+
+
+@pytest.mark.parametrize("direction", ["backward", "forward"])
+def test_deep_offsets_are_located(spark, monkeypatch, direction):
+    draw = random.Random(3)
+    times = [draw.choice([5, 10**6, 10**6 + 1, draw.randint(0, 10**15), 86_400 * S * 3]) for _ in range(1500)]
+    rows = logs(spark, *[{"time_unix_nano": t, "body": f"{i:04d}"} for i, t in enumerate(times)])
+    want = sorted(((t, f"{i:04d}") for i, t in enumerate(times)), reverse=direction == "backward")
+    monkeypatch.setattr(L, "DEEP", 20)
+    for offset, limit in ((21, 5), (300, 40), (700, 10), (1100, 300), (1490, 50), (1500, 5), (4000, 5), (30, 1470)):
+        got = L.query(rows, LogQuery(offset=offset, limit=limit, direction=direction)).collect()
+        assert [(r.time_unix_nano, r.body) for r in got] == want[offset : offset + limit]
+    assert L.query(rows.where("false"), LogQuery(offset=50)).count() == 0
+
+
+def test_a_located_page_orders_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(L, "DEEP", 100)
+    rows = logs(spark, *[{"time_unix_nano": i * 1000, "body": str(i)} for i in range(5000)])
+    within, skip = L._located(rows, True, 2500, 2510)
+    held = rows.where((F.col("time_unix_nano") >= within.start) & (F.col("time_unix_nano") < within.end)).count()
+    assert 10 <= held <= 110 and 0 <= skip < held
+
+
+def test_run_stats_count_what_was_read(spark, fresh):
+
+    tables.append(logs(spark, *[{"time_unix_nano": d * 86_400 * S + i, "body": "b"} for d in range(4) for i in range(25)]), fresh, schema.LOGS)
+    stored = tables.scan(spark, fresh, schema.LOGS)
+    rows, run = stats.collect(stored.where("day = DATE '1970-01-02'").groupBy("service").count())
+    assert (run.rows_scanned, run.rows_returned, len(rows)) == (25, 1, 1) and run.files >= 1 and run.bytes > 0
+    once = run.elapsed_ns
+    assert run.elapsed_ns == once > 0
+    both = stored.join(stored.select("time_unix_nano"), "time_unix_nano")
+    assert stats.collect(both)[1].rows_scanned in (100, 200)
+    assert stats.collect(spark.range(5))[1].rows_returned == 5
