@@ -95,17 +95,25 @@ def _put(folder: str, name: str, raw: bytes) -> None:
 
 
 def zipped_ids(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
-    """doc_id and the zstandard-compressed 32-bit ids of the whole text with its end id; a null text is the end id alone."""
+    """doc_id and the zstandard-compressed 32-bit ids of the whole text with its end id; a null text is the end id alone.
+
+    Every task ends with a row of its own, which has no ids but ``counts``: how often the task met each id.
+    """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(vocabulary)
+        own, seen = encoder(vocabulary), np.zeros(end_id + 1, np.int64)
+        names = ["doc_id", "zipped", "counts"]
         for batch in batches:
             for part in steps(batch, "text"):
-                found = own.encode([t or "" for t in part.column("text").to_pylist()])
-                zipped = [_zip(np.append(i, np.uint32(end_id))) for i in found]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(zipped, pa.binary())], ["doc_id", "zipped"])
+                found = [np.append(i, np.uint32(end_id)) for i in own.encode([t or "" for t in part.column("text").to_pylist()])]
+                more = np.bincount(np.concatenate(found), minlength=len(seen))
+                more[: len(seen)] += seen
+                seen = more
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([_zip(i) for i in found], pa.binary()), pa.nulls(len(found), pa.binary())], names)
+        counts = zstandard.ZstdCompressor(level=3).compress(seen.tobytes())
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([counts], pa.binary())], names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encode, "doc_id long, zipped binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encode, "doc_id long, zipped binary, counts binary")
 
 
 def _zip(ids: np.ndarray) -> bytes:
@@ -119,19 +127,16 @@ def _unzip(raw: bytes) -> np.ndarray:
 
 
 def frequencies(zipped: DataFrame) -> DataFrame:
-    """id and n over all documents, counted in each task and then summed; as many rows as ids occur."""
+    """id and n over all documents, from what each task has counted; as many rows as ids occur."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1, np.int64)
         for batch in batches:
-            for raw in batch.column("zipped").to_pylist():
-                found = np.bincount(_unzip(raw), minlength=len(seen))
-                found[: len(seen)] += seen
-                seen = found
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["id", "n"])
+            for raw in batch.column("counts").to_pylist():
+                seen = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.int64)
+                at = np.flatnonzero(seen)
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["id", "n"])
 
-    return zipped.select("zipped").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return zipped.where("counts IS NOT NULL").select("counts").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = END_ID) -> None:
@@ -148,6 +153,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = END_ID) -
     rank_of = np.zeros(int(id_of.max()) + 1 if len(id_of) else 1, np.uint32)
     rank_of[id_of] = np.arange(len(id_of), dtype=np.uint32)
     _put(folder, "ranks.u32", MARK + id_of.astype("<u4").tobytes())
+    zipped = zipped.where("counts IS NULL").drop("counts")
     total = zipped.agg(F.sum(F.octet_length("zipped"))).first()[0] or 0
     dealt = zipped.repartitionByRange(max(1, -(-total // SHARD_BYTES)), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("zipped"))
 
@@ -190,7 +196,7 @@ def _shards(spark: SparkSession, folder: str) -> DataFrame:
 
 def with_starts(rows: DataFrame, folder: str) -> DataFrame:
     """Add start, the ids of all documents before, to rows of ``read``; drop columns that aren't needed first."""
-    before = _before(_shards(rows.sparkSession, folder))
+    before = _before(_shards(rows.sparkSession, folder).select("path"))
     return rows.join(before, "shard").withColumn("start", F.col("at") + F.col("before")).drop("shard", "at", "before")
 
 
@@ -199,14 +205,21 @@ def _before(files: DataFrame) -> DataFrame:
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([np.frombuffer(raw, "<i8", 3, 8) for raw in batch.column("content").to_pylist()], np.int64).reshape(-1, 3)
+            found = np.array([_head(path) for path in batch.column("path").to_pylist()], np.int64).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 2])], ["shard", "n"])
 
-    rows = files.select("content").mapInArrow(heads, "shard long, n long")
+    rows = files.mapInArrow(heads, "shard long, n long")
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return rows.select("shard", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
 
 
+def _head(path: str) -> np.ndarray:
+    """Shard number, documents and ids of a file, from its first bytes."""
+    fs, place = _place(path)
+    with fs.open_input_file(place) as file:
+        return np.frombuffer(file.read(32), "<i8", 3, 8)
+
+
 def digest(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
     """Write the files to the shared folder, read them back and describe each document by what they hold."""
     folder = scratch_dir(docs.sparkSession, "token-files")

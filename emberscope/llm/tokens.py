@@ -14,11 +14,11 @@ from emberscope.llm.common import held
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Distinct words and their characters that one worker remembers; beyond either it starts afresh.
-CACHED_WORDS = 500_000
-CACHED_CHARS = 16_000_000
+CACHED_WORDS = 800_000
+CACHED_CHARS = 24_000_000
 
-#: Words that any of the tokenizers handled here reads as one run of letters and perhaps one sign.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+#: Words that any of the tokenizers handled here reads as one run of letters and perhaps one of signs.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!#$%&*]*)")
 
 
 @functools.cache
@@ -49,6 +49,8 @@ class _Words:
     def __init__(self, tokenizer, lead: str, strict: bool):
         self.tokenizer, self.lead, self.strict = tokenizer, lead, strict
         self.model = tokenizer.model
+        self.mark = "Ġ" if lead else ""
+        self.line = tokenizer.encode("a\na", add_special_tokens=False).ids[1:-1]
         self.lower = tokenizer.encode("A", add_special_tokens=False).ids == tokenizer.encode("a", add_special_tokens=False).ids
         self.clear()
 
@@ -59,16 +61,27 @@ class _Words:
         self.safe = np.empty(0, bool)
 
     def plain(self, word: str) -> list[int] | None:
-        """Ids of a plain word straight from the merge table; None if it isn't plain."""
+        """Ids of plain words, perhaps in lines, straight from the merge table; None if one isn't plain."""
+        if "\n" not in word:
+            return self.run(word, self.mark)
+        found = []
+        for i, part in enumerate(word.split("\n")):
+            ids = self.run(part, "" if i else self.mark)
+            if ids is None:
+                return None
+            found += self.line + ids if i else ids
+        return found
+
+    def run(self, word: str, mark: str) -> list[int] | None:
         if not (m := _PLAIN.fullmatch(word)):
             return None
-        letters, sign = m.groups()
+        letters, signs = m.groups()
         if self.lower:
             letters = letters.lower()
         if not letters.isascii():
             letters = letters.translate(_as_bytes())
-        found = [t.id for t in self.model.tokenize(("Ġ" if self.lead else "") + letters)]
-        return found + [t.id for t in self.model.tokenize(sign)] if sign else found
+        found = [t.id for t in self.model.tokenize(mark + letters)]
+        return found + [t.id for t in self.model.tokenize(signs)] if signs else found
 
     def numbers(self, words) -> np.ndarray:
         return np.fromiter(map(self.seen.__getitem__, words), np.int64)
@@ -99,14 +112,14 @@ class Encoder:
     Texts are cut at spaces. Where the tokenizer drops white space, any space is a
     boundary of its words. Where a space belongs to the word after it, the cut holds
     only between two characters that are no white space; a text with any other
-    space is given to the tokenizer whole. A space-free text is one word.
+    space is given to the tokenizer whole, as is one that holds an added token. A space-free text is one word.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         joined = not self.tokenizer.encode(" ", add_special_tokens=False).ids == []
         self.first = _Words(self.tokenizer, "", joined)
         self.rest = _Words(self.tokenizer, " " if joined else "", joined)
@@ -117,13 +130,17 @@ class Encoder:
                 kept.clear()
         cut = []
         for text in texts:
+            if any(a in text for a in self.added):
+                cut.append(None)
+                continue
             head, *tail = text.split(" ")
             cut.append((self.first.numbers((head,)), self.rest.numbers(tail)))
         self.first.learn()
         self.rest.learn()
         out = []
-        for text, (a, b) in zip(texts, cut, strict=True):
-            if len(b) and not (self.first.safe[a].all() and self.rest.safe[b].all()):
+        for text, words in zip(texts, cut, strict=True):
+            a, b = words or (None, None)
+            if words is None or len(b) and not (self.first.safe[a].all() and self.rest.safe[b].all()):
                 out.append(np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32))
                 continue
             start = self.rest.at[b]
