@@ -70,4 +70,4 @@ def test_every_token_is_packed(stages):
 
 def test_registered():
     assert {"pipeline", *(n for n in contract.queries() if n.startswith("op"))} == {"pipeline", *contract.QUERIES}
-    assert sum(n.startswith("op") for n in contract.queries()) == 10
+    assert sum(n.startswith("op") for n in contract.queries()) == 13
