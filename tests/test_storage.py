@@ -51,7 +51,7 @@ def read(spark, signal, fresh, *envelopes):
 
 def test_log_records(spark, fresh):
     envelope = log_envelope(
-        {"timeUnixNano": "1000", "severityNumber": 17, "body": {"stringValue": "payment error: gateway timeout"}},
+        {"timeUnixNano": "1400", "severityNumber": 13, "body": {"stringValue": "disk of node 4 is nearly full"}},
         {"timeUnixNano": "0", "observedTimeUnixNano": "2000", "severityNumber": 9, "body": {"intValue": "7"}},
         {"severityNumber": 9, "body": {"stringValue": "no time"}},
         {
@@ -69,7 +69,7 @@ def test_log_records(spark, fresh):
     kept = otlp.accepted(rows)
     assert kept.schema.simpleString() == schema.table_schema(schema.LOGS).simpleString()
     assert tuples(kept, "time_unix_nano", "service", "severity_number", "body")[:2] == [
-        (1000, "checkout", 17, "payment error: gateway timeout"),
+        (1400, "checkout", 13, "disk of node 4 is nearly full"),
         (2000, "checkout", 9, "7"),
     ]
     last = kept.where("time_unix_nano = 3000").first()
