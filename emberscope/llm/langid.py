@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberscope.llm.common import crc_fold, held, steps
@@ -19,13 +19,15 @@ OTHER, UNKNOWN = 0, 1
 
 @dataclass(frozen=True)
 class Settings:
-    """``texts`` texts a language at most, and ``sample`` characters of them, are learned; the rest is predicted only.
+    """``texts`` labelled texts a language at most, all of them whole, are learned: as many as hold ``sample`` characters together.
 
+    Texts over ``longest`` characters are learned from only where a language has too few others.
     ``segment``: texts are parsed in stretches of so many symbols side by side.
     """
 
     texts: int = 256
     sample: int = 60_000
+    longest: int = 8_192
     segment: int = 512
 
 
@@ -140,26 +142,24 @@ def points(text: str) -> np.ndarray:
 
 
 def learn(labelled: DataFrame, s: Settings) -> dict[str, str]:
-    """Sample text by language from rows (doc_id, text, lang), at most ``s.sample`` characters each.
+    """Whole sample texts by language from rows (doc_id, text, lang), ``s.sample`` characters each or one text that is longer.
 
-    The rows are dealt into ``s.texts`` slots a language by a hash, and each slot gives
-    the row of least hash: a bounded number of texts whatever the input, found by a
-    grouped minimum of longs.
+    The rows are dealt into ``s.texts`` slots a language by a hash. Each slot proposes its row of least
+    hash, or its shortest if all are over ``s.longest``, found by a grouped minimum of longs; those of least hash
+    that fit the sample together are learned. Repeated rows count once, texts without characters never.
     """
-    rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").withColumn("h", F.xxhash64("doc_id", "text"))
-    rows = rows.withColumn("slot", F.pmod("h", F.lit(s.texts)))
-    chosen = rows.groupBy("lang", "slot").agg(F.min("h").alias("h"))
-    picked = [r["h"] for r in chosen.collect()]
-    texts = rows.where(F.col("h").isin(picked)).select("lang", "h", F.substring("text", 1, s.sample).alias("text"))
-    found: dict[str, dict[int, str]] = {}
-    for row in texts.collect():
-        found.setdefault(row["lang"], {})[row["h"]] = row["text"]
-    out = {}
-    for lang, by in found.items():
-        share = max(1, s.sample // len(by))
-        text = "\n".join(by[h][: 4 * share] for h in sorted(by))
-        out[lang] = text[: s.sample]
-    return out
+    rows = labelled.where("length(text) > 0 AND lang IS NOT NULL").withColumn("h", F.xxhash64("doc_id", "text"))
+    rows = rows.withColumn("n", F.length("text").cast("long"))
+    over = F.when(F.col("n") > s.longest, F.col("n")).otherwise(0).alias("over")
+    slots = rows.groupBy("lang", F.pmod("h", F.lit(s.texts)).alias("slot")).agg(F.min(F.struct(over, "h", "n")).alias("c"))
+    upto = Window.partitionBy("lang").orderBy("over", "h").rowsBetween(Window.unboundedPreceding, 0)
+    chosen = slots.select("lang", "c.*").withColumn("upto", F.sum("n").over(upto)).where((F.col("upto") <= s.sample) | (F.col("upto") == F.col("n")))
+    picked: dict[str, list[int]] = {}
+    for row in chosen.select("lang", "h").collect():
+        picked.setdefault(row["lang"], []).append(row["h"])
+    wanted = F.col("h").isin([h for hs in picked.values() for h in hs])
+    found = {(r["lang"], r["h"]): r["text"] for r in rows.where(wanted).select("lang", "h", "text").distinct().collect()}
+    return {lang: "\n".join(found[lang, h] for h in sorted(hs)) for lang, hs in picked.items()}
 
 
 def predict(docs: DataFrame, samples: dict[str, str], s: Settings = Settings()) -> DataFrame:
