@@ -27,12 +27,20 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at '
         "http://www.apache.org/licenses/LICENSE-2.0",
     ),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; "
+        "either version 2 of the License, or (at your option) any later version.",
+    ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, "
         "either version 3 of the License, or (at your option) any later version.",
     ),
     "LGPL-3.0": ("This work is licensed under the GNU Lesser General Public License, version 3.",),
+    "LGPL-2.1": ("This work is licensed under the GNU Lesser General Public License, version 2.1.",),
+    "AGPL-3.0": ("This work is licensed under the GNU Affero General Public License, version 3.",),
+    "BSD-2-Clause": ("Released under the BSD 2-Clause License.",),
     "BSD-3-Clause": (
         "Released under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
@@ -47,6 +55,9 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 #: A block is looked at if it holds one of these; each template does.
 CUES = r"(?i)licen[sc]e|redistribution and use|permission is hereby|free software|public domain|creative commons|\bcc0\b|\bcc[ -]by\b"
 
+# Words that tell variants of a license apart. They, and all words with a digit, must be the same in text and template.
+VARIANTS = frozenset("affero lesser library noncommercial sharealike noderivatives noderivs nc sa nd".split())
+
 _WORD = re.compile(r"[a-z0-9]+")
 _BLOCK = re.compile(r"[^\n]+(?:\n(?!\s*\n)[^\n]+)*")
 _LINE = re.compile(r"[^\n]+")
@@ -56,13 +67,12 @@ _LINE = re.compile(r"[^\n]+")
 class Settings:
     """``reduction``: bytes that a template must save of those of the block's best window, as a share.
 
-    ``same``: share of template words that the window must hold in order. ``ranked`` templates, the best by
-    compression, are compared by wording.
+    ``same``: share of template words that the window must hold in order. Every template that saves
+    enough is compared by wording, in the order of its saving.
     """
 
     reduction: float = 0.35
     same: float = 0.85
-    ranked: int = 3
     templates: dict[str, tuple[str, ...]] = field(default_factory=lambda: TEMPLATES)
 
 
@@ -98,19 +108,17 @@ class Scanner:
             if len(lines) > 1:
                 yield block.start(), block.end()
 
-    def best(self, text: str, start: int, end: int) -> Match | None:
-        """The winner of one span, placed at the words that it shares with the template."""
-        words = [(m[0], start + m.start(), start + m.end()) for m in _WORD.finditer(text[start:end].lower())]
-        if not words:
-            return None
+    def best(self, words: list[tuple[str, int, int]]) -> tuple[Match, int, int] | None:
+        """The winner among the words (each with its place), and which of them it covers."""
         plain = [w for w, _, _ in words]
         raw = " ".join(plain).encode()
         size = len(self.plain.compress(raw))
         ranked = sorted(((size - len(c.compress(raw))), -len(form[2]), i) for i, (c, form) in enumerate(zip(self.given, self.forms, strict=True)))[::-1]
         found = None
-        for saved, _, i in ranked[: max(self.s.ranked, 1)]:
+        for saved, _, i in ranked:
             name, _, form = self.forms[i]
             share = saved / max(min(size, len(" ".join(form))), 1)
+            # A notice within much other text saves little of the text, but much of its own length.
             if share < self.s.reduction and saved < self.s.reduction * len(" ".join(form)):
                 continue
             runs = [r for r in difflib.SequenceMatcher(None, form, plain, autojunk=False).get_matching_blocks() if r.size]
@@ -126,16 +134,30 @@ class Scanner:
             added = [w for k, w in enumerate(plain[first:last], first) if k not in used]
             if same < self.s.same or len(added) > (1 - self.s.same) * len(form):
                 continue
+            if any(w in VARIANTS or any(c.isdigit() for c in w) for w in (*missing, *added)):
+                continue
             match = Match(name, words[first][1], words[last - 1][2], share, same, " ".join(missing), " ".join(added))
             if found is None or (match.same, -len(added), len(form)) > found[0]:
-                found = (match.same, -len(added), len(form)), match
+                found = (match.same, -len(added), len(form)), (match, first, last)
         return found[1] if found else None
 
+    def all_of(self, text: str, start: int, end: int) -> list[Match]:
+        """Every notice in a span: after one is found, the words on both its sides are looked at in the same way."""
+        words = [(m[0], start + m.start(), start + m.end()) for m in _WORD.finditer(text[start:end].lower())]
+        out, open_ = [], [(0, len(words))]
+        while open_:
+            a, b = open_.pop()
+            if b > a and (found := self.best(words[a:b])):
+                match, first, last = found
+                out.append(match)
+                open_ += [(a, a + first), (a + last, b)]
+        return out
+
     def scan(self, text: str) -> list[Match]:
         """Matches of a text in order; of those that overlap the one that covers most stays."""
-        found = [m for span in self.windows(text) if (m := self.best(text, *span))]
+        found = [m for span in self.windows(text) for m in self.all_of(text, *span)]
         kept: list[Match] = []
-        for m in sorted(found, key=lambda m: (m.start - m.end, m.start)):
+        for m in sorted(set(found), key=lambda m: (m.start - m.end, m.start, -m.same, m.license)):
             if all(m.end <= k.start or k.end <= m.start for k in kept):
                 kept.append(m)
         return sorted(kept, key=lambda m: m.start)
@@ -151,7 +173,7 @@ def scan(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     Texts are whole. Those without a cue never leave the scan of the table; null and empty texts have no rows.
     Repeated rows give repeated results, and other columns are not read. Differences are words of the template that the text lacks, and words in between that it adds.
     """
-    key = hash(tuple(sorted(s.templates.items())) + (s.reduction, s.same, s.ranked))
+    key = hash(tuple(sorted(s.templates.items())) + (s.reduction, s.same))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _SCANNERS:
