@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import urlsplit
@@ -47,6 +48,11 @@ NOISE_WORDS = frozenset(
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 # Of these, words that also name headlines and sections of an article; there, like parts of longer names, they only cut with the tree.
 UNSURE_WORDS = frozenset("banner footer header masthead menu notice notices promo promotion related search sidebar toolbar widget".split())
+# Parts of longer class names that mean noise inside an article, where such a name does not begin with one of NEGATIONS.
+SURE_PARTS = NOISE_WORDS - UNSURE_WORDS - {"consent", "login"}
+LISTINGS = frozenset("articles content items links news posts reading stories".split())
+NEGATIONS = frozenset("has is no non not with without".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Raw elements whose content is never markup: without an end they last to the end of the page.
 ONLY_TEXT = frozenset("script style textarea title iframe".split())
 MAIN_TAGS = frozenset(("article", "main"))
@@ -120,18 +126,37 @@ class Node:
     noise: bool
     main: bool
     unsure: bool
+    doubt: int
     children: list[str]
 
 
 @dataclass
 class Block:
-    """Text of one block with the paths above it, outermost first; ``unsure`` are those whose class inside the article may mean noise."""
+    """Text of one block with the paths above it, outermost first; ``unsure`` are those whose class inside the article may mean noise.
+
+    ``doubts`` number the branches of the page whose class names noise in a longer word.
+    """
 
     text: str
     paths: tuple[int, ...]
     noise: bool
     main: bool
     unsure: tuple[int, ...] = ()
+    doubts: tuple[int, ...] = ()
+
+
+def _doubtful(tag: str, names: str, is_id: bool) -> bool:
+    """Whether class names (or an id) of an element inside an article hold a noise word in a longer name, or are a sidebar's.
+
+    Headings are text whatever their names; ids of sections are often made from headings.
+    """
+    if tag in HEADINGS or is_id and tag == "section":
+        return False
+    for name in names.split():
+        parts = [w for w in _PARTS.split(name) if w]
+        if name == "sidebar" or len(parts) > 1 and parts[0] not in NEGATIONS and (SURE_PARTS.intersection(parts) - {"related"} or "related" in parts and LISTINGS.intersection(parts) or "sidebar" in parts):
+            return True
+    return False
 
 
 def parse(page: str) -> tuple[list[Block], list[tuple[int, int]]]:
@@ -139,14 +164,15 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, int]]]:
 
     Unclosed and stray tags are tolerated; comments, scripts and other raw elements are dropped; references are decoded.
     """
-    root = Node("", 0, False, False, False, [])
-    stack, blocks, styles, words = [root], [], {}, []
+    root = Node("", 0, False, False, False, 0, [])
+    stack, blocks, styles, words, doubts = [root], [], {}, [], 0
 
     def flush() -> None:
         text = " ".join("".join(words).split())
         words.clear()
         if text:
-            blocks.append(Block(text, tuple(n.path for n in stack[1:]), any(n.noise for n in stack), any(n.main for n in stack), tuple(n.path for n in stack if n.unsure)))
+            named = tuple(n.doubt for n in stack if n.doubt)
+            blocks.append(Block(text, tuple(n.path for n in stack[1:]), any(n.noise for n in stack), any(n.main for n in stack), tuple(n.path for n in stack if n.unsure), named))
 
     def close(down_to: int) -> None:
         while len(stack) > down_to:
@@ -176,22 +202,23 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, int]]]:
         names, noise, main = [], tag in NOISE_TAGS, tag in MAIN_TAGS
         inside = any(n.main for n in stack)
         noise = noise or tag == "header" and not inside
-        unsure = False
+        unsure = doubtful = False
         given = _attributes(token["rest"]) if token["rest"] else {}
         noise = noise or "hidden" in given
         roles = given.get("role", "").lower().split()
         noise, main = noise or bool(NOISE_ROLES.intersection(roles)), main or "main" in roles
-        for value in (given.get("class", "").lower(), given.get("id", "").lower()):
+        for is_id, value in enumerate((given.get("class", "").lower(), given.get("id", "").lower())):
             found = [w for w in _PARTS.split(value) if w]
             names += [w for w in found if not any(c.isdigit() for c in w)]
             if tag not in ("html", "body") and not main and NOISE_WORDS.intersection(found):
                 if not inside or (NOISE_WORDS - UNSURE_WORDS).intersection(value.split()):
                     noise = True
                 else:
-                    unsure = True
+                    unsure, doubtful = True, doubtful or _doubtful(tag, value, bool(is_id))
         name = ".".join([tag, *sorted(set(names))])
         stack[-1].children.append(name)
-        stack.append(Node(tag, xxhash.xxh64_intdigest(f"{stack[-1].path}/{name}") >> 1, noise, main, unsure, []))
+        doubts += doubtful
+        stack.append(Node(tag, xxhash.xxh64_intdigest(f"{stack[-1].path}/{name}") >> 1, noise, main, unsure, doubts if doubtful else 0, []))
     if at < len(page):
         words.append(html.unescape(page[at:]))
     flush()
@@ -203,11 +230,20 @@ def main_text(page: str, low: set[int]) -> str:
     """Blocks joined by a space, without those that are noise or under a path of low importance.
 
     Where an element calls itself the article, only text inside such elements counts. The site's statistics cut it only where a class may mean noise.
+    A branch whose class names noise in a longer word (``comment-list``, ``ad_banner``) is cut there without
+    statistics, unless it holds most of the article's text.
     """
     blocks, _ = parse(page)
     kept = [b for b in blocks if not b.noise]
     if any(b.main for b in kept):
-        return " ".join(b.text for b in kept if b.main and not low.intersection(b.unsure))
+        article = [b for b in kept if b.main]
+        held: Counter[int] = Counter()
+        for b in article:
+            for d in b.doubts:
+                held[d] += len(b.text)
+        half = sum(len(b.text) for b in article) / 2
+        noise = {d for d, n in held.items() if n <= half}
+        return " ".join(b.text for b in article if not noise.intersection(b.doubts) and not low.intersection(b.unsure))
     return " ".join(b.text for b in kept if not low.intersection(b.paths))
 
 
