@@ -280,20 +280,56 @@ def _segment_files(fx: Fixture) -> DataFrame:
     return upkeep.segment_files(fx.spark, _stored(fx, schema.LOGS), schema.LOGS)
 
 
+def _per_table(select: str) -> str:
+    """A select over each table's rows as ``v`` with its time as ``t``."""
+    sources = {
+        schema.LOGS: "SELECT time_unix_nano AS t FROM f_logs",
+        schema.SPANS: "SELECT start_time_unix_nano FROM f_spans",
+        schema.GAUGE: "SELECT time_unix_nano FROM f_gauge",
+        schema.SUM: "SELECT time_unix_nano FROM f_sum UNION ALL SELECT time_unix_nano FROM f_sum_delta",
+        schema.HISTOGRAM: "SELECT time_unix_nano FROM f_hist",
+        schema.EXP_HISTOGRAM: "SELECT time_unix_nano FROM f_hist",
+        schema.SUMMARY: "SELECT time_unix_nano FROM f_summary",
+    }
+    return " UNION ALL ".join(select.format(table=n, rows=f"({q}) v(t)") for n, q in sources.items())
+
+
+_DAY_OF = f"DATE '1970-01-01' + CAST(t // {DAY} AS INTEGER)"
+
+
+@query(
+    "segment_days",
+    _per_table(f"SELECT '{{table}}' AS \"table\", CAST({_DAY_OF} AS DATE) AS day, count(*) AS rows, min(t) AS min_time, max(t) AS max_time FROM {{rows}} GROUP BY ALL"),
+    _ALL_VIEWS,
+)
+def _segment_days(fx: Fixture) -> DataFrame:
+    return upkeep.day_stats(fx.spark, _stored(fx))
+
+
 @query(
     "table_stats",
-    """SELECT 'logs' AS "table", count(*) AS rows, min(time_unix_nano) AS min_time, max(time_unix_nano) AS max_time,
-         true AS has_files FROM f_logs
-       UNION ALL SELECT 'spans', count(*), min(start_time_unix_nano), max(start_time_unix_nano), true FROM f_spans
-       UNION ALL SELECT t, 0, NULL, NULL, false FROM (VALUES ('metrics_gauge'), ('metrics_sum'), ('metrics_histogram'),
-         ('metrics_exp_histogram'), ('metrics_summary')) v(t)""",
-    ("f_logs", "f_spans"),
+    _per_table("SELECT '{table}' AS \"table\", count(*) AS rows, min(t) AS min_time, max(t) AS max_time, true AS has_files FROM {rows}"),
+    _ALL_VIEWS,
 )
 def _table_stats(fx: Fixture) -> DataFrame:
-    found = upkeep.table_stats(fx.spark, _stored(fx, schema.LOGS, schema.SPANS))
+    found = upkeep.table_stats(fx.spark, _stored(fx))
     return found.select("table", "rows", "min_time", "max_time", (F.col("files") > 0).alias("has_files"))
 
 
+@query(
+    "retention_bytes",
+    """SELECT day, trace_id, body FROM f_logs
+       WHERE day IN (SELECT day FROM (SELECT day FROM f_logs UNION SELECT day FROM f_spans) ORDER BY day DESC LIMIT 5)""",
+    ("f_logs", "f_spans"),
+)
+def _retention_bytes(fx: Fixture) -> DataFrame:
+    root, out = _stored(fx, schema.LOGS, schema.SPANS), scratch_dir(fx.spark, "retained")
+    newest = upkeep.day_sizes(fx.spark, root).orderBy(F.col("day").desc()).limit(6)
+    # One byte short of what six days take.
+    upkeep.retain(fx.spark, root, out, max_bytes=newest.agg(F.sum("bytes").alias("b")).first()["b"] - 1)
+    return tables.scan(fx.spark, out, schema.LOGS).select("day", "trace_id", "body")
+
+
 @query("snapshot_rows", _ALL_COUNTS, _ALL_VIEWS)
 def _snapshot(fx: Fixture) -> DataFrame:
     directory = scratch_dir(fx.spark, "snapshot")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from emberscope import schema
+from emberscope.session import configure
 from emberscope.sources import catalog, tables
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
@@ -55,54 +56,71 @@ def segments(spark: SparkSession, root: str) -> DataFrame:
     return _union(out)
 
 
+def _listed(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Data files of a stored table from the listing alone, their content is not opened: ``path, day, bytes``."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(tables.table_path(root, name))
+    day = F.col("day") if "day" in found.columns else F.lit(None)
+    return found.select(_relative(F.col("path"), root).alias("path"), day.cast("date").alias("day"), F.col("length").alias("bytes"))
+
+
+def _stored_names(spark: SparkSession, root: str) -> list[str]:
+    return [n for n in schema.TABLE_NAMES if tables.exists(spark, tables.table_path(root, n))]
+
+
 def segment_files(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The files of one table: ``path``."""
-    return (
-        tables.scan(spark, root, name)
-        .select(_relative(F.col("_metadata.file_path"), root).alias("path"))
-        .distinct()
-    )
+    if name not in _stored_names(spark, root):
+        return spark.createDataFrame([], "path STRING")
+    return _listed(spark, root, name).select("path")
 
 
-def table_stats(spark: SparkSession, root: str) -> DataFrame:
-    """``table, files, rows, min_time, max_time`` of all seven; null bounds when empty."""
-    stored = _stored(spark, root)
-    out = []
-    for name in schema.TABLE_NAMES:
-        time = schema.TIME_COLUMN[name]
-        if name in stored:
-            rows = stored[name].select(F.col("_metadata.file_path").alias("_file"), time)
-        else:
-            rows = tables.scan(spark, root, name).select(F.lit("").alias("_file"), time)
-        # Per file first: a distinct count then only sees one row per file.
-        per_file = rows.groupBy("_file").agg(
-            F.count(F.lit(1)).alias("_n"), F.min(time).alias("_lo"), F.max(time).alias("_hi")
-        )
-        out.append(
-            per_file.agg(
-                F.count(F.lit(1)).alias("files"),
-                F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
-                F.min("_lo").alias("min_time"),
-                F.max("_hi").alias("max_time"),
-            ).select(F.lit(name).alias("table"), "files", "rows", "min_time", "max_time")
-        )
+# Sources that are read the old way; Parquet is not among them, as only its new reader answers aggregates from footers.
+_OLD_READERS = "avro,csv,json,kafka,orc,text"
+
+
+def day_stats(spark: SparkSession, root: str) -> DataFrame:
+    """``table, day, rows, min_time, max_time`` of all stored tables, read from the footers of their files.
+
+    Counts and bounds by partition are pushed into the Parquet reader, so no data page is read. That takes
+    settings of their own: the result belongs to a session beside ``spark``.
+    """
+    aside = configure(spark.newSession())
+    aside.conf.set("spark.sql.sources.useV1SourceList", _OLD_READERS)
+    aside.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    layout = "table STRING, day DATE, rows BIGINT, min_time BIGINT, max_time BIGINT"
+    out = [aside.createDataFrame([], layout)]
+    for name in _stored_names(spark, root):
+        time, path = schema.TIME_COLUMN[name], tables.table_path(root, name)
+        batched = tables.in_batches(spark, path)
+        layout_of = tables.leading(name).add("day", "date")
+        # The reader finds a column's statistics by its place in the file, and takes over a grouping by all partition columns only.
+        rows = aside.read.schema(layout_of.add("batch", "string") if batched else layout_of).parquet(path)
+        files = rows.groupBy(*(["batch"] if batched else []), "day").agg(F.count(F.lit(1)).alias("n"), F.min(time).alias("lo"), F.max(time).alias("hi"))
+        days = files.groupBy("day").agg(F.sum("n").alias("rows"), F.min("lo").alias("min_time"), F.max("hi").alias("max_time"))
+        out.append(days.select(F.lit(name).alias("table"), "day", "rows", "min_time", "max_time"))
     return _union(out)
 
 
+def table_stats(spark: SparkSession, root: str) -> DataFrame:
+    """``table, files, rows, min_time, max_time`` of all seven; null bounds when empty. Footers and listings are all that is read."""
+    days = day_stats(spark, root)
+    aside = days.sparkSession
+    stored = _stored_names(spark, root)
+    files = [_listed(aside, root, n).agg(F.count(F.lit(1)).alias("files")).select(F.lit(n).alias("table"), "files") for n in stored]
+    names = aside.createDataFrame([(n,) for n in schema.TABLE_NAMES], "table STRING")
+    counted = _union([aside.createDataFrame([], "table STRING, files BIGINT"), *files])
+    totals = days.groupBy("table").agg(F.sum("rows").alias("rows"), F.min("min_time").alias("min_time"), F.max("max_time").alias("max_time"))
+    none = {c: F.coalesce(c, F.lit(0)) for c in ("files", "rows")}
+    return names.join(counted, "table", "left").join(totals, "table", "left").withColumns(none).select("table", "files", "rows", "min_time", "max_time")
+
+
 def day_sizes(spark: SparkSession, root: str) -> DataFrame:
     """Files and bytes per day over all tables: ``day, files, bytes``."""
-    files = [
-        df.select(
-            "day",
-            F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.file_size").alias("_size"),
-        ).distinct()
-        for df in _stored(spark, root).values()
-    ]
+    files = [_listed(spark, root, name) for name in _stored_names(spark, root)]
     return (
         _union(files)
         .groupBy("day")
-        .agg(F.count(F.lit(1)).alias("files"), F.sum("_size").alias("bytes"))
+        .agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
     )
 
 
@@ -150,10 +168,7 @@ def compact(
     is spread over as many files as it needs. Returns files before and after.
     """
     df = tables.scan(spark, root, name)
-    files = df.select(
-        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s")
-    ).distinct()
-    before = files.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("s"), F.lit(0)).alias("b")).first()
+    before = _listed(spark, root, name).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("b")).first()
     parts = max(1, -(-before["b"] // target_bytes))
     order = ["day", *tables.clustering(name)]
     rows = tables.rewrite(df, root, name, out_root).repartitionByRange(parts, *order)

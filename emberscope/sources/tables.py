@@ -7,6 +7,7 @@ from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from emberscope import schema
 from emberscope.functions.attrs import promote, promoted_column
@@ -32,8 +33,17 @@ def clustering(name: str) -> list[str]:
     return [*by_metric, "service", schema.TIME_COLUMN[name]]
 
 
+def leading(name: str) -> StructType:
+    """A table's columns up to its time, none of them nested; every file begins with them, so footers can be asked by place."""
+    layout = schema.table_schema(name)
+    return StructType(layout.fields[: layout.names.index(schema.TIME_COLUMN[name]) + 1])
+
+
 def writer(df: DataFrame, name: str) -> DataFrameWriter:
     """A day-partitioned writer; ids that look-ups ask for get bloom filters, as min and max say nothing of them."""
+    first = leading(name)
+    begin = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in first]
+    df = df.select(*begin, *[c for c in df.columns if c not in first.names])
     out = df.write.partitionBy("day")
     if name in (schema.LOGS, schema.SPANS):
         out = out.option("parquet.bloom.filter.enabled#trace_id", "true")

@@ -236,6 +236,32 @@ def test_upkeep(spark, fresh):
     assert tables.scan(spark, f"{fresh}/copy", schema.LOGS).count() == 192
 
 
+def test_statistics_come_from_footers_and_listings(spark, fresh):
+    root = f"{fresh}/db"
+    assert upkeep.day_stats(spark, root).count() == 0
+    assert {(r.table, r.files, r.rows) for r in upkeep.table_stats(spark, root).collect()} == {(n, 0, 0) for n in schema.TABLE_NAMES}
+    for batch in ("a", "b"):
+        tables.append(days_of_logs(spark).repartition(2), root, schema.LOGS, batch=batch)
+    found = upkeep.day_stats(spark, root)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)" in plan and "FileScan parquet" not in plan
+    assert "FileScan parquet" not in upkeep.table_stats(spark, root)._jdf.queryExecution().executedPlan().toString()
+    own = tables.scan(spark, root, schema.LOGS).groupBy("day").agg(F.count("*"), F.min("time_unix_nano"), F.max("time_unix_nano"))
+    assert sorted(tuples(found.drop("table"))) == sorted(tuples(own))
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+    listed = upkeep.day_sizes(spark, root)
+    assert "ReadSchema: struct<length:bigint>" in listed._jdf.queryExecution().executedPlan().toString()
+    assert listed.agg(F.sum("files")).first()[0] == upkeep.segment_files(spark, root, schema.LOGS).count() == 16
+
+
+def test_footers_of_files_from_rows_in_another_column_order(spark, fresh):
+    rows = days_of_logs(spark)
+    turned = rows.select(*reversed(rows.columns)).drop("observed_time_unix_nano")
+    tables.append(turned, fresh, schema.LOGS)
+    found = upkeep.table_stats(spark, fresh).where("rows > 0").collect()
+    assert [(r.table, r.rows, r.min_time, r.max_time) for r in found] == [("logs", *rows.agg(F.count("*"), F.min("time_unix_nano"), F.max("time_unix_nano")).first())]
+
+
 def test_retention_by_age_and_bytes(spark, fresh):
     root = f"{fresh}/db"
     tables.append(days_of_logs(spark).coalesce(1), root, schema.LOGS)
