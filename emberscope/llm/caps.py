@@ -20,17 +20,17 @@ from emberscope.llm.components import components
 class Settings:
     """``cosine`` and more links two vectors.
 
-    A filter is one codeword a part of the (rotated) vector, its direction their
-    concatenation. In each of ``codes`` independent codes a vector has a cap of its own: the
-    height that ``filters`` directions exceed. Pairs at a cosine of 0.9 in 64 dimensions share 13
-    filters on average, and none of 2,000 such random pairs shared none. ``spread`` filters a
-    vector are laid out, so that filters grow with the rows and chance meetings don't.
+    A filter is one codeword a part of the (rotated) vector, its direction their concatenation. A
+    vector passes all filters that come within a margin of its highest one. The margin is such that
+    ``filters`` are passed in a code on average; codes, each with a rotation of its own, are added until a random pair
+    at ``cosine`` shares no filter with a chance of ``miss``. ``spread`` filters a vector are laid
+    out, so that filters, and with them codes, grow with the rows and chance meetings don't.
     Buckets of up to ``small`` meet in a join, larger ones in blocks of ``block``; the
     result is the same.
     """
 
     cosine: float = 0.9
-    codes: int = 4
+    miss: float = 1e-4
     filters: int = 12
     spread: int = 4
     small: int = 32
@@ -57,29 +57,76 @@ class Code:
     def turn(self) -> np.ndarray:
         return np.linalg.qr(np.random.default_rng([self.seed, self.dim]).normal(size=(self.dim, self.dim)))[0]
 
-    def decode(self, unit: np.ndarray, filters: int) -> np.ndarray:
-        """Numbers of the filters of each vector's cap: the ``filters`` directions that it leans to most.
+    def decode(self, unit: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray]:
+        """All filters within ``margin`` of each vector's highest: row numbers, ascending, and filter numbers.
 
-        The best codewords of each part are listed first, and sums are formed over these only.
+        Part by part, a list goes on as long as the best words of the parts to come could still lift it there.
         """
         turned = unit @ self.turn
-        total, code = np.zeros((len(unit), 1)), np.zeros((len(unit), 1), np.uint64)
-        at, best = 0, min(self.words, filters)
+        row, lost, code = np.arange(len(unit)), np.zeros(len(unit)), np.zeros(len(unit), np.uint64)
+        at = 0
         for book in self.books:
             score = turned[:, at : at + len(book)] @ book
             at += len(book)
-            word = np.argpartition(-score, best - 1, axis=1)[:, :best]
-            total = (total[:, :, None] + np.take_along_axis(score, word, 1)[:, None, :]).reshape(len(unit), -1)
-            code = (code[:, :, None] * np.uint64(self.words) + word.astype(np.uint64)[:, None, :]).reshape(len(unit), -1)
-        n = min(filters, total.shape[1])
-        return np.take_along_axis(code, np.argpartition(-total, n - 1, axis=1)[:, :n], 1)
+            below = lost[:, None] + (score.max(axis=1, keepdims=True) - score)[row]
+            i, word = np.nonzero(below <= margin)
+            row, lost, code = row[i], below[i, word], code[i] * np.uint64(self.words) + word.astype(np.uint64)
+        return row, code
 
+    def chunk(self) -> int:
+        """Vectors to decode at once, so that lists stay small."""
+        return max(4, (1 << 14) // self.words)
 
-@functools.lru_cache(maxsize=32)
+
+@functools.lru_cache(maxsize=64)
 def _code(dim: int, parts: int, words: int, seed: int) -> Code:
     return Code(dim, parts, words, seed)
 
 
+def shape(dim: int, n: int, s: Settings) -> tuple[int, int]:
+    """Parts and words of the codes for ``n`` vectors of ``dim`` numbers; parts of under four numbers tell too little."""
+    wanted = max(n, 1) * s.spread
+    if dim >= 12:
+        return 3, max(16, round(wanted ** (1 / 3)))
+    return 1, max(4, min(wanted, 4096, 4**dim))
+
+
+def pairs_at(cosine: float, dim: int, n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Random pairs of unit vectors with one cosine; in one dimension equal ones."""
+    draw = np.random.default_rng([seed, dim])
+    x = units(draw.normal(size=(n, dim)))
+    if dim == 1:
+        return x, x
+    z = draw.normal(size=(n, dim))
+    z = units(z - np.sum(z * x, axis=1, keepdims=True) * x)
+    return x, cosine * x + np.sqrt(1 - cosine * cosine) * z
+
+
+def meeting(code: Code, x: np.ndarray, y: np.ndarray, margin: float) -> np.ndarray:
+    """Which pairs of rows share a filter."""
+    out, step = np.zeros(len(x), bool), code.chunk()
+    for at in range(0, len(x), step):
+        (i, a), (j, b) = code.decode(x[at : at + step], margin), code.decode(y[at : at + step], margin)
+        both = set(zip(i.tolist(), a.tolist(), strict=True)) & set(zip(j.tolist(), b.tolist(), strict=True))
+        out[[at + row for row, _ in both]] = True
+    return out
+
+
+def plan(dim: int, n: int, s: Settings) -> tuple[float, int]:
+    """Margin and number of codes for ``n`` vectors of ``dim`` numbers, found on random pairs, whatever the data.
+
+    The margin is widened where a code would bring under a quarter of the pairs together.
+    """
+    code = _code(dim, *shape(dim, n, s), s.seed)
+    x, y = pairs_at(s.cosine, dim, 400, s.seed)
+    margin, step = 0.01, code.chunk()
+    while sum(len(code.decode(x[at : at + step], margin)[0]) for at in range(0, 128, step)) < min(s.filters, code.words**code.parts) * 128:
+        margin *= 1.1
+    while (apart := 1 - meeting(code, x, y, margin).mean()) > 0.75:
+        margin *= 1.1
+    return margin, int(np.ceil(np.log(s.miss) / np.log(apart + 0.02)))
+
+
 def usable(vector: str = "embedding") -> Column:
     """Whether a vector can be compared: there, finite, not zero."""
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -106,24 +153,38 @@ def linked(a: np.ndarray, b: np.ndarray, cosine: float) -> np.ndarray:
     return out
 
 
-def _filters(rows: DataFrame, s: Settings, parts: int, words: int) -> DataFrame:
-    """id and key for each filter that a vector exceeds; keys of other vector lengths differ."""
+def _plans(rows: DataFrame, n: int, s: Settings) -> DataFrame:
+    """dim, margin, codes for each length of vectors; one task decides for all."""
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(dim, *plan(dim, n, s)) for dim in batch.column("dim").to_pylist()]
+            yield pa.RecordBatch.from_pylist([dict(zip(("dim", "margin", "codes"), f, strict=True)) for f in found], pa.schema({"dim": pa.int32(), "margin": pa.float64(), "codes": pa.int32()}))
+
+    return rows.select(F.size("v").alias("dim")).distinct().mapInArrow(decide, "dim int, margin double, codes int")
+
+
+def _filters(rows: DataFrame, n: int, s: Settings) -> DataFrame:
+    """id and key for each filter that a vector passes; keys of other vector lengths differ."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = np.asarray(batch.column("v").value_lengths())
-            ids = batch.column("id").to_numpy()
-            for dim in np.unique(sizes):
+            sizes, ids = batch.column("dim").to_numpy(), batch.column("id").to_numpy()
+            for dim in np.unique(sizes).tolist():
                 which = np.flatnonzero(sizes == dim)
-                for at in range(0, len(which), 256):
-                    some = which[at : at + 256]
+                margin, codes = (batch.column(c)[int(which[0])].as_py() for c in ("margin", "codes"))
+                made = [_code(dim, *shape(dim, n, s), s.seed + k) for k in range(codes)]
+                for at in range(0, len(which), made[0].chunk()):
+                    some = which[at : at + made[0].chunk()]
                     unit = units(matrix(batch.column("v").take(pa.array(some))))
-                    for k in range(s.codes):
-                        found = _code(int(dim), min(parts, int(dim)), words, s.seed + k).decode(unit, s.filters)
-                        keys = mix(found * np.uint64(0x9E3779B97F4A7C15) + np.uint64(dim * 64 + k)).view(np.int64)
-                        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[some], keys.shape[1])), pa.array(keys.ravel())], ["id", "key"])
+                    for k, code in enumerate(made):
+                        row, found = code.decode(unit, margin)
+                        keys = mix(found * np.uint64(0x9E3779B97F4A7C15) + np.uint64(dim * 1024 + k)).view(np.int64)
+                        yield pa.RecordBatch.from_arrays([pa.array(ids[some[row]]), pa.array(keys)], ["id", "key"])
 
-    return rows.select("id", "v").mapInArrow(decode, "id long, key long")
+    plans = stored(_plans(rows, n, s), "plans")
+    planned = rows.select("id", "v", F.size("v").alias("dim")).join(plans, "dim")
+    return planned.mapInArrow(decode, "id long, key long")
 
 
 def _small(keys: DataFrame, rows: DataFrame, s: Settings) -> DataFrame:
@@ -210,9 +271,7 @@ def near_vectors(vectors: DataFrame, s: Settings = Settings()) -> DataFrame:
     heads = good.join(classes, ["d1", "d2"]).where("vec_id = least").select("id", F.col("embedding").alias("v"), "w").dropDuplicates(["id"])
     heads = stored(heads, "heads")
     n = max(heads.count(), 1)
-    parts = 3 if n < 1_000_000 else 4
-    words = int(min(512, max(16, round((s.spread * n) ** (1 / parts)))))
-    keys = stored(_filters(heads, s, parts, words), "filters")
+    keys = stored(_filters(heads, n, s), "filters")
     sizes = keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     keys = stored(keys.join(sizes, "key"), "buckets")
     large = keys.where(F.col("m") > s.small).groupBy("id").agg(F.array_sort(F.collect_list("key")).alias("large"))

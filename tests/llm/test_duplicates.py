@@ -135,17 +135,37 @@ def test_repeated_ids_and_empty_table(spark):
     assert caps.near_vectors(vectors(spark, [])).count() == 0
 
 
-def test_code_finds_pairs_at_the_threshold():
-    draw = np.random.default_rng(2)
-    x = caps.units(draw.normal(size=(500, 64)))
-    z = draw.normal(size=(500, 64))
-    z = caps.units(z - np.sum(z * x, axis=1, keepdims=True) * x)
-    y = 0.9 * x + np.sqrt(1 - 0.81) * z
-    met = np.zeros(500, bool)
-    for k in range(4):
-        code = caps.Code(64, 3, 48, 5 + k)
-        met |= np.array([bool(set(a) & set(b)) for a, b in zip(code.decode(x, 12).tolist(), code.decode(y, 12).tolist(), strict=True)])
-    assert met.mean() > 0.99
+@pytest.mark.parametrize("n", [1_000, 27_000, 10**6, 10**8])
+def test_codes_find_pairs_at_the_threshold_at_every_size(n):
+    s = caps.Settings()
+    margin, codes = caps.plan(64, n, s)
+    x, y = caps.pairs_at(s.cosine, 64, 4000, 99)
+    assert np.allclose(np.sum(x * y, axis=1), s.cosine)
+    met = np.zeros(len(x), bool)
+    for k in range(codes):
+        left = np.flatnonzero(~met)
+        met[left] = caps.meeting(caps.Code(64, *caps.shape(64, n, s), s.seed + k), x[left], y[left], margin)
+    assert met.mean() >= 0.999
+
+
+@pytest.mark.parametrize("dim", [1, 2, 3, 5, 8, 12, 30])
+def test_short_vectors_have_plans_that_find_their_pairs(dim):
+    s = caps.Settings()
+    margin, codes = caps.plan(dim, 50_000, s)
+    x, y = caps.pairs_at(s.cosine, dim, 1000, 7)
+    met = np.any([caps.meeting(caps.Code(dim, *caps.shape(dim, 50_000, s), s.seed + k), x, y, margin) for k in range(codes)], axis=0)
+    assert met.mean() >= 0.998 and codes <= 40
+
+
+def test_decoding_lists_all_filters_within_the_margin():
+    code = caps.Code(24, 3, 9, 1)
+    x = caps.units(np.random.default_rng(5).normal(size=(50, 24)))
+    turned = x @ code.turn
+    a, b, c = (turned[:, 8 * p : 8 * p + 8] @ code.books[p] for p in range(3))
+    sums = (a[:, :, None, None] + b[:, None, :, None] + c[:, None, None, :]).reshape(50, -1)
+    want = np.argwhere(sums >= sums.max(axis=1, keepdims=True) - 0.3)
+    row, found = code.decode(x, 0.3)
+    assert sorted(zip(row.tolist(), found.tolist())) == sorted(map(tuple, want.tolist()))
 
 
 def test_search_recall_scores_and_ties(spark):
