@@ -120,7 +120,7 @@ def plan(dim: int, n: int, s: Settings) -> tuple[float, int]:
     code = _code(dim, *shape(dim, n, s), s.seed)
     x, y = pairs_at(s.cosine, dim, 400, s.seed)
     margin, step = 0.01, code.chunk()
-    while sum(len(code.decode(x[at : at + step], margin)[0]) for at in range(0, 128, step)) < min(s.filters, code.words**code.parts) * 128:
+    while sum(len(code.decode(x[at : at + step], margin)[0]) for at in range(0, len(x), step)) < min(s.filters, code.words**code.parts) * len(x):
         margin *= 1.1
     while (apart := 1 - meeting(code, x, y, margin).mean()) > 0.75:
         margin *= 1.1
