@@ -13,9 +13,9 @@ from emberscope.acceptance.fixtures import _DAY_LABELS, _DAY_NS, FIRST_DAY_NS, F
 from emberscope.acceptance.registry import query
 from emberscope.functions.timegrid import DAY, HOUR
 from emberscope.operators import discovery, logs, metrics, stats, traces, upkeep
-from emberscope.plans.specs import LogQuery, MetricQuery, SpanMetricsQuery, TimeRange, TraceQuery
+from emberscope.plans.specs import LogQuery, MetricQuery, SpanFilters, SpanMetricsQuery, TimeRange, TraceQuery
 from emberscope.session import scratch_dir
-from emberscope.sources import catalog, otlp, tables
+from emberscope.sources import catalog, otlp, tables, trace_index
 
 
 def delivered(fx: Fixture, table: str) -> DataFrame:
@@ -460,6 +460,63 @@ def _search_stored(fx: Fixture) -> DataFrame:
     return traces.search(spans, TraceQuery(range=_RANGE, limit=200)).select("trace_id", "start_time", "span_count")
 
 
+# --- the trace index ----------------------------------------------------------------------
+
+
+def _indexed(fx: Fixture) -> tuple[DataFrame, trace_index.TraceIndex]:
+    """Spans appended in three parts that share traces, the first two compacted, and their index."""
+    root, out = scratch_dir(fx.spark, "parts"), scratch_dir(fx.spark, "compacted")
+    parts = [fx.spans.where(F.pmod(F.xxhash64("span_id"), F.lit(3)) == i) for i in range(3)]
+    tables.append(parts[0], root, schema.SPANS)
+    tables.append(parts[1], root, schema.SPANS)
+    upkeep.compact(fx.spark, root, schema.SPANS, out)
+    tables.append(parts[2], out, schema.SPANS)
+    return tables.scan(fx.spark, out, schema.SPANS), trace_index.read(fx.spark, out)
+
+
+@query(
+    "trace_index",
+    "SELECT trace_id, min(start_time_unix_nano) AS first, max(start_time_unix_nano) AS last FROM f_spans GROUP BY trace_id",
+    ("f_spans",),
+)
+def _index(fx: Fixture) -> DataFrame:
+    return _indexed(fx)[1].merge()
+
+
+@query(
+    "trace_search_indexed",
+    f"""SELECT trace_id, start_time, span_count FROM (SELECT trace_id, min(start_time_unix_nano) AS start_time, count(*) AS span_count
+          FROM f_spans GROUP BY trace_id) WHERE start_time >= {_EARLY} AND start_time < {_LATE}
+        ORDER BY start_time DESC, trace_id LIMIT 200""",
+    ("f_spans",),
+)
+def _search_indexed(fx: Fixture) -> DataFrame:
+    spans, index = _indexed(fx)
+    return traces.search(spans, TraceQuery(range=_RANGE, limit=200), index).select("trace_id", "start_time", "span_count")
+
+
+@query(
+    "get_trace_indexed",
+    f"SELECT trace_id, span_id, name, start_time_unix_nano FROM f_spans WHERE trace_id = '{7:032x}'",
+    ("f_spans",),
+)
+def _get_indexed(fx: Fixture) -> DataFrame:
+    spans, index = _indexed(fx)
+    return traces.get_trace(spans, f"{7:032x}", index).select("trace_id", "span_id", "name", "start_time_unix_nano")
+
+
+@query(
+    "spanset_traces_indexed",
+    f"""SELECT trace_id, span_id, name FROM f_spans WHERE trace_id IN (SELECT trace_id FROM f_spans WHERE status = 'ERROR'
+          AND k > 80 AND start_time_unix_nano >= {_EARLY} AND start_time_unix_nano < {_LATE})""",
+    ("f_spans",),
+)
+def _whole_indexed(fx: Fixture) -> DataFrame:
+    spans, index = _indexed(fx)
+    matched = traces.match(spans, SpanFilters(status="ERROR", attr_num=[("k", ">", 80)]), _EARLY, _LATE)
+    return traces.whole_traces(spans, matched, index).select("trace_id", "span_id", "name")
+
+
 def _newest(rows: int) -> str:
     """Logs of the days that hold the newest ``rows`` of the range."""
     return f"""(SELECT count(*) FROM f_logs WHERE time_unix_nano < {_LATE} AND day >= (SELECT min(day) FROM (SELECT day FROM f_logs

@@ -17,6 +17,7 @@ from emberscope.plans.predicates import (
     span_predicate,
 )
 from emberscope.plans.specs import SpanFilters, SpanMetricsQuery, TimeRange, TraceQuery
+from emberscope.sources.trace_index import TraceIndex, on_days
 
 # Group-by names that mean a span field, not an attribute.
 _SPAN_FIELDS = ("name", "kind", "status")
@@ -24,15 +25,19 @@ _SPAN_FIELDS = ("name", "kind", "status")
 PERCENTILES = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
 
 
-def _beginning_in(spans: DataFrame, within: TimeRange) -> DataFrame:
+def _beginning_in(spans: DataFrame, within: TimeRange, index: TraceIndex | None) -> DataFrame:
     """All spans of the traces whose first span starts in the range; whole days outside are not read.
 
     Candidates have a span in the range. Those with a span before it began earlier and
-    are left out; what remains has no span before the range.
+    are left out; what remains has no span before the range. An index tells the traces and their
+    days by itself, so that no span before the range is read.
     """
     time = "start_time_unix_nano"
     if within.start is None and within.end is None:
         return spans
+    if index is not None:
+        begun = index.beginning_in(within)
+        return on_days(spans, begun).join(begun.select("trace_id"), "trace_id", "left_semi")
     begun = spans.where(all_of(in_range(time, within, spans.columns))).select("trace_id").distinct()
     if within.start is not None:
         before = spans.where(all_of(in_range(time, TimeRange(None, within.start), spans.columns)))
@@ -42,14 +47,14 @@ def _beginning_in(spans: DataFrame, within: TimeRange) -> DataFrame:
     return spans.join(begun, "trace_id", "left_semi")
 
 
-def search(spans: DataFrame, q: TraceQuery) -> DataFrame:
+def search(spans: DataFrame, q: TraceQuery, index: TraceIndex | None = None) -> DataFrame:
     """Summaries of traces with a span satisfying the query's span conditions.
 
     One aggregation by trace; every aggregate combines map-side, so a trace
     holding much of the table still arrives as one row per map task. With a time
     range only traces that begin in it are read whole, see :func:`_beginning_in`.
     """
-    spans = _beginning_in(spans, q.range)
+    spans = _beginning_in(spans, q.range, index)
     is_root = F.col("parent_span_id").isNull()
     root = F.struct("start_time_unix_nano", "span_id", "service", "name", "duration_ns")
     start, end = F.col("start_time_unix_nano"), F.col("end_time_unix_nano")
@@ -111,10 +116,12 @@ def span_metrics(spans: DataFrame, q: SpanMetricsQuery, approximate: bool = Fals
     return rows.groupBy(*keys).agg(*[t.alias(name) for name, t in totals.items()], *sketched)
 
 
-def get_trace(spans: DataFrame, trace_id: str) -> DataFrame:
-    """All spans of one trace, in start order; an absent trace has no rows."""
+def get_trace(spans: DataFrame, trace_id: str, index: TraceIndex | None = None) -> DataFrame:
+    """All spans of one trace, in start order; an absent trace has no rows. With an index only its days are read."""
     if not re.fullmatch(r"[0-9A-Fa-f]{32}", trace_id):
         raise ValueError(f"trace id {trace_id!r} is not 32 hex characters")
+    if index is not None:
+        spans = on_days(spans, index.one(trace_id.lower()))
     return spans.where(F.col("trace_id") == trace_id.lower()).orderBy(
         "start_time_unix_nano", "span_id"
     )
@@ -130,6 +137,8 @@ def match(spans: DataFrame, q: SpanFilters, start: int, end: int, service: str |
     )
 
 
-def whole_traces(spans: DataFrame, matched: DataFrame) -> DataFrame:
-    """Every span of the traces that have a match."""
+def whole_traces(spans: DataFrame, matched: DataFrame, index: TraceIndex | None = None) -> DataFrame:
+    """Every span of the traces that have a match; with an index only the days of these traces are read."""
+    if index is not None:
+        spans = on_days(spans, index.of(matched))
     return spans.join(matched.select("trace_id").distinct(), "trace_id", "left_semi")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from emberscope import schema
 from emberscope.session import configure
-from emberscope.sources import catalog, tables
+from emberscope.sources import catalog, tables, trace_index
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 
@@ -153,6 +153,9 @@ def retain(spark: SparkSession, root: str, out_root: str, **limits) -> None:
         kept = tables.rewrite(df.where(F.col("day") >= first_kept), root, name, out_root)
         tables.writer(kept, name).parquet(tables.table_path(out_root, name))
         catalog.carry(spark, root, name, out_root, first_kept)
+        if name == schema.SPANS:
+            # A trace cut by the bound begins with the first span that is left.
+            trace_index.rebuild(tables.scan(spark, out_root, name), out_root)
 
 
 def compact(
@@ -174,6 +177,8 @@ def compact(
     rows = tables.rewrite(df, root, name, out_root).repartitionByRange(parts, *order)
     tables.writer(rows.sortWithinPartitions(*order), name).parquet(tables.table_path(out_root, name))
     catalog.carry(spark, root, name, out_root)
+    if name == schema.SPANS:
+        trace_index.carry(spark, root, out_root)
     created = segment_files(spark, out_root, name).count()
     return {"merged": before["n"], "created": created}
 
@@ -185,5 +190,7 @@ def snapshot(spark: SparkSession, root: str, directory: str) -> dict[str, int]:
         whole = tables.rewrite(df, root, name, directory)
         tables.writer(whole, name).parquet(tables.table_path(directory, name))
         catalog.carry(spark, root, name, directory)
+        if name == schema.SPANS:
+            trace_index.carry(spark, root, directory)
         written[name] = segment_files(spark, directory, name).count()
     return written

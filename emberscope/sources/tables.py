@@ -13,8 +13,8 @@ from emberscope import schema
 from emberscope.functions.attrs import promote, promoted_column
 from emberscope.plans.predicates import all_of, in_range
 from emberscope.plans.specs import UNBOUNDED, TimeRange
-from emberscope.sources import catalog
-from emberscope.sources.files import exists, mark
+from emberscope.sources import catalog, trace_index
+from emberscope.sources.files import blank, exists, mark
 
 EXPORT_FORMATS = ("parquet", "orc", "json", "csv")
 
@@ -69,7 +69,8 @@ def append(
 
     Which keys a table has promoted is kept beside it, and later writes in any mode promote them,
     too. A key promoted only after rows were there is read from the maps until
-    the table is rewritten. Entries of the rows go to the catalog first, so ``rows`` is evaluated twice: persist what is dear.
+    the table is rewritten. Entries of the rows go to the catalog first, and those of spans to the trace index, so ``rows`` is evaluated
+    more than once: persist what is dear.
 
     A table begun with a ``batch`` consists of folders named by it. Writing a batch again replaces its rows, so
     repeats after a failure change nothing.
@@ -89,10 +90,14 @@ def append(
     out = rows.drop(*[c for c in rows.columns if c.startswith("attr_")])
     known = promotions(spark, root, name)
     fresh = sorted(set(promote_keys) - set(known))
+    whole = mode == "overwrite" or blank(spark, path)
     # Rows that are there already lack a column promoted only now.
-    _record(spark, root, name, fresh, whole=mode == "overwrite" or _blank(spark, path))
+    _record(spark, root, name, fresh, whole=whole)
     out = promote(out, [*known, *fresh])
     catalog.add(out, root, name, "append" if batch is not None else mode)
+    # Spans written before there was an index would be missing from one begun now.
+    if name == schema.SPANS and (whole or exists(spark, trace_index.path_of(root))):
+        trace_index.add(out, root, "append" if batch is not None else mode)
     order = ["day", *clustering(name)]
     if clustered:
         out = out.hint("rebalance", "day")
@@ -107,15 +112,6 @@ def in_batches(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/{_BATCHED}")
 
 
-def _blank(spark: SparkSession, path: str) -> bool:
-    """Whether a table has no data files yet."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(hadoop_path):
-        return True
-    return all(f.getPath().getName().startswith("_") for f in system.listStatus(hadoop_path))
-
-
 def from_stream(spark: SparkSession, path: str) -> bool:
     """Whether a table's files are listed by a stream's commit log."""
     return exists(spark, f"{path}/_spark_metadata")
