@@ -35,11 +35,13 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the smallest id, of each group of near copies (five-word shingles, similarity of 0.8 or more).
 
-    Rows without an id stay; rows that repeat an id stay once.
+    Rows without an id stay. Of rows that repeat an id the one with the least hash of its columns stays, wherever they lie.
     """
     kept = minhash.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]) if _repeats(docs) else docs.where("doc_id IS NOT NULL")
-    return named.join(kept, "doc_id", "left_semi").union(docs.where("doc_id IS NULL")).select(*COLUMNS)
+    named = docs.where("doc_id IS NOT NULL").select(*COLUMNS)
+    if _repeats(docs):
+        named = named.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64(*COLUMNS).alias("_hash"), *COLUMNS[1:])).alias("_row")).select("doc_id", "_row.*").drop("_hash")
+    return named.join(kept, "doc_id", "left_semi").select(*COLUMNS).union(docs.where("doc_id IS NULL").select(*COLUMNS))
 
 
 def _repeats(docs: DataFrame) -> bool:
