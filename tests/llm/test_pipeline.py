@@ -50,6 +50,19 @@ def test_one_document_of_each_group_stays(stages):
     assert sorted(r.doc_id for r in after.collect()) == sorted(i for i, c in groups.items() if i == c)
 
 
+def test_of_rows_with_one_id_the_same_stays_wherever_they_lie(spark, documents):
+    long = " ".join(f"w{i}" for i in range(50_000))
+    rows = [(7, "one two three four five six"), (7, "other words that are not alike at all"), (7, None), (8, long), (8, long), (9, ""), (None, "a"), (None, "a")]
+    found = []
+    for order in (rows, rows[::-1]):
+        out = corpus_pipeline.distinct(spark, documents(order).repartition(5, "text"), SF)
+        assert out.columns == list(corpus_pipeline.COLUMNS)
+        found.append(sorted((tuple(r) for r in out.collect()), key=repr))
+    assert found[0] == found[1]
+    assert sorted((r[0] for r in found[0]), key=str) == [7, 8, 9, None, None]
+    assert corpus_pipeline.distinct(spark, documents([]), SF).count() == 0
+
+
 def test_mixing_repeats_whole_rows(stages):
     _, before, after = stages[3]
     assert {tuple(r) for r in after.collect()} <= {tuple(r) for r in before.collect()}
