@@ -19,8 +19,8 @@ from emberscope.llm.common import stored
 class Settings:
     """``sample`` vectors at most, chosen by hash, teach partitions and classifier; every vector is indexed.
 
-    The routes a query takes are as few as give ``recall`` of the true neighbours of
-    held-out sample vectors. Blocks of ``block`` candidates meet blocks of ``queries`` queries.
+    The routes a query takes are as few as give ``recall`` of the true neighbours, among all rows, of
+    ``trials`` queries chosen by hash. Blocks of ``block`` candidates meet blocks of ``queries`` queries.
     """
 
     k: int = 5
@@ -28,6 +28,7 @@ class Settings:
     sample: int = 6000
     neighbours: int = 10
     recall: float = 0.95
+    trials: int = 500
     hidden: int = 64
     rounds: int = 40
     block: int = 20_000
@@ -86,7 +87,6 @@ class Router:
     b1: np.ndarray
     w2: np.ndarray
     b2: np.ndarray
-    routes: int = 1
 
     def chances(self, x: np.ndarray) -> np.ndarray:
         y = np.maximum(x @ self.w1 + self.b1, 0) @ self.w2 + self.b2
@@ -115,7 +115,7 @@ def train(x: np.ndarray, target: np.ndarray, s: Settings) -> Router:
 
 
 def learn(x: np.ndarray, s: Settings) -> Router:
-    """Router from sample vectors (units). Routes are counted on a tenth of the sample that did not train it."""
+    """Router from sample vectors (units)."""
     parts = max(1, min(s.partitions, len(x) // 20))
     if parts == 1:
         return Router(np.zeros((x.shape[1], 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1))
@@ -125,18 +125,45 @@ def learn(x: np.ndarray, s: Settings) -> Router:
     target = np.zeros((len(x), parts))
     np.add.at(target, (np.repeat(np.arange(len(x)), k), part[near].ravel()), 0.5 / k)
     target[np.arange(len(x)), part] += 0.5
-    held = np.arange(len(x)) % 10 == 0
-    router = train(x[~held], target[~held], s)
-    # As in the search, a neighbour is found where the router itself would put it.
-    lies = router.chances(x).argmax(axis=1)
-    top = np.argsort(-router.chances(x[held]), axis=1, kind="stable")
-    place = np.argsort(top, axis=1, kind="stable")
-    k = min(s.k, len(x) - 1)
-    order = np.argsort(-np.take_along_axis(x[held] @ x.T, near[held], 1), axis=1, kind="stable")[:, :k]
-    needed = np.take_along_axis(place, lies[np.take_along_axis(near[held], order, 1)], 1)
-    reached = [(needed < r).mean() for r in range(1, parts + 1)]
-    router.routes = int(np.argmax(np.array(reached) >= s.recall)) + 1 if max(reached) >= s.recall else parts
-    return router
+    return train(x, target, s)
+
+
+def routes_needed(index: DataFrame, every: int, s: Settings) -> int:
+    """How many partitions a query must ask: trial queries are compared with every row, and where their nearest lie is counted.
+
+    Vectors outside the sample, and queries unlike it, are routed worse than those that taught the router, so only the rows
+    themselves can tell. A task gives back k rows a trial.
+    """
+    tried = index.where(F.col("id") % every == 0).orderBy(F.xxhash64(F.lit(s.seed + 1), "id"), "id").limit(s.trials).toPandas()
+    if not len(tried):
+        return 1
+    qid, q, order = tried.id.to_numpy(), np.stack(tried.v.to_numpy()).astype(np.float64), np.stack(tried.routes.to_numpy())
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, home = batch.column("id").to_numpy(), batch.column("home").to_numpy()
+            by_id = np.argsort(ids)
+            a, b, score = best(qid, q, ids, matrix(batch.column("v")), s.k)
+            found = (a, b, score, home[by_id[np.searchsorted(ids, b, sorter=by_id)]])
+            held = [np.concatenate(both) for both in zip(held, found, strict=True)]
+            by = np.lexsort((held[1], -held[2], held[0]))
+            held = [x[by] for x in held]
+            first = np.arange(len(by)) - np.searchsorted(held[0], held[0]) < s.k
+            held = [x[first] for x in held]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], ["query_id", "vec_id", "score", "home"])
+
+    nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = index.select("id", "v", F.col("home").cast("long")).mapInArrow(compare, "query_id long, vec_id long, score double, home long")
+    found = found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= s.k).select("query_id", "home").toPandas()
+    if not len(found):
+        return 1
+    row = pd.Series(np.arange(len(qid)), index=qid)[found.query_id].to_numpy()
+    place = np.argsort(order, axis=1, kind="stable")[row, found.home.to_numpy()]
+    reached = np.array([(place < r).mean() for r in range(1, order.shape[1] + 1)])
+    return int(np.argmax(reached >= s.recall)) + 1
 
 
 def _exact(q: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -180,20 +207,25 @@ def search(vectors: DataFrame, every: int = 50, s: Settings = Settings()) -> Dat
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                order = np.argsort(-router.chances(units(matrix(batch.column("v")))), axis=1, kind="stable")
-                flat = pa.array(order[:, : router.routes].ravel().astype(np.int32))
-                offsets = pa.array(np.arange(len(order) + 1, dtype=np.int32) * router.routes)
-                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.ListArray.from_arrays(offsets, flat)], ["id", "v", "routes"])
-
-    index = stored(rows.where(F.size("v") == dim).mapInArrow(route, "id long, v array<float>, routes array<int>"), "index")
-    home = index.select(F.col("routes")[0].alias("part"), "id", "v")
-    asked = index.where(F.col("id") % every == 0).select(F.explode("routes").alias("part"), "id", "v")
+                order = np.argsort(-router.chances(units(matrix(batch.column("v")))), axis=1, kind="stable").astype(np.int32)
+                ids = batch.column("id").to_numpy()
+                lengths = np.where(ids % every == 0, order.shape[1], 0)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+                routes = pa.ListArray.from_arrays(offsets, pa.array(order[ids % every == 0].ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(order[:, 0]), routes], ["id", "v", "home", "routes"])
+
+    index = stored(rows.where(F.size("v") == dim).mapInArrow(route, "id long, v array<float>, home int, routes array<int>"), "index")
+    asks = routes_needed(index, every, s)
+    home = index.select(F.col("home").alias("part"), "id", "v")
+    asked = index.where(F.col("id") % every == 0).select(F.explode(F.slice("routes", 1, asks)).alias("part"), "id", "v")
     sizes = home.groupBy("part").count().select("part", F.ceil(F.col("count") / s.block).cast("int").alias("cs"))
     sizes = sizes.join(asked.groupBy("part").count().select("part", F.ceil(F.col("count") / s.queries).cast("int").alias("qs")), "part")
     sizes = F.broadcast(sizes)  # a row a partition
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = asked.join(sizes, "part").select("part", F.pmod(F.xxhash64("id"), "qs").alias("qb"), spread("cs").alias("cb"), "id", "v")
-    right = home.join(sizes, "part").select("part", spread("qs").alias("qb"), F.pmod(F.xxhash64("id"), "cs").alias("cb"), "id", "v").toDF("part_", "qb_", "cb_", "id_", "v_")
+    hashed = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    # Keys of both sides have one type: an int and a long that are equal hash to different tasks.
+    left = asked.join(sizes, "part").select("part", hashed("qs").alias("qb"), spread("cs").alias("cb"), "id", "v")
+    right = home.join(sizes, "part").select("part", spread("qs").alias("qb"), hashed("cs").alias("cb"), "id", "v").toDF("part_", "qb_", "cb_", "id_", "v_")
 
     def meet(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not (len(q) and len(c)):

@@ -201,3 +201,24 @@ def test_partitions_are_balanced():
     x = caps.units(draw.normal(size=(800, 16)))
     part = partitions.cut_graph(partitions._nearest(x, 8), x, 8, 20, 1)
     assert np.bincount(part, minlength=8).max() <= 105
+
+
+@pytest.mark.parametrize("kind", ["even", "queries unlike the rest"])
+def test_search_finds_neighbours_whatever_the_tasks_and_queries(spark, kind):
+    draw = np.random.default_rng(8)
+    x = draw.normal(size=(3000, 24)) if kind == "even" else draw.normal(size=(3000, 3)) @ draw.normal(size=(3, 24)) + 0.1 * draw.normal(size=(3000, 24))
+    asked = np.arange(0, 3000, 50)
+    x[asked] = draw.normal(size=(len(asked), 24))
+    x = x.astype(np.float32)
+    was = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = partitions.search(vectors(spark, [(i, v.tolist()) for i, v in enumerate(x)])).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", was)
+    u = caps.units(x.astype(float))
+    near = u[asked] @ u.T
+    near[np.arange(len(asked)), asked] = -2
+    fifth = np.sort(near, axis=1)[:, -5]
+    assert len(out) == 5 * len(asked)
+    assert sum(r.score >= fifth[r.query_id // 50] - 1e-12 for r in out) >= 0.9 * len(out)
