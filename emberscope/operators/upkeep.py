@@ -19,6 +19,9 @@ from emberscope.sources import catalog, tables, trace_index
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 
+#: What one task puts in order when a table is rewritten: rows, and bytes of the files they come from (several times that in memory).
+TASK_ROWS, TASK_BYTES = 1_000_000, 128 * 1024 * 1024
+
 
 def _union(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
@@ -168,11 +171,13 @@ def compact(
     """Rewrite a table into few large files, clustered by service and time.
 
     Ranges are cut on (day, service, time), so a service with much of the data
-    is spread over as many files as it needs. Returns files before and after.
+    is spread over as many files as it needs. A file is smaller than ``target_bytes`` where that many bytes are more
+    than a task should sort (``TASK_ROWS``, ``TASK_BYTES``). Returns files before and after.
     """
     df = tables.scan(spark, root, name)
     before = _listed(spark, root, name).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("b")).first()
-    parts = max(1, -(-before["b"] // target_bytes))
+    # Rows are counted from the footers.
+    parts = max(1, -(-before["b"] // min(target_bytes, TASK_BYTES)), -(-df.count() // TASK_ROWS))
     order = ["day", *tables.clustering(name)]
     rows = tables.rewrite(df, root, name, out_root).repartitionByRange(parts, *order)
     tables.writer(rows.sortWithinPartitions(*order), name).parquet(tables.table_path(out_root, name))

@@ -371,3 +371,13 @@ def test_logs_query_on_stored_table_is_a_top_k(spark, fresh):
     top = logs.query(tables.scan(spark, fresh, schema.LOGS), LogQuery(limit=3))
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
     assert [r.body for r in top.collect()] == ["3-23", "3-22", "3-21"]
+
+
+def test_compaction_gives_a_task_no_more_rows_than_it_should_sort(spark, fresh, monkeypatch):
+    monkeypatch.setattr(upkeep, "TASK_ROWS", 100, raising=False)
+    rows = make_logs(spark, *[{"time_unix_nano": i * S, "service": "ab"[i % 2], "body": f"b{i}"} for i in range(1000)])
+    tables.append(rows, f"{fresh}/t", schema.LOGS)
+    upkeep.compact(spark, f"{fresh}/t", schema.LOGS, f"{fresh}/out")
+    files = upkeep.segments(spark, f"{fresh}/out").collect()
+    assert sum(f.rows for f in files) == 1000 and max(f.rows for f in files) < 250
+    assert sorted(r.body for r in tables.scan(spark, f"{fresh}/out", schema.LOGS).collect()) == sorted(f"b{i}" for i in range(1000))
