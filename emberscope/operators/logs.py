@@ -63,12 +63,23 @@ def _top(hits: DataFrame, q: LogQuery, offset: int = 0) -> DataFrame:
     The time of the last row wanted is found first, from the time column and the
     columns the filters need. Whole rows are then read only on this side of it,
     which prunes days and row groups. Behind a deep offset both ends of the page are found from
-    counts, and only the rows between them are put in order.
+    counts, and only the rows between them are put in order. The end of a large page is found likewise; only
+    the rows around it are limited, so that no task holds the page.
     """
     time, newest_first = F.col(ORDER[0]), q.direction == "backward"
     if offset > DEEP:
-        within, offset = _located(hits, newest_first, offset, offset + q.row_limit)
+        within, offset = _located(hits, newest_first, offset, offset + q.row_limit) or (TimeRange(0, 0), 0)
         near = in_range(ORDER[0], within, hits.columns)
+    elif not offset and q.row_limit > DEEP:
+        end = _located(hits, newest_first, q.row_limit - 1, q.row_limit)
+        rows = hits.where(time.isNotNull())
+        if end is not None:
+            around, before = end
+            inner = TimeRange(around.end, None) if newest_first else TimeRange(None, around.start)
+            last = hits.where(all_of(in_range(ORDER[0], around, hits.columns)))
+            last = last.orderBy(*_ordering(q.direction, hits.columns)).limit(before + 1)
+            rows = hits.where(all_of(in_range(ORDER[0], inner, hits.columns))).unionByName(last)
+        return rows.orderBy(*_ordering(q.direction, hits.columns))
     else:
         edge = (
             hits.select(time)
@@ -84,13 +95,13 @@ def _top(hits: DataFrame, q: LogQuery, offset: int = 0) -> DataFrame:
     return (rows.offset(offset) if offset else rows).limit(q.row_limit)
 
 
-#: Rows that a task may put in order to skip an offset.
+#: Rows that a task may put in order to skip an offset or to end a page.
 DEEP = 10_000
 _SLICES = 1024
 
 
-def _located(hits: DataFrame, newest_first: bool, first: int, last: int) -> tuple[TimeRange, int]:
-    """The times between which the rows of the ranks ``[first, last)`` lie, and how many ranks to skip there.
+def _located(hits: DataFrame, newest_first: bool, first: int, last: int) -> tuple[TimeRange, int] | None:
+    """The times between which the rows of the ranks ``[first, last)`` lie, and how many ranks to skip there; none behind all rows.
 
     Counts per slice of time, 1,024 at most, tell in which slices the ranks lie; these are cut again until
     few rows lie before the ranks, or a slice is one nanosecond. No row leaves its task.
@@ -98,7 +109,7 @@ def _located(hits: DataFrame, newest_first: bool, first: int, last: int) -> tupl
     time = F.col(ORDER[0])
     low, high = hits.agg(F.min(time), F.max(time)).first()
     if low is None:
-        return TimeRange(0, 0), 0
+        return None
     while True:
         width = -(-(high - low + 1) // _SLICES)
         inside = hits.where(all_of(in_range(ORDER[0], TimeRange(low, high + 1), hits.columns)))
@@ -113,8 +124,8 @@ def _located(hits: DataFrame, newest_first: bool, first: int, last: int) -> tupl
                 end = r["slice"]
                 if seen >= last:
                     break
-        if begin is None:  # the offset lies behind all rows
-            return TimeRange(0, 0), 0
+        if begin is None:  # the ranks lie behind all rows
+            return None
         was = low, high
         low, high = (high - (end + 1) * width + 1, high - begin * width) if newest_first else (low + begin * width, low + (end + 1) * width - 1)
         first, last = first - before, last - before
@@ -192,6 +203,20 @@ def next_cursor(rows: Sequence[Row], before: Cursor | None = None) -> Cursor | N
     return Cursor(keys[-1], alike)
 
 
+def cursor_behind(page: DataFrame, q: LogQuery, before: Cursor | None = None) -> Cursor | None:
+    """What :func:`next_cursor` says, found by Spark: one row comes to the driver, so a page may be of any size."""
+    backwards = [k.asc() if q.direction == "backward" else k.desc() for k in (_key(c) for c in ORDER if c in page.columns)]
+    last = page.orderBy(*backwards).first()
+    if last is None:
+        return before
+    values = tuple(last[c] if c in last else None for c in ORDER)
+    types = dict(page.dtypes)
+    same = [_key(c).eqNullSafe(_key(c, _literal(v, types[c]))) for c, v in zip(ORDER, values, strict=True) if c in types]
+    shown = page.where(all_of(same)).count()
+    # A page that ends where the one before it ended holds nothing but rows alike.
+    return Cursor(values, shown + before.shown if before is not None and before.values == values else shown)
+
+
 def page_after(logs: DataFrame, q: LogQuery, last: Cursor | Sequence | None = None) -> DataFrame:
     """The page following a cursor; cost does not grow with the number of pages.
 

@@ -231,3 +231,22 @@ def test_run_stats_count_what_was_read(spark, fresh):
     both = stored.join(stored.select("time_unix_nano"), "time_unix_nano")
     assert stats.collect(both)[1].rows_scanned in (100, 200)
     assert stats.collect(spark.range(5))[1].rows_returned == 5
+
+
+@pytest.mark.parametrize("direction", ["backward", "forward"])
+def test_large_pages_are_walked_without_a_limit_over_the_page(spark, monkeypatch, direction):
+    monkeypatch.setattr(L, "DEEP", 5)
+    frame = logs(spark, *[{"time_unix_nano": S + (i * 7) % 40, "body": "same" if i % 3 else f"b{i % 5}"} for i in range(170)]).repartition(4)
+    q, cursor, got = LogQuery(limit=25, direction=direction), None, []
+    while True:
+        page = L.page_after(frame, q, cursor)
+        rows = page.collect()
+        behind = L.cursor_behind(page, q, cursor)
+        assert behind == L.next_cursor(rows, cursor)
+        if not rows:
+            break
+        assert len(rows) == min(25, 170 - len(got))
+        assert "TakeOrderedAndProject(limit=25" not in page._jdf.queryExecution().toString()
+        got, cursor = got + [(r.time_unix_nano, r.body) for r in rows], behind
+    assert got == sorted(got, reverse=direction == "backward") and len(got) == 170
+    assert sorted(got) == sorted((r.time_unix_nano, r.body) for r in frame.collect())
