@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberscope.functions.timegrid import bucket, timestamp_of
@@ -58,6 +58,39 @@ def red_sketches(spans: DataFrame, step_ns: int, delay_ns: int) -> DataFrame:
     )
 
 
+def red_counts(spans: DataFrame, step_ns: int, delay_ns: int) -> DataFrame:
+    """Calls and errors per bucket, service and duration: ``bucket, service, duration_ns, calls, errors``.
+
+    What :func:`exact_red` needs. Rows of a bucket are spread over its durations, so no state holds a bucket.
+    """
+    return (
+        with_event_time(spans, "start_time_unix_nano", delay_ns)
+        .groupBy(F.window(EVENT_TIME, _micros(step_ns)), "service", "duration_ns")
+        .agg(F.count(F.lit(1)).alias("calls"), F.count_if(F.col("status") == "ERROR").alias("errors"))
+        .select(_start().alias("bucket"), "service", "duration_ns", "calls", "errors")
+    )
+
+
+def exact_red(counts: DataFrame) -> DataFrame:
+    """Stored :func:`red_counts` read out as :func:`red` does, with exact percentiles whatever the size of a bucket.
+
+    A percentile is the least duration that so many of the bucket's spans do not exceed.
+    """
+    keys = ["bucket", "service"]
+    timed = F.col("duration_ns").isNotNull()
+    # Counts are merged first, as later appends may repeat a duration.
+    merged = counts.groupBy(*keys, "duration_ns").agg(F.sum("calls").alias("calls"), F.sum("errors").alias("errors"))
+    own = Window.partitionBy(*keys)
+    weight = F.when(timed, F.col("calls")).otherwise(0)
+    reached = F.sum(weight).over(own.orderBy("duration_ns").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = merged.withColumns({"_n": F.sum(weight).over(own), "_reached": reached})
+    values = [
+        F.min(F.when(timed & (F.col("_reached") * 100 >= F.col("_n") * round(p * 100)), F.col("duration_ns"))).alias(name)
+        for name, p in PERCENTILES.items()
+    ]
+    return ranked.groupBy(*keys).agg(F.sum("calls").alias("calls"), F.sum("errors").alias("errors"), *values)
+
+
 def coarser(sketches: DataFrame, step_ns: int, fine_ns: int | None = None) -> DataFrame:
     """Stored :func:`red_sketches` merged to longer buckets, without a look at the spans.
 

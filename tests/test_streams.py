@@ -96,3 +96,16 @@ def test_sketches_of_buckets_merge_to_coarser_ones(spark, fresh):
     assert windows.red(windows.red_sketches(rows.where("false"), S, S)).count() == 0
     with pytest.raises(ValueError, match="multiple"):
         windows.coarser(fine, 900 * S, fine_ns=600 * S)
+
+
+def test_percentiles_of_large_buckets_are_exact(spark, fresh):
+    n = 5003
+    rows = spans(spark, *[{"start_time_unix_nano": i * S // 2, "duration_ns": None if i < 3 else (i * 7919) % 4001, "status": "ERROR" if i % 4 == 0 else "OK"} for i in range(n)], {"start_time_unix_nano": 10**6 * S})
+    rows.coalesce(2).write.parquet(f"{fresh}/in")
+    stream = windows.red_counts(spark.readStream.schema(rows.schema).parquet(f"{fresh}/in"), 3600 * S, S)
+    w = stream.writeStream.format("parquet").option("path", f"{fresh}/out").option("checkpointLocation", f"{fresh}/cp")
+    w.trigger(availableNow=True).start().awaitTermination()
+    (got,) = windows.exact_red(spark.read.schema(stream.schema).parquet(f"{fresh}/out")).collect()
+    own = sorted((i * 7919) % 4001 for i in range(3, n))
+    assert (got.bucket, got.calls, got.errors) == (0, n, -(-n // 4))
+    assert [got.p50, got.p95, got.p99] == [own[-(-len(own) * p // 100) - 1] for p in (50, 95, 99)]
