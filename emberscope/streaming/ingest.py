@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -50,7 +51,8 @@ def take(envelopes: DataFrame, batch_id: int, signal: str, root: str, promote_ke
     so a batch that comes again after a failure changes nothing.
     """
     spark, names = envelopes.sparkSession, [t for t in schema.TABLE_NAMES if otlp.signal_of(t) == signal]
-    held = envelopes.persist()
+    # On disk: in memory the batch would take what the tasks need, however large it is.
+    held = envelopes.persist(StorageLevel.DISK_ONLY)
     try:
         refused = otlp.malformed(held).select(F.lit(None).cast("string").alias("table"), otlp.REASON, F.col("line").alias("record"))
         counts = refused.groupBy("table", F.col(otlp.REASON).alias("reason")).count()
