@@ -14,6 +14,7 @@ The ranks themselves lie beside the shards as one table, ``ranks.u32``: the mark
 
 from __future__ import annotations
 
+import functools
 import re
 import uuid
 from collections.abc import Iterator
@@ -116,14 +117,20 @@ def zipped_ids(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFr
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encode, "doc_id long, zipped binary, counts binary")
 
 
+@functools.cache
+def _codec() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    """Of this process; making them anew costs as much as compressing a short text."""
+    return zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+
+
 def _zip(ids: np.ndarray) -> bytes:
     """One byte that tells the width, then the ids in as few bytes each, compressed."""
     width = 2 if ids.max() < 1 << 16 else 4
-    return bytes([width]) + zstandard.ZstdCompressor(level=3).compress(ids.astype(f"<u{width}").tobytes())
+    return bytes([width]) + _codec()[0].compress(ids.astype(f"<u{width}").tobytes())
 
 
 def _unzip(raw: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw[1:]), f"<u{raw[0]}")
+    return np.frombuffer(_codec()[1].decompress(raw[1:]), f"<u{raw[0]}")
 
 
 def frequencies(zipped: DataFrame) -> DataFrame:

@@ -56,6 +56,7 @@ class _Words:
 
     def clear(self) -> None:
         self.seen, self.chars, self.used = _Seen(), 0, 0
+        self.signs: dict[str, list[int]] = {"": []}
         self.flat = np.empty(1 << 16, np.uint32)
         self.at = np.zeros(1, np.int64)
         self.safe = np.empty(0, bool)
@@ -80,8 +81,10 @@ class _Words:
             letters = letters.lower()
         if not letters.isascii():
             letters = letters.translate(_as_bytes())
-        found = [t.id for t in self.model.tokenize(mark + letters)]
-        return found + [t.id for t in self.model.tokenize(signs)] if signs else found
+        # Words share few runs of signs, so these are looked up.
+        if (end := self.signs.get(signs)) is None:
+            end = self.signs[signs] = [t.id for t in self.model.tokenize(signs)]
+        return [t.id for t in self.model.tokenize(mark + letters)] + end
 
     def numbers(self, words) -> np.ndarray:
         return np.fromiter(map(self.seen.__getitem__, words), np.int64)

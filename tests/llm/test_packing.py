@@ -123,3 +123,18 @@ def test_files_in_order_of_id(spark, documents, vocabularies, fresh, monkeypatch
 
 def test_no_documents_no_ids(spark, documents, vocabularies):
     assert token_files.digest(documents([]), vocabularies["byte_bpe_50k"]).count() == 0
+
+
+def test_codecs_and_runs_of_signs_are_not_made_anew(vocabularies, monkeypatch):
+    from emberscope.llm import tokens
+
+    made, zstd = [], token_files.zstandard.ZstdCompressor
+    monkeypatch.setattr(token_files.zstandard, "ZstdCompressor", lambda **k: made.append(1) or zstd(**k))
+    for i in range(5):
+        ids = np.arange(i + 1, dtype=np.uint32) * 40_000
+        assert token_files._unzip(token_files._zip(ids)).tolist() == ids.tolist()
+    assert len(made) <= 1
+    own = tokens.Encoder(vocabularies["byte_bpe_50k"])
+    texts = ["one, two, three!! Größe, $%", "four, !! five,\nsix.", ""]
+    assert [i.tolist() for i in own.encode(texts)] == [e.ids for e in own.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert own.rest.signs[","] == own.tokenizer.encode(",", add_special_tokens=False).ids
