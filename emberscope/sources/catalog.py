@@ -27,7 +27,10 @@ def path_of(root: str, name: str | None = None) -> str:
     return base if name is None else f"{base}/table={name}"
 
 
-def _entry(kind: str, name: Column, value: Column | None = None, unit: Column | None = None, temporality: Column | None = None) -> Column:
+_PAIR, _SERVICE = "pair", "service"
+
+
+def _entry(kind: str, name: Column, value: Column, unit: Column | None = None, temporality: Column | None = None) -> Column:
     rest = {"value": value, "unit": unit, "temporality": temporality}
     return F.struct(
         F.lit(kind).alias("kind"), name.alias("name"), *[(F.lit(None) if c is None else c).cast("string").alias(n) for n, c in rest.items()]
@@ -35,20 +38,32 @@ def _entry(kind: str, name: Column, value: Column | None = None, unit: Column |
 
 
 def entries(rows: DataFrame, name: str) -> DataFrame:
-    """Distinct entries of a table's rows; a value is listed for the key whose look-up finds it, see ``attrs.attr``."""
+    """Distinct entries of a table's rows; a value is listed for the key whose look-up finds it, see ``attrs.attr``.
+
+    Rows give their pairs only; keys and values are told apart once the pairs are distinct, which are few.
+    """
     none = F.create_map().cast("map<string,string>")
     own, resource = F.coalesce("attributes", none), F.coalesce("resource", none)
-    keys = F.array_union(F.map_keys(own), F.map_keys(resource))
     hidden = F.map_filter(resource, lambda k, v: F.try_element_at(own, k).isNull())
-    pairs = F.filter(F.concat(F.map_entries(own), F.map_entries(hidden)), lambda e: e["value"].isNotNull() & ~e["key"].isin(*SERVICE_KEYS))
+    pairs = F.concat(F.map_entries(own), F.map_entries(hidden))
     listed = [
-        F.transform(keys, lambda k: _entry(KEY, k)),
-        F.transform(pairs, lambda e: _entry(VALUE, e["key"], e["value"])),
-        F.when(F.col("service").isNotNull(), F.array(_entry(VALUE, F.lit("service"), F.col("service")))).otherwise(F.array()),
+        F.transform(pairs, lambda e: _entry(_PAIR, e["key"], e["value"])),
+        F.array(_entry(_SERVICE, F.lit("service"), F.col("service"))),
     ]
     if name in schema.METRIC_TABLES:
-        listed.append(F.array(_entry(METRIC, F.col("metric"), None, F.col("unit"), F.col("temporality"))))
-    return rows.select("day", F.explode(F.concat(*listed)).alias("_e")).select("day", "_e.*").distinct()
+        listed.append(F.array(_entry(METRIC, F.col("metric"), F.lit(None), F.col("unit"), F.col("temporality"))))
+    seen = rows.select("day", F.explode(F.concat(*listed)).alias("_e")).select("day", "_e.*").distinct()
+    kind, known = F.col("kind"), F.col("value").isNotNull()
+    kinds = F.filter(
+        F.array(
+            F.when(kind == _PAIR, F.lit(KEY)),
+            F.when((kind == _SERVICE) & known | (kind == _PAIR) & known & ~F.col("name").isin(*SERVICE_KEYS), F.lit(VALUE)),
+            F.when(kind == METRIC, F.lit(METRIC)),
+        ),
+        lambda k: k.isNotNull(),
+    )
+    told = seen.withColumn("kind", F.explode(kinds))
+    return told.withColumn("value", F.when(F.col("kind") != KEY, F.col("value"))).select(*_COLUMNS).distinct()
 
 
 def add(rows: DataFrame, root: str, name: str, mode: str = "append") -> None:

@@ -138,3 +138,14 @@ def otlp_batch(spark, path):
     from emberscope.sources import otlp
 
     return otlp.read_envelopes(spark, "logs", path)
+
+
+def test_rows_give_each_pair_once_and_no_keys_beside_them(spark):
+    from emberscope.operators import stats
+
+    rows = make_logs(spark, *[{"time_unix_nano": 1, "attributes": {"a": "1", "b": None}, "resource": {"a": "2", "b": "3", "service.name": "x"}}] * 50)
+    df = catalog.entries(rows, "logs")
+    got = sorted(((r.kind, r.name, r.value) for r in df.collect()), key=repr)
+    assert got == [("key", "a", None), ("key", "b", None), ("key", "service.name", None), ("value", "a", "1"), ("value", "b", "3"), ("value", "service", "checkout")]
+    made = [n.metrics().apply("numOutputRows").value() for n in stats._nodes(df._jdf.queryExecution().executedPlan()) if n.nodeName() == "Generate"]
+    assert max(made) <= 50 * 5  # two pairs, two of the resource that are not hidden, the service
