@@ -66,6 +66,22 @@ def test_state_holds_the_delay_not_the_history(spark, fresh):
     assert many.state_bytes() < 40 * few.state_bytes()
 
 
+def test_samples_are_held_in_runs_under_one_timer(spark, fresh):
+    n, delay = 25_000, 10**6
+    c = Counter(spark, fresh, delay=delay)
+    state = spark.read.format("statestore")
+    assert c.arrive(*[("s", 7919 * i % n + 2, 7919 * i % n) for i in range(n)]) == []
+    assert state.option("stateVarName", "held").load(f"{fresh}/cp").count() <= 3
+    assert c.arrive(("s", 1, 5)) == []
+    # The watermark comes to stand at 12,502: what lies behind it leaves in order, the rest is held on.
+    rows = c.arrive(("s", delay + 12_502, 9))
+    assert rows == [("s", 1, None, 0.0), ("s", 2, 1, 0.0)] + [("s", t, t - 1, 1.0) for t in range(3, 12_502)]
+    assert state.option("stateVarName", "held").load(f"{fresh}/cp").count() <= 3
+    timers = spark.read.format("statestore").option("readRegisteredTimers", True).load(f"{fresh}/cp").collect()
+    assert [t.expiration_timestamp_ms for t in timers] == [12_502_001]
+    assert len(c.arrive(("s", 2 * delay, 9))) == n + 1
+
+
 def test_increases_equal_the_batch_operator(spark, fresh):
     import random
 
