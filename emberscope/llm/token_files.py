@@ -38,28 +38,30 @@ END_ID = 2
 SHARD_BYTES = 4 << 20
 
 #: For each control byte the sizes of its four ranks.
-SIZES = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
+SIZES = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1).astype(np.uint8)
+#: For each size the bits of a rank that belong to it.
+BITS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
 
 def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control and data bytes of unsigned 32-bit ranks."""
-    size = 1 + (ranks > 0xFF) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    size = 1 + (ranks > 0xFF).view(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
     control = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     control[: len(ranks)] = size - 1
-    control = (control.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    data = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[np.arange(4) < size[:, None]]
+    control = control[::4] | control[1::4] << 2 | control[2::4] << 4 | control[3::4] << 6
+    data = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[np.arange(4, dtype=np.uint8) < size[:, None]]
     return control.tobytes(), data.tobytes()
 
 
 def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """The ranks again: one table lookup gives all sizes, running sums the places, and gathers the bytes."""
+    """The ranks again: one table lookup gives all sizes, running sums the places, and one gather takes four bytes each."""
     size = SIZES[np.frombuffer(control, np.uint8)].ravel()[:n]
-    at = np.cumsum(size) - size
+    at = np.cumsum(size, dtype=np.int64) - size
     raw = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(4, np.uint8)])
-    out = np.zeros(n, np.uint32)
-    for k in range(4):
-        out |= np.where(size > k, raw[np.minimum(at + k, len(raw) - 1)].astype(np.uint32) << np.uint32(8 * k), np.uint32(0))
-    return out
+    four = raw[:-3].astype(np.uint32)
+    for k in range(1, 4):
+        four |= raw[k : len(raw) - 3 + k].astype(np.uint32) << np.uint32(8 * k)
+    return four[at] & BITS[size]
 
 
 def shard_bytes(shard: int, doc_ids: list[int | None], ids: list[np.ndarray], rank_of: np.ndarray) -> bytes:

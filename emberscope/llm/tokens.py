@@ -8,6 +8,8 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from emberscope.llm.common import held
 
@@ -18,7 +20,9 @@ CACHED_WORDS = 800_000
 CACHED_CHARS = 24_000_000
 
 #: Words that any of the tokenizers handled here reads as one run of letters and perhaps one of signs.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!#$%&*]*)")
+_SIGNS = ".,!#$%&*"
+_PLAIN = re.compile(f"([A-Za-zÀ-ÖØ-öø-ÿ]+)([{_SIGNS}]*)")
+_LETTERS = "".join(c for c in map(chr, range(256)) if _PLAIN.fullmatch(c))
 
 
 @functools.cache
@@ -81,10 +85,13 @@ class _Words:
             letters = letters.lower()
         if not letters.isascii():
             letters = letters.translate(_as_bytes())
-        # Words share few runs of signs, so these are looked up.
+        return [t.id for t in self.model.tokenize(mark + letters)] + self.end(signs)
+
+    def end(self, signs: str) -> list[int]:
+        """Ids of signs behind a plain word; words share few runs of them, so these are looked up."""
         if (end := self.signs.get(signs)) is None:
             end = self.signs[signs] = [t.id for t in self.model.tokenize(signs)]
-        return [t.id for t in self.model.tokenize(mark + letters)] + end
+        return end
 
     def numbers(self, words) -> np.ndarray:
         return np.fromiter(map(self.seen.__getitem__, words), np.int64)
@@ -104,7 +111,11 @@ class _Words:
             self.flat = np.concatenate([self.flat[: self.used], np.empty(max(need, len(self.flat)), np.uint32)])
         self.flat[self.used : need] = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, need - self.used)
         self.at = np.concatenate([self.at, self.used + np.cumsum(sizes)])
-        self.safe = np.concatenate([self.safe, np.fromiter((not self.strict or bool(w) and not (w[0].isspace() or w[-1].isspace()) for w in fresh), bool, len(fresh))])
+        # Plain words begin and end with no white space.
+        safe = np.ones(len(fresh), bool)
+        if self.strict:
+            safe[odd] = [bool(w) and not (w[0].isspace() or w[-1].isspace()) for w in map(fresh.__getitem__, odd)]
+        self.safe = np.concatenate([self.safe, safe])
         self.used = need
         self.chars += sum(map(len, fresh))
 
@@ -131,28 +142,73 @@ class Encoder:
         for kept in (self.first, self.rest):
             if len(kept.seen) > CACHED_WORDS or kept.chars > CACHED_CHARS:
                 kept.clear()
-        cut = []
-        for text in texts:
-            if any(a in text for a in self.added):
-                cut.append(None)
-                continue
-            head, *tail = text.split(" ")
-            cut.append((self.first.numbers((head,)), self.rest.numbers(tail)))
+        out = [None if any(a in text for a in self.added) else np.empty(0, np.uint32) for text in texts]
+        cut = [i for i, found in enumerate(out) if found is not None]
+        if cut:
+            for i, found in zip(cut, self._by_words([texts[i] for i in cut]), strict=True):
+                out[i] = found
+        for i, found in enumerate(out):
+            if found is None:
+                out[i] = np.asarray(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32)
+        return out
+
+    def _by_words(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids of texts without added tokens, None for those that only the tokenizer itself can cut.
+
+        Words are told apart by Arrow, so that each is looked up once a call however often it occurs, and plain
+        words are looked up without the signs behind them.
+        """
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        bounds = lists.offsets.to_numpy().astype(np.int64)
+        words = lists.values.dictionary_encode()
+        place = words.indices.to_numpy().astype(np.int64)
+        words, heads = words.dictionary, bounds[:-1]
+        head = self.first.numbers(words.take(pa.array(place[heads])).to_pylist())
+        # Those met as heads only are left out.
+        tail = np.ones(len(place), bool)
+        tail[heads] = False
+        used = np.zeros(len(words), bool)
+        used[place[tail]] = True
+        place = np.cumsum(used)[place] - 1
+        words = words.filter(pa.array(used))
+        stems, signs = _cut(words)
+        number = self.rest.numbers(stems.dictionary.to_numpy(zero_copy_only=False))[stems.indices.to_numpy()]
         self.first.learn()
         self.rest.learn()
-        out = []
-        for text, words in zip(texts, cut, strict=True):
-            a, b = words or (None, None)
-            if words is None or len(b) and not (self.first.safe[a].all() and self.rest.safe[b].all()):
-                out.append(np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32))
-                continue
-            start = self.rest.at[b]
-            sizes = self.rest.at[b + 1] - start
-            ends = np.cumsum(sizes)
-            place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + sizes, sizes)
-            lead = self.first.flat[self.first.at[a[0]] : self.first.at[a[0] + 1]]
-            out.append(np.concatenate([lead, self.rest.flat[place]]))
-        return out
+        place[heads] = len(words) + np.arange(len(heads))
+        safe = np.concatenate([self.rest.safe[number], self.first.safe[head]])
+        odd = (np.diff(bounds) > 1) & ~np.logical_and.reduceat(safe[place], heads)
+        # The ids of every word of this call one after the other, then those of the heads.
+        ends = [self.rest.end(e) for e in signs.dictionary.to_pylist()]
+        end_size = np.fromiter(map(len, ends), np.int64, len(ends))
+        end_at = np.cumsum(end_size) - end_size
+        ends = np.fromiter(itertools.chain.from_iterable(ends), np.uint32, int(end_size.sum()))
+        sign = signs.indices.to_numpy()
+        stem_size, end_size, lead_size = self.rest.at[number + 1] - self.rest.at[number], end_size[sign], self.first.at[head + 1] - self.first.at[head]
+        size = np.concatenate([stem_size + end_size, lead_size])
+        at = np.cumsum(size) - size
+        flat = np.empty(int(size.sum()), np.uint32)
+        flat[_ranges(at[: len(words)], stem_size)] = self.rest.flat[_ranges(self.rest.at[number], stem_size)]
+        flat[_ranges(at[: len(words)] + stem_size, end_size)] = ends[_ranges(end_at[sign], end_size)]
+        flat[_ranges(at[len(words) :], lead_size)] = self.first.flat[_ranges(self.first.at[head], lead_size)]
+        size = size[place]
+        ids = flat[_ranges(at[place], size)]
+        stops = np.cumsum(size)[bounds[1:] - 1].tolist()
+        return [None if o else ids[a:b] for o, a, b in zip(odd.tolist(), [0, *stops], stops, strict=False)]
+
+
+def _cut(words: pa.Array) -> tuple[pa.DictionaryArray, pa.DictionaryArray]:
+    """Plain words cut into their letters and the signs behind; others stay whole, with no signs."""
+    stems, signs = pc.utf8_rtrim(words, _SIGNS), pc.utf8_ltrim(words, _LETTERS)
+    letters = pc.binary_length(stems)
+    plain = pc.and_(pc.greater(letters, 0), pc.equal(pc.add(letters, pc.binary_length(signs)), pc.binary_length(words)))
+    return pc.if_else(plain, stems, words).dictionary_encode(), pc.if_else(plain, signs, pa.scalar("", words.type)).dictionary_encode()
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size, one range after the other."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + size, size)
 
 
 def encoder(path: str) -> Encoder:

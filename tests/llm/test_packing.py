@@ -138,3 +138,13 @@ def test_codecs_and_runs_of_signs_are_not_made_anew(vocabularies, monkeypatch):
     texts = ["one, two, three!! Größe, $%", "four, !! five,\nsix.", ""]
     assert [i.tolist() for i in own.encode(texts)] == [e.ids for e in own.tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert own.rest.signs[","] == own.tokenizer.encode(",", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k", "byte_bpe_50k"])
+def test_plain_words_are_kept_once_whatever_signs_follow(vocabularies, name):
+    own = Encoder(vocabularies[name])
+    texts = ["word word, word. Größe!! word*** Größe", "word, a.b, a.b!! 9, 9! \nso, so\n. ,, !! (x). it's, word", "  word,", "word,", "", "Größe, ", "é.", "x" * 300 + ". " + "y," * 99]
+    for some in (texts, [], [""], texts[::-1], ["one"], ["<|endoftext|> word,"]):
+        assert [i.tolist() for i in own.encode(some)] == [e.ids for e in own.tokenizer.encode_batch(some, add_special_tokens=False)]
+    assert {"word", "Größe", "a.b,", "it's,"} <= set(own.rest.seen)
+    assert not {"word,", "word.", "word***", "Größe!!"} & set(own.rest.seen)
