@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Hashable, Iterator
 from typing import Any
 
@@ -40,6 +41,36 @@ def held(key: Hashable, make: Callable[[], Any]) -> Any:
     return _HELD[key]
 
 
+def drop_held() -> None:
+    _HELD.clear()
+
+
+def give_back() -> None:
+    """Return the free memory of this process to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def lean(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], holds: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``task`` of mapInArrow, in a worker that keeps no more memory than it needs.
+
+    As it begins, what other tasks held is dropped, unless it ``holds`` an object itself. As it ends, freed memory goes back
+    to the system: workers wait beside their executor for a minute, while joins and sorts of the next stages need the room.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not holds:
+            drop_held()
+        try:
+            yield from task(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

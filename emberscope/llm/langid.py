@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberscope.llm.common import crc_fold, held, steps
+from emberscope.llm.common import crc_fold, held, lean, steps
 
 UNDETERMINED = "und"
 #: Symbols: 0 stands for anything without a letter, 1 for letters that no sample holds, then the letters.
@@ -181,7 +181,7 @@ def predict(docs: DataFrame, samples: dict[str, str], s: Settings = Settings())
                 lang, score = parser.predict(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(lang, pa.string()), pa.array(score)], [*names, "lang_pred", "score"])
 
-    return docs.mapInArrow(label, f"{schema}, lang_pred string, score double")
+    return docs.mapInArrow(lean(label, holds=True), f"{schema}, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, s: Settings = Settings()) -> DataFrame:

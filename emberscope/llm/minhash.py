@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberscope.llm.common import mix, shingles, steps, stored, utf8, word_hashes, word_spans
+from emberscope.llm.common import lean, mix, shingles, steps, stored, utf8, word_hashes, word_spans
 from emberscope.llm.components import components
 
 
@@ -99,7 +99,7 @@ def signatures(docs: DataFrame, s: Settings) -> DataFrame:
                     ["doc_id", "n_shingles", "d1", "d2", "keys", "sketch"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sign, "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>, sketch binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(sign), "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>, sketch binary")
 
 
 def similar(a: np.ndarray, b: np.ndarray, numerator: int) -> bool:
@@ -129,7 +129,7 @@ def sift(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
                 apart = _apart(*(_sketches(batch.column(c).to_pylist()) for c in ("s_a", "s_b")))
                 yield batch.select(["a", "b"]).filter(pa.array(apart <= limit))
 
-    return both.select("a", "b", "s_a", "s_b").mapInArrow(near, "a long, b long")
+    return both.select("a", "b", "s_a", "s_b").mapInArrow(lean(near), "a long, b long")
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
@@ -154,7 +154,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
                     keep.append(similar(held, other, s.numerator))
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "t_a", "t_b").sortWithinPartitions("a").mapInArrow(check, "a long, b long")
+    return both.select("a", "b", "t_a", "t_b").sortWithinPartitions("a").mapInArrow(lean(check), "a long, b long")
 
 
 def residue(buckets: DataFrame, known: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberscope.llm.common import partitions, steps, stored
+from emberscope.llm.common import lean, partitions, steps, stored
 from emberscope.llm.tokens import encoder
 
 CAPACITY = 4096
@@ -39,7 +39,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: i
                         doc.append(key), start.append(at), length.append(len(piece)), total.append(len(found)), ids.append(piece.tobytes())
                 yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (doc, start, length, total)), pa.array(ids, pa.binary())], ["doc_id", "start", "length", "doc_tokens", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(cut, holds=True), PIECES)
 
 
 class Capacities:

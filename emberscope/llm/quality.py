@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberscope.llm.common import crc_fold, steps, utf8, word_hashes, word_spans
+from emberscope.llm.common import crc_fold, lean, steps, utf8, word_hashes, word_spans
 
 
 @dataclass(frozen=True)
@@ -142,7 +142,7 @@ def learn(docs: DataFrame, labels: DataFrame, s: Settings) -> Machine:
     rows = docs.where(F.col("doc_id").isin(list(by))) if by else docs.limit(0)
     # A repeated id counts once, so that the sample stays bounded.
     rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"))
-    found = sorted(rows.mapInArrow(lambda batches: _sparse(batches, s), "doc_id long, at binary, x binary").collect(), key=lambda r: r["doc_id"])
+    found = sorted(rows.mapInArrow(lean(lambda batches: _sparse(batches, s)), "doc_id long, at binary, x binary").collect(), key=lambda r: r["doc_id"])
     x = np.zeros((len(found), s.buckets + len(STATISTICS) * LEVELS), np.float32)
     for row, r in zip(x, found, strict=True):
         row[np.frombuffer(r["at"], np.int32)] = np.frombuffer(r["x"], np.float32)
@@ -178,7 +178,7 @@ def score(docs: DataFrame, machine: Machine, s: Settings = Settings()) -> DataFr
                     y = machine.scores(features(rows.column("text"), s))
                     yield pa.RecordBatch.from_arrays([*(rows.column(n) for n in names), pa.array(y), pa.array((y >= s.threshold).astype(np.int32))], [*names, "score", "predicted"])
 
-    return docs.mapInArrow(rate, f"{schema}, score double, predicted int")
+    return docs.mapInArrow(lean(rate), f"{schema}, score double, predicted int")
 
 
 def rate_all(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:

@@ -1,9 +1,17 @@
 from __future__ import annotations
 
+import pickle
+import random
+import re
+from pathlib import Path
+
 import corpus_pipeline
 import __spark_entry__ as contract
+import numpy as np
+import pyarrow as pa
 import pytest
-from emberscope.llm import minhash, quality
+from emberscope.llm import common, langid, minhash, quality
+from pyspark import cloudpickle
 
 from .test_duplicates import brute
 
@@ -81,6 +89,36 @@ def test_every_token_is_packed(stages):
     assert sum(r.length for r in rows) == sum(r.doc_tokens for r in rows if r.start == 0)
 
 
+def _own_mb():
+    """Memory of this process without mapped files."""
+    return int(re.search(r"Pss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) / 1024
+
+
+def test_workers_keep_little_between_stages(spark, documents, monkeypatch):
+    draw = random.Random(3)
+    rows = [(i, " ".join("".join(draw.choices("abcdefghij", k=6)) for _ in range(300)), "en", "s", 9) for i in range(1500)]
+    batch = pa.RecordBatch.from_pylist([dict(zip(corpus_pipeline.COLUMNS, r, strict=True)) for r in rows])
+    docs = documents([]).select(*corpus_pipeline.COLUMNS)
+    samples = {"en": " ".join(r[1] for r in rows[:30]), "de": " ".join(r[1] for r in rows[30:60])}
+    s = quality.Settings()
+    machine = quality.Machine(0.0, np.zeros(s.buckets + len(quality.STATISTICS) * quality.LEVELS, np.float32), np.zeros((s.buckets + len(quality.STATISTICS) * quality.LEVELS, s.factors), np.float32))
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, task, *a: task)
+    tasks = {"language": langid.predict(docs, samples), "quality": quality.score(docs, machine, s), "signatures": minhash.signatures(docs, minhash.Settings())}
+    tasks = {k: pickle.loads(cloudpickle.dumps(f)) for k, f in tasks.items()}
+    sent = {"language": batch, "quality": batch, "signatures": batch.select(["doc_id", "text"])}
+    run = lambda k: sum(b.num_rows for b in tasks[k](iter([sent[k]])))
+    assert run("language") == run("language") == 1500
+    assert [k[0] for k in common._HELD] == ["parser"]  # built once for all tasks of its stage
+    for name in ("quality", "signatures"):
+        assert run("language") == 1500
+        common.give_back()
+        with_parser = _own_mb()
+        tables = sum(t.nbytes for t in next(iter(common._HELD.values())).tables) / 1e6
+        assert run(name) == 1500
+        assert not common._HELD
+        assert _own_mb() < with_parser - tables / 2 + 20
+
+
 def test_registered():
     assert {"pipeline", *(n for n in contract.queries() if n.startswith("op"))} == {"pipeline", *contract.QUERIES}
     assert sum(n.startswith("op") for n in contract.queries()) == 13
