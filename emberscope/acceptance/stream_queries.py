@@ -11,7 +11,7 @@ from emberscope.acceptance.fixtures import FIRST_DAY_NS, LAST_NS, Fixture
 from emberscope.acceptance.registry import query
 from emberscope.functions.timegrid import DAY, HOUR, bucket
 from emberscope.operators import metrics
-from emberscope.session import scratch_dir
+from emberscope.session import scratch_dir, shuffles_dropped
 from emberscope.sources import otlp, tables
 from emberscope.streaming import counter, ingest, windows
 
@@ -47,12 +47,13 @@ def _files(fx: Fixture, df: DataFrame) -> DataFrame:
 def _taken(fx: Fixture) -> str:
     """All derived tables sent as OTLP/JSON, with some lines that are none, and taken by streams; the tables' root."""
     sources = {signal: scratch_dir(fx.spark, signal) for signal in ("logs", "traces", "metrics")}
-    envelopes.logs(fx).write.json(sources["logs"])
-    envelopes.spans(fx).write.json(sources["traces"])
-    for name in schema.METRIC_TABLES:
-        envelopes.metrics(fx, name).write.mode("append").json(sources["metrics"])
     torn = fx.base.where("event_type = 'error'").select(F.concat(F.lit('{"resourceLogs": [{"event": '), "event_id").alias("value"))
-    torn.write.mode("append").text(sources["logs"])
+    with shuffles_dropped(fx.spark):
+        envelopes.deliver(envelopes.logs(fx), sources["logs"])
+        envelopes.deliver(envelopes.spans(fx), sources["traces"])
+        for name in schema.METRIC_TABLES:
+            envelopes.deliver(envelopes.metrics(fx, name), sources["metrics"])
+        torn.write.mode("append").option("compression", "gzip").text(sources["logs"])
     root, checkpoint = scratch_dir(fx.spark, "tables"), scratch_dir(fx.spark, "checkpoint")
     promoted = {schema.LOGS: ["event.type"], schema.SPANS: ["user.id"]}
     for stream in ingest.start_all(fx.spark, sources, root, checkpoint, _ONCE, promoted):

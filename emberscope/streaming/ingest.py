@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from emberscope import schema
+from emberscope.session import shuffles_dropped
 from emberscope.sources import otlp, tables
 
 
@@ -36,6 +37,18 @@ def writer(
     )
 
 
+# Bytes of files that one batch takes for each core. A batch is held on disk, so it must not grow with what waits in a folder.
+BATCH_BYTES = 8 << 20
+_BOUNDS = ("maxfilespertrigger", "maxbytespertrigger")
+
+
+def _bounded(spark: SparkSession, options: Mapping[str, object]) -> dict[str, object]:
+    """Reader options with a bound on batches, unless they have one."""
+    if any(o.lower() in _BOUNDS for o in options):
+        return dict(options)
+    return {**options, "maxBytesPerTrigger": BATCH_BYTES * spark.sparkContext.defaultParallelism}
+
+
 REJECTS = "signal STRING, table STRING, reject_reason STRING, record STRING"
 RECEIPTS = "signal STRING, table STRING, reason STRING, count BIGINT"
 
@@ -50,24 +63,30 @@ def take(envelopes: DataFrame, batch_id: int, signal: str, root: str, promote_ke
     The batch is read and parsed once. Everything goes to folders named by the batch and replaces what they hold,
     so a batch that comes again after a failure changes nothing.
     """
-    spark, names = envelopes.sparkSession, [t for t in schema.TABLE_NAMES if otlp.signal_of(t) == signal]
+    spark = envelopes.sparkSession
     # On disk: in memory the batch would take what the tasks need, however large it is.
     held = envelopes.persist(StorageLevel.DISK_ONLY)
     try:
-        refused = otlp.malformed(held).select(F.lit(None).cast("string").alias("table"), otlp.REASON, F.col("line").alias("record"))
-        counts = refused.groupBy("table", F.col(otlp.REASON).alias("reason")).count()
-        for name in names:
-            rows = otlp.rows_of(held, name)
-            tables.append(otlp.accepted(rows), root, name, (promote_keys or {}).get(name, ()), batch=str(batch_id))
-            refused = refused.unionByName(otlp.refusals(rows, name))
-            reason = F.coalesce(otlp.REASON, F.lit("accepted")).alias("reason")
-            counts = counts.unionByName(rows.groupBy(F.lit(name).alias("table"), reason).count())
-        refused.write.mode("overwrite").parquet(f"{_below(root, 'rejects', signal)}/batch={batch_id}")
-        counts.coalesce(1).write.mode("overwrite").parquet(f"{_below(root, 'receipts', signal)}/batch={batch_id}")
+        with shuffles_dropped(spark):
+            _fill(held, batch_id, signal, root, promote_keys or {})
     finally:
         held.unpersist()
 
 
+def _fill(held: DataFrame, batch_id: int, signal: str, root: str, promote_keys: Mapping[str, Collection[str]]) -> None:
+    names = [t for t in schema.TABLE_NAMES if otlp.signal_of(t) == signal]
+    refused = otlp.malformed(held).select(F.lit(None).cast("string").alias("table"), otlp.REASON, F.col("line").alias("record"))
+    counts = refused.groupBy("table", F.col(otlp.REASON).alias("reason")).count()
+    for name in names:
+        rows = otlp.rows_of(held, name)
+        tables.append(otlp.accepted(rows), root, name, promote_keys.get(name, ()), batch=str(batch_id))
+        refused = refused.unionByName(otlp.refusals(rows, name))
+        reason = F.coalesce(otlp.REASON, F.lit("accepted")).alias("reason")
+        counts = counts.unionByName(rows.groupBy(F.lit(name).alias("table"), reason).count())
+    refused.write.mode("overwrite").parquet(f"{_below(root, 'rejects', signal)}/batch={batch_id}")
+    counts.coalesce(1).write.mode("overwrite").parquet(f"{_below(root, 'receipts', signal)}/batch={batch_id}")
+
+
 def start_all(
     spark: SparkSession,
     sources: dict[str, str],
@@ -79,9 +98,10 @@ def start_all(
 ) -> list[StreamingQuery]:
     """One query per signal, each filling the tables of its signal; ``sources`` maps logs / traces / metrics to directories.
 
-    ``promote_keys``: of a table, the attribute keys that become columns.
+    ``promote_keys``: of a table, the attribute keys that become columns. Without ``maxBytesPerTrigger`` or ``maxFilesPerTrigger``
+    among the options, a batch takes files of ``BATCH_BYTES`` a core, one at least.
     """
-    running = []
+    options, running = _bounded(spark, options), []
     for signal, source in sources.items():
         envelopes = otlp.stream_envelopes(spark, signal, source, **options)
 

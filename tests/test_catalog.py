@@ -134,6 +134,29 @@ def test_streams_fill_all_tables_once(spark, fresh):
         tables.append(days(spark), root, schema.LOGS, mode="overwrite")
 
 
+def test_a_batch_takes_a_bounded_share_of_what_waits(spark, fresh, monkeypatch):
+    os.makedirs(f"{fresh}/logs")
+    for i in range(5):
+        put(f"{fresh}/logs/{i}.json", log_envelope({"timeUnixNano": str(i + 1), "attributes": [kv("k", stringValue=str(i))]}, {"body": {}}))
+
+    def taken(root, **options):
+        for q in ingest.start_all(spark, {"logs": f"{fresh}/logs"}, root, f"{root}-cp", {"availableNow": True}, {schema.LOGS: ["k"]}, **options):
+            q.awaitTermination()
+        return len([d for d in os.listdir(f"{root}/logs") if d.startswith("batch=")])
+
+    def state(root):
+        rows = tuples(tables.scan(spark, root, schema.LOGS), "time_unix_nano", "attr_k")
+        return rows, tuples(ingest.receipts(spark, root)), ingest.rejects(spark, root).count()
+
+    # However much waits, a batch, which is held on disk, is bounded; small folders still make one batch.
+    assert taken(f"{fresh}/small") == 1
+    monkeypatch.setattr(ingest, "BATCH_BYTES", 1, raising=False)
+    assert taken(f"{fresh}/large") == 5
+    assert taken(f"{fresh}/own", maxFilesPerTrigger=3) == 2
+    assert state(f"{fresh}/small") == state(f"{fresh}/large") == state(f"{fresh}/own")
+    assert state(f"{fresh}/large")[0] == [(i + 1, str(i)) for i in range(5)] and state(f"{fresh}/large")[2] == 5
+
+
 def otlp_batch(spark, path):
     from emberscope.sources import otlp
 

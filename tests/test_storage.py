@@ -381,3 +381,37 @@ def test_compaction_gives_a_task_no_more_rows_than_it_should_sort(spark, fresh,
     files = upkeep.segments(spark, f"{fresh}/out").collect()
     assert sum(f.rows for f in files) == 1000 and max(f.rows for f in files) < 250
     assert sorted(r.body for r in tables.scan(spark, f"{fresh}/out", schema.LOGS).collect()) == sorted(f"b{i}" for i in range(1000))
+
+
+def shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for f in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+
+
+def test_what_streams_are_sent_takes_little_disk(spark, fresh, monkeypatch):
+    import gzip
+    import os
+    import time
+
+    from emberscope.acceptance import envelopes, stream_queries
+    from emberscope.acceptance.fixtures import Fixture
+
+    monkeypatch.setattr(stream_queries, "scratch_dir", lambda _, label: f"{fresh}/{label}")
+    monkeypatch.setattr(envelopes, "FILE", 10, raising=False)
+    before, setting = shuffle_files(spark), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(setting, None)
+    stream_queries._taken(Fixture(spark, "/root/testdata/sf0.001"))
+    assert spark.conf.get(setting, None) == was
+    sent = [os.path.join(d, f) for s in ("logs", "traces", "metrics") for d, _, files in os.walk(f"{fresh}/{s}") for f in files if f.startswith("part-")]
+    texts = {f: gzip.open(f).read() for f in sent if f.endswith(".gz")}
+    assert len(texts) == len(sent) > 0
+    # The text is not written as it is, and no file grows with the data.
+    assert sum(os.path.getsize(f) for f in sent) < sum(map(len, texts.values())) / 5
+    assert max(t.count(b"\n") for f, t in texts.items() if f.endswith(".json.gz")) == 10
+    # Nothing shuffled on the way stays until the driver collects garbage.
+    for _ in range(50):
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
